@@ -182,9 +182,10 @@ def fetch(
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with ThreadPoolExecutor(max(1, settings.parallel_jobs)) as pool:
+            step = 4 * max(1, settings.parallel_jobs)
             for part in parts:
-                for at in range(0, part.num_rows, PIECE_ROWS):
-                    piece = part.slice(at, PIECE_ROWS)
+                for at in range(0, part.num_rows, step):
+                    piece = part.slice(at, step)
                     urls = piece.column(piece.schema.get_field_index(url)).to_pylist()
                     got = list(pool.map(lambda u: (None,) * 3 if u is None else one(u), urls))
                     arrays = [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
@@ -23,7 +24,7 @@ CREATE OR REPLACE TEMPORARY FUNCTION {name}(batch_size INT DEFAULT 2000)
 RETURNS TABLE(url STRING, batch BIGINT)
 RETURN
   WITH urls AS (
-    SELECT url, CAST(conv(substring(md5(url), 1, 4), 16, 10) AS INT) AS bucket
+    SELECT url, coalesce(substring(md5(url), 1, 4), '') AS bucket
     FROM (SELECT DISTINCT url FROM {view} WHERE url IS NOT NULL)
   ), sizes AS (
     SELECT bucket, count(*) AS n FROM urls GROUP BY bucket
@@ -101,8 +102,6 @@ def _fetch_batch(transport: Transport):
                 )
 
         def terminate(self):
-            import time
-
             if not self.urls:
                 return
             initial, retry, retries, limit = self.policy
