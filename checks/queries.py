@@ -305,6 +305,29 @@ def sql_fetch_url(spark, sf_dir):
     )
 
 
+def sql_fetch_list(spark, sf_dir):
+    page_urls(spark, sf_dir).createOrReplaceTempView("requested_urls")
+    register_sql(spark, StubTransport(60), "requested_urls")
+    return spark.sql(
+        "SELECT batch, f.url, f.payload FROM (SELECT batch, as_url_shlist(urls) AS urls FROM ("
+        "  SELECT batch, array_join(collect_list(url), ' ') AS urls FROM url_batches(40) GROUP BY batch"
+        ")), LATERAL fetch_list(urls, parallel_jobs => 4) AS f"
+    )
+
+
+def sql_casts(spark, sf_dir):
+    register_sql(spark, StubTransport())
+    order_arrays(spark, sf_dir).createOrReplaceTempView("sql_arrays")
+    order_lists(spark, sf_dir).createOrReplaceTempView("sql_lists")
+    return spark.sql(
+        "SELECT o_orderkey, nullif(as_url_shlist(shlist), '') AS shlist, "
+        "  nullif(array_join(as_url_array(urls), ' '), '') AS urls "
+        "FROM (SELECT * FROM sql_lists WHERE shlist IS NOT NULL AND coalesce(is_url_shlist(shlist), true)) "
+        "JOIN (SELECT * FROM sql_arrays WHERE urls IS NOT NULL AND coalesce(is_url_array(urls), true)) "
+        "USING (o_orderkey)"
+    )
+
+
 # --- payloads, text, tables ---------------------------------------------------------
 
 
@@ -414,6 +437,8 @@ QUERIES = {
         sql_predicates,
         sql_fetch_urls,
         sql_fetch_url,
+        sql_fetch_list,
+        sql_casts,
         json_projection,
         json_lenient,
         frames_rows,

@@ -12,7 +12,7 @@ from linkloom.operators.enforce import (
     enforce_url_shlist,
     reject_counts,
 )
-from linkloom.operators.fetch import fetch
+from linkloom.operators.fetch import fetch, fetch_round
 from linkloom.operators.frames import frame_record, frames
 from linkloom.operators.policy import AttemptSettings, FetchPolicy
 from linkloom.operators.report import batch_report
@@ -28,6 +28,7 @@ __all__ = [
     "enforce_url_array",
     "enforce_url_shlist",
     "fetch",
+    "fetch_round",
     "frame_record",
     "frames",
     "last_attempts",

@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.functions import udtf
 
 from linkloom.functions.urls import URL_PATTERN
+from linkloom.operators.enforce import CHECK_VIOLATION, NOT_NULL_VIOLATION
 from linkloom.operators.fetch import Transport, fetch_concurrently
 from linkloom.operators.policy import AttemptSettings
 from linkloom.sources.http import HttpTransport
@@ -25,7 +26,7 @@ RETURNS TABLE(url STRING, batch BIGINT)
 RETURN
   WITH urls AS (
     SELECT url, coalesce(substring(md5(url), 1, 4), '') AS bucket
-    FROM (SELECT DISTINCT url FROM {view} WHERE url IS NOT NULL)
+    FROM (SELECT DISTINCT {checked} AS url FROM {view} WHERE url IS NOT NULL)
   ), sizes AS (
     SELECT bucket, count(*) AS n FROM urls GROUP BY bucket
   ), offsets AS (
@@ -51,6 +52,31 @@ def _fetch_one(transport: Transport):
     return FetchOne
 
 
+def _fetch_list(transport: Transport):
+    @udtf(returnType="url string, payload string, ts_start timestamp, ts_end timestamp")
+    class FetchList:
+        def eval(
+            self,
+            url_shlist,
+            min_latency=0.0,
+            timeout=5.0,
+            tries=1,
+            waitretry=0.0,
+            parallel_jobs=10,
+            delay=0.0,
+        ):
+            if not url_shlist:
+                return
+            settings = AttemptSettings(
+                float(min_latency), float(timeout), tries, float(waitretry), parallel_jobs, float(delay)
+            )
+            time.sleep(settings.delay)
+            with ThreadPoolExecutor(max(1, parallel_jobs)) as pool:
+                yield from fetch_concurrently(url_shlist.split(" "), transport, 0, settings, pool)
+
+    return FetchList
+
+
 def _fetch_batch(transport: Transport):
     @udtf(returnType=RESULT_COLUMNS)
     class FetchBatch:
@@ -136,34 +162,43 @@ def register_sql(
 ) -> None:
     """Register temporary functions.
 
-    ``is_url(text)``, ``is_url_array(array)``, ``is_url_shlist(text)``;
-    ``fetch_url(url, min_latency, timeout, tries, waitretry)`` and
-    ``fetch_urls(TABLE(...) PARTITION BY batch, ...)`` over ``transport``;
-    ``url_batches(batch_size)`` over the ``url`` column of ``source_view``.
-    ``names`` maps these to the names that existing queries use.
+    Tests: ``is_url(text)``, ``is_url_array(array)``, ``is_url_shlist(text)``.
+    Casts that raise: ``as_url``, ``as_url_array``, ``as_url_shlist``.
+    Requests over ``transport``: ``fetch_url(url, min_latency, timeout, tries,
+    waitretry)``; ``fetch_list(url_shlist, ..., parallel_jobs, delay)`` for a
+    space-separated list; ``fetch_urls(TABLE(...) PARTITION BY batch, ...)`` with
+    retries.  ``url_batches(batch_size)`` over the ``url`` column of
+    ``source_view``.  ``names`` maps these to the names that existing queries use.
     """
 
     def name(plain: str) -> str:
         return (names or {}).get(plain, plain)
 
-    def predicate(plain: str, argument: str, body: str) -> None:
+    def function(plain: str, argument: str, result: str, body: str) -> None:
         spark.sql(
             f"CREATE OR REPLACE TEMPORARY FUNCTION {name(plain)}({argument}) "
-            f"RETURNS BOOLEAN RETURN {body}"
+            f"RETURNS {result} RETURN {body}"
+        )
+
+    def checked(value: str, kind: str, test: str) -> str:
+        return (
+            f"CASE WHEN {value} IS NULL THEN raise_error('{NOT_NULL_VIOLATION} {kind}: NULL') WHEN NOT ({test}) "
+            f"THEN raise_error('{CHECK_VIOLATION} {kind}: value breaks the check') ELSE {value} END"
         )
 
-    test = f"x rlike r'{URL_PATTERN}'"
-    predicate("is_url", "x STRING", test)
-    predicate(
-        "is_url_array",
-        "a ARRAY<STRING>",
-        f"CASE WHEN exists(a, x -> x IS NOT NULL) THEN forall(a, x -> coalesce({test}, true)) END",
-    )
-    predicate(
-        "is_url_shlist", "s STRING", f"CASE WHEN s <> '' THEN forall(split(s, ' ', -1), x -> {test}) END"
-    )
+    one = f"rlike r'{URL_PATTERN}'"
+    array = f"CASE WHEN exists(x, e -> e IS NOT NULL) THEN forall(x, e -> coalesce(e {one}, true)) END"
+    shlist = f"CASE WHEN x <> '' THEN forall(split(x, ' ', -1), e -> e {one}) END"
+    function("is_url", "x STRING", "BOOLEAN", f"x {one}")
+    function("is_url_array", "x ARRAY<STRING>", "BOOLEAN", array)
+    function("is_url_shlist", "x STRING", "BOOLEAN", shlist)
+    function("as_url", "x STRING", "STRING", checked("x", "url", f"x {one}"))
+    function("as_url_array", "x ARRAY<STRING>", "ARRAY<STRING>", checked("x", "url_array", array))
+    function("as_url_shlist", "x STRING", "STRING", checked("x", "url_shlist", shlist))
     if source_view:
-        spark.sql(_BATCHES.format(name=name("url_batches"), view=source_view))
+        url = checked("url", "url", f"url {one}")
+        spark.sql(_BATCHES.format(name=name("url_batches"), view=source_view, checked=url))
     transport = transport or HttpTransport()
     spark.udtf.register(name("fetch_url"), _fetch_one(transport))
+    spark.udtf.register(name("fetch_list"), _fetch_list(transport))
     spark.udtf.register(name("fetch_urls"), _fetch_batch(transport))

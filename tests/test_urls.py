@@ -224,3 +224,22 @@ def test_sql_names(spark):
     assert by_sql == by_column
     register_sql(spark, names={"is_url": "looks_like_url"})
     assert spark.sql(f"SELECT looks_like_url('{GOOD}')").first()[0] is True
+
+
+def test_sql_casts(spark):
+    register_sql(spark)
+    assert spark.sql(f"SELECT as_url('{GOOD}')").first()[0] == GOOD
+    assert spark.sql("SELECT as_url_array(array()), as_url_shlist('')").first()[1] == ""
+    for call, state in [
+        (f"as_url('{BAD}')", "23514"),
+        ("as_url(NULL)", "23502"),
+        (f"as_url_array(array('{GOOD}', '{BAD}'))", "23514"),
+        (f"as_url_shlist('{GOOD}  {GOOD}')", "23514"),
+        ("as_url_shlist(NULL)", "23502"),
+    ]:
+        with pytest.raises(Exception, match=state):
+            spark.sql(f"SELECT {call}").collect()
+    url_list(spark, [GOOD, BAD]).createOrReplaceTempView("t_mixed")
+    register_sql(spark, source_view="t_mixed")
+    with pytest.raises(Exception, match="23514"):
+        spark.sql("SELECT * FROM url_batches()").collect()
