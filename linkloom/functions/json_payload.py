@@ -44,26 +44,40 @@ def _key(element: str) -> str:
     return f"['{element}']"
 
 
-def json_paths(path: str) -> list[str]:
-    """JSON paths of ``{a,b,0}``.
+def json_paths(elements: list[str]) -> list[str]:
+    """JSON paths of a list of path elements.
 
     A whole number names an array element or an object key, depending on the
     value it meets, so it yields one path for each reading.
     """
-    choices = []
-    for element in path_elements(path):
-        if re.fullmatch(r"-\d+", element):
-            raise ValueError("positions counted from the end are not supported")
-        choices.append(
-            [f"[{int(element)}]", _key(element)] if element.isdigit() else [_key(element)]
-        )
+    choices = [
+        [f"[{int(e)}]", _key(e)] if e.isascii() and e.isdigit() else [_key(e)] for e in elements
+    ]
     return ["$" + "".join(steps) for steps in itertools.product(*choices)]
 
 
+def _get(variant: Column, elements: list[str], kind: str) -> Column:
+    return F.coalesce(*[F.try_variant_get(variant, p, kind) for p in json_paths(elements)])
+
+
 def json_text(variant: Column, path: str) -> Column:
-    """Value at ``path`` as text; NULL when missing, JSON null or not reachable."""
-    found = [F.try_variant_get(variant, p, "string") for p in json_paths(path)]
-    return found[0] if len(found) == 1 else F.coalesce(*found)
+    """Value at ``path`` as text; NULL when missing, JSON null or not reachable.
+
+    ``-1`` names the last element of an array, ``-2`` the one before.
+    """
+    elements = path_elements(path)
+    for i, element in enumerate(elements):
+        if re.fullmatch(r"-[1-9][0-9]*", element):
+            array = _get(variant, elements[:i], "array<variant>")
+            from_end = F.try_element_at(array, F.lit(int(element)))
+            variant = F.coalesce(from_end, _get(variant, elements[: i + 1], "variant"))
+            rest = "{" + ",".join(_quoted(e) for e in elements[i + 1 :]) + "}"
+            return json_text(variant, rest)
+    return _get(variant, elements, "string")
+
+
+def _quoted(element: str) -> str:
+    return '"' + re.sub(r'(["\\])', r"\\\1", element) + '"'
 
 
 def parse_payload(col: Column | str, lenient: bool = False) -> Column:

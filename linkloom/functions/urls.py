@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# --- fixed values: URL grammar (follows a widely used MIT-licensed URL check) --
+# --- fixed values: URL grammar, after a URL validation pattern that is --------
+# Copyright (c) 2010-2013 Diego Perini, MIT license
 SPACE = r" \t\n\x0B\f\r"
 HOST_CHAR = r"[a-zA-Z0-9\x{a1}-\x{ffff}]"
 HOST_OR_HYPHEN = r"[a-zA-Z0-9\x{a1}-\x{ffff}-]"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,7 +72,10 @@ def live_attempts(
     that holds over the whole job.  ``run_id`` names a run that can be resumed:
     rounds finished under the same name are not fetched again.
     """
-    store = RunStore(wanted.sparkSession, run_id)
+    spark = wanted.sparkSession
+    if spark.conf.get("spark.speculation", "false") == "true":
+        warnings.warn("spark.speculation repeats requests; switch it off", stacklevel=2)
+    store = RunStore(spark, run_id)
     numbered = number_batches(distinct_urls(wanted), policy.batch_size)
     # Sorted files let a sequential batch read its own row groups only.
     requests = store.write("requests", numbered.sortWithinPartitions("batch"))
@@ -80,7 +85,7 @@ def live_attempts(
             one = requests.where(F.col("batch") == batch)
             run_rounds(one, transport, policy, store, 1, f"batch-{batch}")
     if not sequential or not batches:
-        cores = wanted.sparkSession.sparkContext.defaultParallelism
+        cores = spark.sparkContext.defaultParallelism
         wide = min(MOST_TASKS, max(cores, -(-batches // BATCHES_PER_TASK)))
         run_rounds(requests, transport, policy, store, tasks or wide)
     return stored_attempts(store, policy)

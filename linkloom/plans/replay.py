@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.functions.text import seconds_between
-from linkloom.operators.attempts import with_failrate
+from linkloom.operators.attempts import with_duration, with_failrate
 from linkloom.operators.batching import distinct_urls, number_batches
 from linkloom.operators.policy import FetchPolicy
 from linkloom.sources.snapshot import Snapshot
@@ -61,12 +60,15 @@ def replay(urls: DataFrame, snapshot: Snapshot, policy: FetchPolicy) -> DataFram
     outcomes = replay_outcomes(urls, snapshot, policy).alias("o")
     bodies = snapshot.bodies().alias("b")
     joined = outcomes.join(bodies, (F.col("o.url") == F.col("b.url")) & F.col("o.ok"), "left")
-    return joined.select(
-        "o.url",
-        "b.payload",
-        "b.ts_end",
-        seconds_between("b.ts_start", "b.ts_end").alias("duration"),
-        "o.batch",
-        "o.retries",
-        "o.batch_failrate",
+    result = joined.select(
+        "o.url", "b.payload", "b.ts_start", "b.ts_end", "o.batch", "o.retries", "o.batch_failrate"
+    )
+    # The gap to the previous end needs the rows of a batch together, payloads
+    # included; there is none to find in a snapshot without times.
+    if snapshot.ts_end:
+        timed = with_duration(result)
+    else:
+        timed = result.withColumn("duration", F.lit(None).cast("double"))
+    return timed.select(
+        "url", "payload", "ts_end", "duration", "batch", "retries", "batch_failrate"
     )

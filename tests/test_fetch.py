@@ -150,6 +150,15 @@ def test_snapshot_times(spark):
     assert row.duration == 1.5 and row.ts_end.second == 1
 
 
+def test_snapshot_with_ends_only(spark):
+    table = spark.sql(
+        "SELECT concat('http://a.com/', id) AS url, 'x' AS payload, "
+        "timestampadd(SECOND, id * id, timestamp'2024-01-01 00:00:00') AS e FROM range(4)"
+    )
+    result = fetch_batches(table, Snapshot(table, ts_end="e"))
+    assert {r.url[-1]: r.duration for r in result.collect()} == {"0": None, "1": 1.0, "2": 3.0, "3": 5.0}
+
+
 def test_each_attempt_is_requested_once(spark, urls, tmp_path):
     transport = Recording(str(tmp_path), 400)
     policy = FetchPolicy(batch_size=40, batch_retries=2, batch_retries_failrate=1.0)

@@ -10,7 +10,8 @@ from linkloom.sources import RunStore, save_table
 
 SITE = (
     '{"etablissement":{"siret":"79184256000025","unite_legale":{"denomination":"LA QUADRATURE DU NET"},'
-    '"date_dernier_traitement":"2021-02-23T16:19:11","n":[10,{"x":1.50,"7":true}],"none":null,"o\'k":"q"}}'
+    '"date_dernier_traitement":"2021-02-23T16:19:11","n":[10,{"x":1.50,"7":true}],"none":null,"o\'k":"q"},'
+    '"a,b":{"-1":{"c\\"d":"e"}},"deep":[[1,2],[3,4]]}'
 )
 
 
@@ -27,6 +28,11 @@ def test_json_projection(spark):
         "quote": "{etablissement,o'k}",
         "beyond": "{etablissement,siret,deeper}",
         "array": "{etablissement,n}",
+        "last": "{etablissement,n,-1,x}",
+        "first_from_end": "{etablissement,n,-2}",
+        "before_first": "{etablissement,n,-3}",
+        "negative_key": '{"a,b",-1,"c\\"d"}',
+        "from_end_twice": "{deep,-1,-1}",
     }
     got = {r.id: r for r in json_fields(frame, "payload", fields).collect()}
     assert tuple(got[1])[2:] == (
@@ -40,10 +46,21 @@ def test_json_projection(spark):
         "q",
         None,
         '[10,{"7":true,"x":1.5}]',
+        "1.5",
+        "10",
+        None,
+        "e",
+        "4",
     )
     assert set(tuple(got[2])[2:]) == set(tuple(got[3])[2:]) == {None}
 
 
+def test_whole_value_and_array_at_the_top(spark):
+    frame = spark.createDataFrame([("[1,[2,3]]",)], "payload string")
+    row = json_fields(frame, "payload", {"all": "{}", "last": "{-1,0}", "one": "{0}"}).first()
+    assert tuple(row)[1:] == ("[1,[2,3]]", "2", "1")
+
+
 def test_malformed_and_duplicate_keys(spark):
     bad = spark.createDataFrame([('{"a":1',), ('{"a":2}',)], "payload string")
     with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
@@ -67,10 +84,10 @@ def test_payload_is_parsed_once(spark):
 def test_paths():
     assert path_elements('{a, "b,c" ,0,"q\\"x"}') == ["a", "b,c", "0", 'q"x']
     assert path_elements("{}") == []
-    assert json_paths("{a,0}") == ["$.a[0]", "$.a['0']"]
-    for wrong in ("a,b", "{a,-1}", '{"a}'):
+    assert json_paths(["a", "0"]) == ["$.a[0]", "$.a['0']"]
+    for wrong in ("a,b", '{"a}', "{a,,\"}"):
         with pytest.raises(ValueError):
-            json_paths(wrong)
+            path_elements(wrong)
 
 
 def test_frames_round_trip(spark):
