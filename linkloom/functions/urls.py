@@ -97,11 +97,20 @@ def reject_reason(col: Column | str) -> Column:
 def broken_clause(col: Column | str) -> Column:
     """``reject_reason`` of a text known to be no valid URL."""
     url = as_column(col)
+    return clause_of(url, *authority_parts(url))
+
+
+def authority_parts(url: Column) -> tuple[Column, Column, Column]:
+    """User name, host and port (with its colon) of a text that may not be a URL."""
     authority = F.regexp_extract(url, rf"^{SCHEME}://([^/?#]*)", 1)
-    userinfo = F.regexp_extract(authority, r"(?s)^(.*)@", 1)
+    userinfo = F.regexp_extract(authority, r"(?s)^(.*@)", 1)
     host_port = F.substring_index(authority, "@", -1)
     host = F.substring_index(host_port, ":", 1)
-    port = F.substring(host_port, F.length(host) + 1, F.length(host_port))
+    return userinfo, host, F.substring(host_port, F.length(host) + 1, F.length(host_port))
+
+
+def clause_of(url: Column, userinfo: Column, host: Column, port: Column) -> Column:
+    """The broken clause, from the text and its ``authority_parts``."""
     octets = F.transform(F.split(host, r"\."), lambda x: x.try_cast("int"))
     a, b, d = (F.get(octets, i) for i in (0, 1, 3))
     private = (
@@ -114,7 +123,7 @@ def broken_clause(col: Column | str) -> Column:
     return (
         F.when(url.isNull(), "null")
         .when(~url.rlike(f"^{SCHEME}://"), "scheme")
-        .when(userinfo.rlike(f"[{SPACE}]") | authority.startswith("@"), "userinfo")
+        .when(userinfo.rlike(f"^@|[{SPACE}]"), "userinfo")
         .when(
             host.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}\z"),
             F.when(private, "private_ipv4")

@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.functions.urls import broken_clause, is_url, is_url_array, is_url_shlist
+from linkloom.functions.urls import (
+    authority_parts,
+    clause_of,
+    is_url,
+    is_url_array,
+    is_url_shlist,
+)
 
 # --- fixed values: SQLSTATE of the two ways a value can break a constraint -----
 NOT_NULL_VIOLATION = "23502"
@@ -64,6 +70,13 @@ def all_urls(df: DataFrame, by: list[str], col: str = "url", name: str = "valid"
 
 def reject_counts(df: DataFrame, col: str = "url") -> DataFrame:
     """Rows per rejection reason."""
-    # The chain of tests runs on the rejected rows only, after one match each.
-    rejected = df.where(~F.coalesce(is_url(col), F.lit(False)))
-    return rejected.groupBy(broken_clause(col).alias("reason")).agg(F.count("*").alias("rows"))
+    # The chain of tests runs on the rejected rows only, and on parts that are cut
+    # out of the text in a step of their own, once each.
+    texts = df.select(F.col(col).alias("url"))
+    rejected = texts.where(~F.coalesce(is_url("url"), F.lit(False)))
+    userinfo, host, port = authority_parts(F.col("url"))
+    parts = rejected.select(
+        "url", userinfo.alias("userinfo"), host.alias("host"), port.alias("port")
+    )
+    clause = clause_of(F.col("url"), F.col("userinfo"), F.col("host"), F.col("port"))
+    return parts.groupBy(clause.alias("reason")).agg(F.count("*").alias("rows"))

@@ -31,6 +31,8 @@ class Snapshot:
     Several rows of one URL count as one response: a non-empty payload wins,
     the greatest in case of several.  ``unique=True`` states that URLs do not
     repeat; the statement is checked, and saves aggregating the payloads.
+    ``filled`` names a boolean column that tells whether the payload is there and
+    not empty; with it the payloads are read once, for the result, and not before.
     """
 
     table: DataFrame
@@ -40,17 +42,19 @@ class Snapshot:
     ts_end: str | None = None
     faults: FaultRule | None = None
     unique: bool = False
+    filled: str | None = None
 
     def fails(self, url: Column | str, attempt: Column | int) -> Column:
         return self.faults.fails(url, attempt) if self.faults else F.lit(False)
 
     def stored(self) -> DataFrame:
         """``url, stored``: one row per URL, whether a payload exists; no bodies."""
+        filled = F.col(self.filled) if self.filled else F.col(self.payload) != ""
         found = (
             self.table.where(F.col(self.url).isNotNull())
             .groupBy(F.col(self.url).alias("url"))
             .agg(
-                F.max(F.coalesce(F.col(self.payload) != "", F.lit(False))).alias("stored"),
+                F.max(F.coalesce(filled, F.lit(False))).alias("stored"),
                 F.count("*").alias("__copies"),
             )
         )

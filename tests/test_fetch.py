@@ -150,6 +150,15 @@ def test_snapshot_times(spark):
     assert row.duration == 1.5 and row.ts_end.second == 1
 
 
+def test_a_filled_column_saves_reading_payloads(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").withColumn("big", F.col("page_id") >= 0)
+    plain = replay_outcomes(pages, Snapshot(pages, payload="html"), FetchPolicy())
+    told = replay_outcomes(pages, Snapshot(pages, payload="html", filled="big"), FetchPolicy())
+    assert sorted(plain.collect()) == sorted(told.collect())
+    plan = told._jdf.queryExecution().toString()
+    assert "html" not in plan[plan.index("== Physical Plan ==") :]
+
+
 def test_snapshot_with_ends_only(spark):
     table = spark.sql(
         "SELECT concat('http://a.com/', id) AS url, 'x' AS payload, "
@@ -187,6 +196,18 @@ def test_a_run_resumes_under_its_name(spark, urls, tmp_path):
     assert max(n for (_, attempt), n in made.items() if attempt == 1) == 1
 
 
+def test_a_cluster_must_name_its_shared_folder():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session)
+
+
 def test_store_is_shared_and_can_be_dropped(spark, urls):
     assert shared_folder(spark) == (spark.conf.get("spark.checkpoint.dir", None) or shared_folder(spark))
     store = RunStore(spark)
@@ -209,7 +230,7 @@ def test_concurrency_latency_and_delay(spark, tmp_path):
     log = live_attempts(urls, StubTransport(), paced, tasks=1)
     starts = [r[1] for r in log.groupBy("batch").agg(F.min("ts_start")).orderBy("batch").collect()]
     gaps = [(b - a).total_seconds() for a, b in zip(starts, starts[1:])]
-    assert len(gaps) == 3 and all(gap >= 0.7 for gap in gaps)
+    assert len(gaps) == 3 and all(gap >= 0.65 for gap in gaps)
 
 
 def test_batches_are_dealt_out_evenly(spark, tmp_path):
