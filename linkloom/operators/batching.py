@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Four hex digits of the hash: at most 65,536 buckets however many URLs there
-# are, so the offsets table below is of bounded size and safe to broadcast.
-BUCKET_DIGITS = 4
+# Ranges are cut at the first four hex digits of the hash, so there are at most
+# this many however many URLs there are: the offsets table below is of bounded
+# size and safe to broadcast.
+MOST_RANGES = 16**4
+ROW_IN_PARTITION = (1 << 33) - 1  # low bits of monotonically_increasing_id
 
 
 def distinct_urls(df: DataFrame, col: str = "url") -> DataFrame:
@@ -22,30 +24,36 @@ def number_batches(
     """Add ``batch`` (1, 2, ...) to rows that are distinct in ``url``.
 
     Rows are ordered by ``(md5(url), url)``, which makes the numbering
-    reproducible and spreads the URLs of one host over all batches.  A single
-    global ``row_number`` would sort everything in one task; here each hash
-    bucket is sorted by itself and shifted by the size of the buckets before it.
+    reproducible and spreads the URLs of one host over all batches.  A global
+    ``row_number`` would sort everything in one task; here partition ``p`` holds
+    the ``p``-th range of hashes, so a row's number is its place in its sorted
+    partition plus the sizes of the partitions before.  (A window per range gives
+    the same in twice the time: its sort must start with the range, which ties.)
 
     ``keys`` holds the same URLs in a frame that is cheaper to count.
     """
+    partitions = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(partitions, MOST_RANGES)
     # Coalesced only to be non-nullable: on a nullable key the join would add a
     # filter that hashes every raw row and keeps the two scans from being shared.
-    prefix = F.substring(F.md5("url"), 1, BUCKET_DIGITS)
-    bucket = F.coalesce(prefix, F.lit("")).alias("__bucket")
-    sizes = (urls if keys is None else keys).groupBy(bucket).agg(F.count("*").alias("__n"))
-    before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = F.conv(F.substring(F.md5("url"), 1, 4), 16, 10).cast("int")
+    part = F.floor(prefix * F.lit(ranges) / MOST_RANGES).cast("int")
+    piece = F.coalesce(part, F.lit(0)).alias("__range")
+    sizes = (urls if keys is None else keys).groupBy(piece).agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        F.col("__bucket"),
+        F.col("__range"),
         F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"),
     )
-    within = Window.partitionBy("__bucket").orderBy(F.md5("url"), "url")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_IN_PARTITION))
     return (
-        # Shuffled explicitly, so that the hash is computed after the shuffle.
-        urls.select("*", bucket)
-        .repartition("__bucket")
-        .withColumn("__at", F.row_number().over(within))
-        .join(F.broadcast(offsets), "__bucket")
-        .withColumn("batch", F.expr(f"(__at + __offset - 1) div {int(batch_size)} + 1"))
+        urls.select("*", piece)
+        .repartitionById(ranges, "__range")
+        .withColumn("__hash", F.md5("url"))
+        .sortWithinPartitions("__hash", "url")
+        .withColumn("__place", place)
+        .join(F.broadcast(offsets), "__range")
+        .withColumn("batch", F.expr(f"(__place + __offset) div {int(batch_size)} + 1"))
         .select(*urls.columns, "batch")
     )
 

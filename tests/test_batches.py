@@ -48,6 +48,27 @@ def test_numbers_equal_a_global_row_number(spark, count, size):
     assert got == expected_batches(urls + ["https://popular.example.com/"] * bool(count), size)
 
 
+@pytest.mark.parametrize("partitions", ["1", "3", "200"])
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_numbers_do_not_depend_on_the_layout(spark, partitions, adaptive):
+    urls = [f"https://h{i % 7}.example.com/{i}" for i in range(2000)]
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        numbered = number_batches(distinct_urls(url_list(spark, urls).repartition(5)), 64)
+        got = {r.url: r.batch for r in numbered.collect()}
+        kept = {r.url: r.batch for r in numbered.where("batch = 3").collect()}
+        counts = {r.batch: r["count"] for r in numbered.groupBy("batch").count().collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    want = expected_batches(urls, 64)
+    assert got == want
+    assert kept == {u: b for u, b in want.items() if b == 3}
+    assert all(n == 64 for b, n in counts.items() if b < max(counts))
+
+
 def test_batches_are_full_but_for_the_last(spark):
     numbered = number_batches(distinct_urls(url_range(spark, 1, 1234, "http://a.com/%s")), 100)
     sizes = [r["count"] for r in numbered.groupBy("batch").count().orderBy("batch").collect()]
