@@ -19,7 +19,7 @@ def distinct_urls(df: DataFrame, col: str = "url") -> DataFrame:
 
 
 def number_batches(
-    urls: DataFrame, batch_size: int = 2000, keys: DataFrame | None = None
+    urls: DataFrame, batch_size: int = 2000, counted: str | None = None
 ) -> DataFrame:
     """Add ``batch`` (1, 2, ...) to rows that are distinct in ``url``.
 
@@ -30,7 +30,9 @@ def number_batches(
     partition plus the sizes of the partitions before.  (A window per range gives
     the same in twice the time: its sort must start with the range, which ties.)
 
-    ``keys`` holds the same URLs in a frame that is cheaper to count.
+    The frame is read twice, for the sizes and for the numbers.  Spark computes it
+    once if both need the same columns: ``counted`` names a column, free of NULLs,
+    that the rest of the query needs as well.
     """
     partitions = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = min(partitions, MOST_RANGES)
@@ -39,7 +41,7 @@ def number_batches(
     prefix = F.conv(F.substring(F.md5("url"), 1, 4), 16, 10).cast("int")
     part = F.floor(prefix * F.lit(ranges) / MOST_RANGES).cast("int")
     piece = F.coalesce(part, F.lit(0)).alias("__range")
-    sizes = (urls if keys is None else keys).groupBy(piece).agg(F.count("*").alias("__n"))
+    sizes = urls.groupBy(piece).agg(F.count(counted or "*").alias("__n"))
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         F.col("__range"),

@@ -12,21 +12,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.operators.attempts import with_duration, with_failrate
-from linkloom.operators.batching import distinct_urls, number_batches
+from linkloom.operators.batching import number_batches
 from linkloom.operators.policy import FetchPolicy
 from linkloom.sources.snapshot import Snapshot
 
 
+def stored_flags(urls: DataFrame, snapshot: Snapshot) -> DataFrame:
+    """``url, stored`` for each distinct URL of ``urls``.
+
+    Requests and snapshot are grouped together instead of joined: one shuffle of
+    partly combined rows, hashed and never sorted, however often a URL occurs on
+    either side.
+    """
+    asked = urls.where(F.col("url").isNotNull()).select(
+        "url", F.lit(False).alias("stored"), F.lit(0).alias("copies")
+    )
+    known = snapshot.flags().withColumn("copies", F.lit(1))
+    found = asked.unionByName(known).groupBy("url").agg(
+        F.max("stored").alias("stored"),
+        F.min("copies").alias("least"),
+        F.sum("copies").alias("copies"),
+    )
+    if snapshot.unique:
+        repeated = F.raise_error(F.concat(F.lit("snapshot repeats "), F.col("url")))
+        found = found.where(
+            F.when(F.col("copies") > 1, repeated.cast("boolean")).otherwise(True)
+        )
+    return found.where("least = 0").select("url", "stored")
+
+
 def replay_outcomes(urls: DataFrame, snapshot: Snapshot, policy: FetchPolicy) -> DataFrame:
     """``url, batch, batch_failrate, retries, ok`` of the last attempt per URL."""
-    keys = distinct_urls(urls)
-    # Joined before numbering: both sides are still partitioned by URL.
-    known = keys.join(snapshot.stored(), "url", "left")
-    numbered = number_batches(known, policy.batch_size, keys)
-    stored = F.coalesce(F.col("stored"), F.lit(False))
-    first = numbered.withColumn("stored", stored).withColumn(
-        "__ok", F.col("stored") & ~snapshot.fails("url", 0)
-    )
+    numbered = number_batches(stored_flags(urls, snapshot), policy.batch_size, "stored")
+    first = numbered.withColumn("__ok", F.col("stored") & ~snapshot.fails("url", 0))
     rated = with_failrate(first, ~F.col("__ok"))
     if policy.batch_retries < 1:
         retries, ok = F.lit(0), F.col("__ok")

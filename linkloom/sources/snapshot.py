@@ -47,23 +47,12 @@ class Snapshot:
     def fails(self, url: Column | str, attempt: Column | int) -> Column:
         return self.faults.fails(url, attempt) if self.faults else F.lit(False)
 
-    def stored(self) -> DataFrame:
-        """``url, stored``: one row per URL, whether a payload exists; no bodies."""
+    def flags(self) -> DataFrame:
+        """``url, stored`` for every row: whether it has a payload; no bodies."""
         filled = F.col(self.filled) if self.filled else F.col(self.payload) != ""
-        found = (
-            self.table.where(F.col(self.url).isNotNull())
-            .groupBy(F.col(self.url).alias("url"))
-            .agg(
-                F.max(F.coalesce(filled, F.lit(False))).alias("stored"),
-                F.count("*").alias("__copies"),
-            )
+        return self.table.where(F.col(self.url).isNotNull()).select(
+            F.col(self.url).alias("url"), F.coalesce(filled, F.lit(False)).alias("stored")
         )
-        if self.unique:
-            repeated = F.raise_error(F.concat(F.lit("snapshot repeats "), F.col("url")))
-            found = found.where(
-                F.when(F.col("__copies") > 1, repeated.cast("boolean")).otherwise(True)
-            )
-        return found.drop("__copies")
 
     def bodies(self) -> DataFrame:
         """``url, payload, ts_start, ts_end`` of the URLs that have a payload."""
