@@ -50,7 +50,8 @@ def _enforce(df: DataFrame, col: str, check: Column, label: str, mode: str):
 
 def enforce_url(df: DataFrame, col: str = "url", mode: str = "fail", strict: bool = False):
     """``fail``: error on the first bad value.  ``drop``: keep good rows.
-    ``quarantine``: (good, bad).  ``flag``: add a boolean ``valid``."""
+    ``quarantine``: (good, bad), two frames that each read the source.  ``flag``:
+    add a boolean ``valid``, to write both kinds in one pass."""
     return _enforce(df, col, is_url(col, strict), "url", mode)
 
 

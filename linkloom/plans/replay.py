@@ -8,6 +8,8 @@ for reports that do not show them.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,8 +43,32 @@ def stored_flags(urls: DataFrame, snapshot: Snapshot) -> DataFrame:
     return found.where("least = 0").select("url", "stored")
 
 
+def _estimated_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def reduced_to(urls: DataFrame, snapshot: Snapshot) -> Snapshot:
+    """The snapshot without the rows nobody asks for, where that is cheap.
+
+    When Spark's size estimates say that the requests can be broadcast and the
+    snapshot cannot, a semi-join keeps the rest of a large snapshot out of every
+    shuffle.  Otherwise the snapshot is left alone: reducing it would take a
+    shuffle of its own.
+    """
+    spark = urls.sparkSession
+    most = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    asked = urls.select(F.col("url").alias(snapshot.url)).dropDuplicates()
+    if not _estimated_bytes(asked) <= most < _estimated_bytes(snapshot.table):
+        return snapshot
+    return replace(snapshot, table=snapshot.table.join(asked, snapshot.url, "left_semi"))
+
+
 def replay_outcomes(urls: DataFrame, snapshot: Snapshot, policy: FetchPolicy) -> DataFrame:
     """``url, batch, batch_failrate, retries, ok`` of the last attempt per URL."""
+    return _outcomes(urls, reduced_to(urls, snapshot), policy)
+
+
+def _outcomes(urls: DataFrame, snapshot: Snapshot, policy: FetchPolicy) -> DataFrame:
     numbered = number_batches(stored_flags(urls, snapshot), policy.batch_size, "stored")
     first = numbered.withColumn("__ok", F.col("stored") & ~snapshot.fails("url", 0))
     rated = with_failrate(first, ~F.col("__ok"))
@@ -75,7 +101,8 @@ def replay_attempts(outcomes: DataFrame) -> DataFrame:
 
 def replay(urls: DataFrame, snapshot: Snapshot, policy: FetchPolicy) -> DataFrame:
     """The result relation: one row per distinct URL."""
-    outcomes = replay_outcomes(urls, snapshot, policy).alias("o")
+    snapshot = reduced_to(urls, snapshot)
+    outcomes = _outcomes(urls, snapshot, policy).alias("o")
     bodies = snapshot.bodies().alias("b")
     joined = outcomes.join(bodies, (F.col("o.url") == F.col("b.url")) & F.col("o.ok"), "left")
     result = joined.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,4 +23,5 @@ def unnest_urls(df: DataFrame, col: str, name: str = "url") -> DataFrame:
 
 
 def url_list(spark: SparkSession, urls: list[str | None]) -> DataFrame:
-    return spark.createDataFrame([(u,) for u in urls], "url string")
+    """A frame of the URLs.  Passed as an Arrow table, so Spark knows its size."""
+    return spark.createDataFrame(pa.table({"url": pa.array(urls, pa.string())}))

@@ -159,6 +159,28 @@ def test_a_filled_column_saves_reading_payloads(spark, sf_dir):
     assert "html" not in plan[plan.index("== Physical Plan ==") :]
 
 
+@pytest.mark.parametrize("unique", [True, False])
+def test_a_few_requests_reduce_a_large_snapshot(spark, sf_dir, unique):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    few = url_list(spark, [r.url for r in pages.select("url").take(5)] + ["http://not.there.com/"])
+    snapshot = Snapshot(pages, payload="html", faults=FaultRule(300), unique=unique)
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    plain = sorted(fetch_batches(few, snapshot).collect(), key=str)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100000")
+    try:
+        reduced = fetch_batches(few, snapshot)
+        plan = reduced._jdf.queryExecution().executedPlan().toString()
+        assert sorted(reduced.collect(), key=str) == plain
+        # each read of the pages meets the requests before any shuffle
+        scans = [part for part in plan.split("\n") if "FileScan" in part and "html" in part]
+        assert plan.count("LeftSemi, BuildRight") >= len(scans) >= 2
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
+        all_large = fetch_batches(pages, snapshot)._jdf.queryExecution().executedPlan().toString()
+        assert "LeftSemi" not in all_large
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+
+
 def test_snapshot_with_ends_only(spark):
     table = spark.sql(
         "SELECT concat('http://a.com/', id) AS url, 'x' AS payload, "
@@ -301,6 +323,27 @@ def test_sql_equals_python(spark, urls):
     assert [r.payload for r in one] == ["body of http://a.com/1"]
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_times_are_instants_in_any_session_zone(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        before = time.time()
+        wanted = url_range(spark, 1, 3, "http://a.com/%s")
+        wanted.createOrReplaceTempView("t_zone")
+        register_sql(spark, StubTransport(), "t_zone")
+        frames = [
+            fetch_batches(wanted, StubTransport()),
+            fetch(wanted, "url", StubTransport()),
+            spark.sql("SELECT * FROM fetch_urls(TABLE(SELECT * FROM url_batches()) PARTITION BY batch)"),
+            spark.sql("SELECT * FROM fetch_list('http://a.com/1 http://a.com/2')"),
+        ]
+        for frame in frames:
+            for (seconds,) in frame.select(F.unix_micros("ts_end") / 1e6).collect():
+                assert before - 1 <= seconds <= time.time() + 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_duration_falls_back_to_the_gap(spark):
     log = spark.sql(
         """SELECT * FROM VALUES
