@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import itertools
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions.urls import as_column
@@ -85,10 +86,26 @@ def parse_payload(col: Column | str, lenient: bool = False) -> Column:
     return (F.try_parse_json if lenient else F.parse_json)(as_column(col))
 
 
+@contextlib.contextmanager
+def _last_key_wins(spark: SparkSession):
+    """Parsers built inside keep the last of duplicate keys instead of failing.
+
+    The setting is read when an expression is analysed, so the frame keeps it.
+    """
+    setting = "spark.sql.variant.allowDuplicateKeys"
+    usual = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, usual)
+
+
 def json_fields(
     df: DataFrame, col: str, fields: dict[str, str], lenient: bool = False
 ) -> DataFrame:
-    """Add one text column per ``{name: path}``."""
-    parsed = df.withColumn("__json", parse_payload(col, lenient))
+    """Add one text column per ``{name: path}``.  Of duplicate keys the last counts."""
+    with _last_key_wins(df.sparkSession):
+        parsed = df.withColumn("__json", parse_payload(col, lenient))
     for_each = [json_text(F.col("__json"), p).alias(n) for n, p in fields.items()]
     return parsed.select(*df.columns, *for_each)

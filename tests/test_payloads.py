@@ -66,12 +66,11 @@ def test_malformed_and_duplicate_keys(spark):
     with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
         json_fields(bad, "payload", {"a": "{a}"}).collect()
     assert [r.a for r in json_fields(bad, "payload", {"a": "{a}"}, lenient=True).collect()] == [None, "2"]
-    twice = spark.createDataFrame([('{"a":1,"a":2}',)], "payload string")
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    try:
-        assert json_fields(twice, "payload", {"a": "{a}"}).first().a == "2"
-    finally:
-        spark.conf.unset("spark.sql.variant.allowDuplicateKeys")
+    twice = spark.createDataFrame([('{"a":1,"b":{"c":2,"c":3},"a":4}',)], "payload string")
+    for lenient in (False, True):
+        row = json_fields(twice, "payload", {"a": "{a}", "c": "{b,c}"}, lenient).first()
+        assert (row.a, row.c) == ("4", "3")
+    assert spark.conf.get("spark.sql.variant.allowDuplicateKeys") == "false"
 
 
 def test_payload_is_parsed_once(spark):
