@@ -111,14 +111,6 @@ def authority_parts(url: Column) -> tuple[Column, Column, Column]:
 
 def clause_of(url: Column, userinfo: Column, host: Column, port: Column) -> Column:
     """The broken clause, from the text and its ``authority_parts``."""
-    octets = F.transform(F.split(host, r"\."), lambda x: x.try_cast("int"))
-    a, b, d = (F.get(octets, i) for i in (0, 1, 3))
-    private = (
-        a.isin(10, 127)
-        | ((a == 169) & (b == 254))
-        | ((a == 192) & (b == 168))
-        | ((a == 172) & b.between(16, 31))
-    )
     bad_port = ~port.rlike(rf"^{PORT}\z")
     return (
         F.when(url.isNull(), "null")
@@ -126,9 +118,9 @@ def clause_of(url: Column, userinfo: Column, host: Column, port: Column) -> Colu
         .when(userinfo.rlike(f"^@|[{SPACE}]"), "userinfo")
         .when(
             host.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}\z"),
-            F.when(private, "private_ipv4")
-            .when((a == 0) | a.between(224, 255), "reserved_ipv4")
-            .when(d.isin(0, 255), "ipv4_edge")
+            F.when(host.rlike(f"^{PRIVATE_NET}"), "private_ipv4")
+            .when(host.rlike(r"^(?:0+|22[4-9]|2[34][0-9]|25[0-5])\."), "reserved_ipv4")
+            .when(host.rlike(r"\.(?:0+|255)\z"), "ipv4_edge")
             .when(~host.rlike(rf"^{PUBLIC_IPV4}\z"), "ipv4_malformed")
             .when(bad_port, "port")
             .otherwise("path"),
