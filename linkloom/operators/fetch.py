@@ -60,26 +60,28 @@ def _timed(transport: Transport, url: str, attempt: int, settings: AttemptSettin
 
 
 def fetch_concurrently(
-    urls: Iterable[str],
+    requests: Iterable[tuple[int | None, str]],
     transport: Transport,
     attempt: int,
     settings: AttemptSettings,
     pool: ThreadPoolExecutor,
 ) -> Iterator[tuple]:
-    """``(url, payload, ts_start, ts_end)`` in order of completion, with at most
-    ``parallel_jobs`` requests in flight.  Ends after ``min_latency`` at the
-    earliest."""
+    """Fetch ``(batch, url)`` pairs with at most ``parallel_jobs`` in flight.
+
+    Gives ``(batch, url, payload, ts_start, ts_end)`` in order of completion and
+    ends after ``min_latency`` at the earliest.
+    """
     floor = time.monotonic() + settings.min_latency
-    waiting, in_flight = iter(urls), {}
+    waiting, in_flight = iter(requests), {}
     while True:
         room = max(1, settings.parallel_jobs) - len(in_flight)
-        for url in itertools.islice(waiting, room):
-            in_flight[pool.submit(_timed, transport, url, attempt, settings)] = url
+        for batch, url in itertools.islice(waiting, room):
+            in_flight[pool.submit(_timed, transport, url, attempt, settings)] = batch, url
         if not in_flight:
             break
         done, _ = wait(in_flight, return_when=FIRST_COMPLETED)
         for future in done:
-            yield (in_flight.pop(future), *future.result())
+            yield (*in_flight.pop(future), *future.result())
     time.sleep(max(0.0, floor - time.monotonic()))
 
 
@@ -134,12 +136,14 @@ def fetch_round(
         pairs = itertools.chain.from_iterable(
             zip(part["batch"].to_pylist(), part["url"].to_pylist()) for part in requested
         )
-        for batch, group in itertools.groupby(pairs, key=lambda pair: pair[0]):
-            if attempt > 0 or batch != 1:
+        paced = settings.delay > 0 or settings.min_latency > 0
+        # Without pacing one batch need not end before the next begins.
+        groups = itertools.groupby(pairs, key=lambda pair: pair[0] if paced else None)
+        for number, group in groups:
+            if paced and (attempt > 0 or number != 1):
                 time.sleep(settings.delay)
-            urls = (url for _, url in group)
-            for url, payload, start, end in fetch_concurrently(
-                urls, transport, attempt, settings, pool
+            for batch, url, payload, start, end in fetch_concurrently(
+                group, transport, attempt, settings, pool
             ):
                 yield url, payload, payload is not None, start, end, batch, attempt
 

@@ -46,7 +46,8 @@ def _fetch_one(transport: Transport):
         def eval(self, url, min_latency=0.0, timeout=5.0, tries=1, waitretry=0.0):
             settings = AttemptSettings(float(min_latency), float(timeout), tries, float(waitretry), 1)
             with ThreadPoolExecutor(1) as pool:
-                for _, payload, _, _ in fetch_concurrently([url], transport, 0, settings, pool):
+                one = [(None, url)]
+                for _, _, payload, _, _ in fetch_concurrently(one, transport, 0, settings, pool):
                     yield (payload,)
 
     return FetchOne
@@ -72,7 +73,9 @@ def _fetch_list(transport: Transport):
             )
             time.sleep(settings.delay)
             with ThreadPoolExecutor(max(1, parallel_jobs)) as pool:
-                yield from fetch_concurrently(url_shlist.split(" "), transport, 0, settings, pool)
+                listed = ((None, url) for url in url_shlist.split(" "))
+                for answer in fetch_concurrently(listed, transport, 0, settings, pool):
+                    yield answer[1:]
 
     return FetchList
 
@@ -83,7 +86,7 @@ def _fetch_batch(transport: Transport):
         """One instance sees one batch, at most batch_size URLs."""
 
         def __init__(self):
-            self.urls, self.batch, self.policy = [], None, None
+            self.requests, self.policy = [], None
 
         def eval(
             self,
@@ -103,9 +106,8 @@ def _fetch_batch(transport: Transport):
             batch_retries=1,
             batch_retries_failrate=0.05,
         ):
-            self.urls.append(row["url"])
+            self.requests.append((row["batch"], row["url"]))
             if self.policy is None:
-                self.batch = row["batch"]
                 self.policy = (
                     AttemptSettings(
                         float(i_min_latency),
@@ -128,26 +130,26 @@ def _fetch_batch(transport: Transport):
                 )
 
         def terminate(self):
-            if not self.urls:
+            if not self.requests:
                 return
             initial, retry, retries, limit = self.policy
-            pending, failrate = self.urls, None
+            pending, failrate = self.requests, None
             for attempt in range(retries + 1):
                 settings = retry if attempt else initial
-                if attempt or self.batch != 1:
+                if attempt or self.requests[0][0] != 1:
                     time.sleep(settings.delay)
                 with ThreadPoolExecutor(max(1, settings.parallel_jobs)) as pool:
                     got = list(fetch_concurrently(pending, transport, attempt, settings, pool))
                 if failrate is None:
-                    failrate = sum(payload is None for _, payload, _, _ in got) / len(got)
+                    failrate = sum(payload is None for _, _, payload, _, _ in got) / len(got)
                 again = attempt < retries and failrate <= limit
                 pending = []
-                for url, payload, start, end in got:
+                for batch, url, payload, start, end in got:
                     if payload is None and again:
-                        pending.append(url)
+                        pending.append((batch, url))
                         continue
                     seconds = (end - start).total_seconds()
-                    yield url, payload, end, seconds, self.batch, attempt, failrate
+                    yield url, payload, end, seconds, batch, attempt, failrate
                 if not pending:
                     return
 
