@@ -71,7 +71,7 @@ POLICIES = [
     (400, FetchPolicy(batch_size=40, batch_retries=3, batch_retries_failrate=1.0)),
     (400, FetchPolicy(batch_size=40, batch_retries=3, batch_retries_failrate=0.4)),
     (400, FetchPolicy(batch_size=1000, batch_retries=0)),
-    (1001, FetchPolicy(batch_size=70, batch_retries=2, batch_retries_failrate=1.0)),
+    (700, FetchPolicy(batch_size=150, batch_retries=2, batch_retries_failrate=1.0)),
     (0, FetchPolicy(batch_size=70)),
 ]
 
@@ -90,7 +90,7 @@ def test_replay_live_and_sequential_agree(spark, urls, per_mille, policy):
     for row in rows:
         assert row.retries <= policy.batch_retries
         assert row.retries == 0 or row.batch_failrate <= policy.batch_retries_failrate
-    if policy.batch_size >= 70:
+    if per_mille == 700:
         slow = fetch_batches(doubled, StubTransport(per_mille), policy, sequential=True)
         assert rows == sorted(slow.select(*COMPARED).collect())
     attempts = live_attempts(urls, StubTransport(per_mille), policy)
