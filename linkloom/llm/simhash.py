@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.frames import stored
-from linkloom.llm.words import sliced, spaced, split_words
+from linkloom.llm.words import SLICE_BYTES, sliced, spaced, split_words
 
 #: Two-bit segments: with this mask, a popcount per segment is one shift and one sum.
 HALF_MASK = 0x5555555555555555
+#: Shingles whose bits are counted at a time.
+SHINGLES = 1 << 16
 #: Fingerprints of a cell that meet in one task.
 BLOCK = 1024
 #: Cells up to this size are compared together, larger ones each by itself.
@@ -33,21 +35,19 @@ def _fingerprint_batch(column: pa.Array, size: int, seed: int) -> np.ndarray:
         np.arange(n_shingles.sum()) - np.repeat(np.cumsum(n_shingles) - n_shingles, n_shingles)
     )
     last = begin + np.repeat(length, n_shingles) - 1
+    doc = np.repeat(np.arange(len(column)), n_shingles)
+    ones = np.zeros((len(column), 64), dtype=np.int64)
     digest = xxhash.xxh64_intdigest
-    hashes = np.array(
-        [digest(text[i:j], seed) for i, j in zip(start[begin].tolist(), end[last].tolist(), strict=True)],
-        dtype=np.uint64,
-    )
-    out = np.zeros(len(column), dtype=np.uint64)
-    filled = np.flatnonzero(n_shingles)
-    if len(filled):
+    for p in range(0, len(begin), SHINGLES):
+        i, j = start[begin[p : p + SHINGLES]].tolist(), end[last[p : p + SHINGLES]].tolist()
+        hashes = np.fromiter((digest(text[a:b], seed) for a, b in zip(i, j, strict=True)), np.uint64, len(i))
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        at = (np.cumsum(n_shingles) - n_shingles)[filled]
-        ones = np.add.reduceat(bits, at, axis=0, dtype=np.int64)
-        majority = (2 * ones > n_shingles[filled, None]).astype(np.uint8)
-        packed = np.packbits(majority, axis=1, bitorder="little")
-        out[filled] = np.ascontiguousarray(packed).view(np.uint64).ravel()
-    return out
+        own = doc[p : p + SHINGLES]
+        edge = np.concatenate(([0], np.flatnonzero(np.diff(own)) + 1))
+        ones[own[edge]] += np.add.reduceat(bits, edge, axis=0, dtype=np.int32)
+    majority = (2 * ones > n_shingles[:, None]).astype(np.uint8)
+    packed = np.packbits(majority, axis=1, bitorder="little")
+    return np.ascontiguousarray(packed).view(np.uint64).ravel()
 
 
 def fingerprints(
@@ -62,7 +62,7 @@ def fingerprints(
     kind = rows.schema["doc_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", SLICE_BYTES // 4):
             values = _fingerprint_batch(batch.column("text"), size, seed).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values)], ["doc_id", "fp"])
 
