@@ -260,15 +260,22 @@ def near_duplicates(
     keep their row and never name a component unless no member has an id.
     """
     prints = stored(fingerprints(docs, doc_id=doc_id, text=text, size=size, seed=seed))
-    values = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    values = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")))
     found = components(near_links(values.select("fp"), distance))
     named = found.join(values.withColumnRenamed("fp", "node"), "node")
     component = named.groupBy("root").agg(F.min("least").alias("component_id"))
     by_value = found.join(component, "root").select(F.col("node").alias("fp"), "component_id")
     by_value = values.join(by_value, "fp", "left").select(
-        "fp", F.coalesce("component_id", "least").alias("component_id")
+        "fp", "copies", F.coalesce("component_id", "least").alias("component_id")
     )
-    return prints.join(by_value, "fp", "left").select(
+    # Values with more than a thousandth of the rows are below a thousand, hence the broadcast.
+    n = values.agg(F.sum("copies")).first()[0] or 0
+    often = by_value.where(F.col("copies") > n / 1000).select("fp", F.col("component_id").alias("often"), F.lit(True).alias("hot"))
+    marked = prints.join(F.broadcast(often), "fp", "left")
+    by_value = by_value.where(F.col("copies") <= n / 1000)
+    rest = marked.where("hot IS NULL").drop("often", "hot").join(by_value, "fp").select("doc_id", "fp", "component_id")
+    named = marked.where("hot").select("doc_id", "fp", F.col("often").alias("component_id"))
+    return rest.unionByName(named).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
