@@ -19,8 +19,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 #: Offset of the ranks under Zipf's law.
 ZIPF = 100.0
-#: Taken from the least score of a piece for a character that no piece is.
-UNKNOWN_PENALTY = 10.0
+#: Scores become whole numbers: ``-score`` in units of the greatest one over 2 ** (COST_BITS - 1).
+#: A character that no piece is costs twice the dearest piece.
+COST_BITS = 24
 #: Bytes of text that are packed into one row and regrouped together.
 PACK_BYTES = 2 << 20
 #: Texts that the cache of frequent runs is chosen from, and its size. Any cache gives
@@ -35,7 +36,7 @@ class Vocabulary:
     """Pieces of a model: those of ordinary text with their scores, and one for each byte."""
 
     pieces: list[str]
-    scores: np.ndarray
+    costs: np.ndarray  # negated scores in whole units, below 2 ** COST_BITS
     usable: np.ndarray
     bytes_at: np.ndarray  # piece number of each byte, -1 without byte pieces
     unknown: int
@@ -45,8 +46,8 @@ class Vocabulary:
         return max(len(p) for p, u in zip(self.pieces, self.usable, strict=True) if u)
 
     @property
-    def unknown_score(self) -> float:
-        return float(self.scores[self.usable].min()) - UNKNOWN_PENALTY
+    def unknown_cost(self) -> int:
+        return int(self.costs[self.usable].max() * 2)
 
 
 def load_vocabulary(path: str = MODEL, zipf: float | None = ZIPF) -> Vocabulary:
@@ -70,10 +71,14 @@ def load_vocabulary(path: str = MODEL, zipf: float | None = ZIPF) -> Vocabulary:
     if zipf is not None:
         share = 1 / (np.maximum(-scores, 0) + zipf)
         scores = np.log(share / share[usable].sum())
+    # Pieces that a model all but forbids are as dear as the dearest other one.
+    costs = np.where(-scores > 1e8, -1, -scores)
+    costs = np.where(costs < 0, costs[usable].max(), costs)
+    costs = np.round(costs * (2 ** (COST_BITS - 1) - 1) / costs[usable].max()).astype(np.int64)
     bad = [p for p, s in zip(pieces, special, strict=True) if not s and SPACE in p.lstrip(SPACE)]
     if bad:
         raise ValueError(f"pieces that go on over a space are not supported: {bad[:3]}")
-    return Vocabulary(pieces, scores, usable, at, model.unk_id())
+    return Vocabulary(pieces, costs, usable, at, model.unk_id())
 
 
 # --- runs: stretches of text that no piece leaves ------------------------------------
@@ -132,26 +137,26 @@ def text_runs(joints: Joints, index: np.ndarray, column: pa.Array) -> tuple[pa.S
 
 
 def piece_table(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
-    """``piece, id, score`` of the usable pieces; as many rows as the model has pieces."""
+    """``piece, id, cost`` of the usable pieces; as many rows as the model has pieces."""
     at = np.flatnonzero(vocabulary.usable)
     table = pa.table(
         {
             "piece": pa.array([vocabulary.pieces[i] for i in at]),
             "id": pa.array(at.astype(np.int32)),
-            "score": pa.array(vocabulary.scores[at]),
+            "cost": pa.array(vocabulary.costs[at]),
         }
     )
     return spark.createDataFrame(table)
 
 
-def best_paths(words: DataFrame, pieces: DataFrame, longest: int, unknown_score: float) -> DataFrame:
-    """``words`` (distinct, column ``word`` not empty) with ``path``.
+def best_paths(words: DataFrame, pieces: DataFrame, longest: int, unknown_cost: int) -> DataFrame:
+    """``words`` (distinct, column ``word`` of 1 to ``LONG_RUN`` characters) with ``path``.
 
     ``path[e]`` is the piece that the best path to position e + 1 ends with, -1 for a
     character that is no piece. Substrings of up to ``longest`` characters are
     exploded and equi-joined to the pieces (a table of the model's size, broadcast);
-    edges are grouped by word, and one fold over them in order of their ends keeps the
-    scores of the last positions. Of equal scores the longer last piece wins. Grouping keeps
+    edges are grouped by word, and one fold over the positions keeps the costs of the
+    last ``longest`` of them. Of equal costs the longer last piece wins. Grouping keeps
     the partitioning that ``words`` has by its other columns.
     """
     keys = words.columns
@@ -160,41 +165,41 @@ def best_paths(words: DataFrame, pieces: DataFrame, longest: int, unknown_score:
     most = F.least(F.lit(longest), n - F.col("_s") + 1)
     spans = starts.withColumn("_l", F.explode(F.sequence(F.lit(1), most)))
     spans = spans.withColumn("_piece", F.substring("word", F.col("_s"), F.col("_l")))
-    found = F.broadcast(pieces.select(F.col("piece").alias("_piece"), F.col("id").alias("_id"), F.col("score").alias("_score")))
+    found = F.broadcast(pieces.select(F.col("piece").alias("_piece"), F.col("id").alias("_id"), F.col("cost").alias("_cost")))
     edges = spans.join(found, "_piece", "left").where(F.col("_id").isNotNull() | (F.col("_l") == 1))
-    edge = F.struct(
-        (F.col("_s") + F.col("_l") - 1).alias("end"),
-        F.col("_l").alias("len"),
-        F.coalesce("_score", F.lit(unknown_score)).alias("score"),
-        F.coalesce("_id", F.lit(-1)).alias("id"),
-    )
-    grouped = edges.groupBy(*keys).agg(F.array_sort(F.collect_list(edge)).alias("_edges"))
-    far = -1e300
+    # An edge is one long: end, length, cost and piece + 1, from the high bits down.
+    edge = F.expr(f"""
+      shiftleft(cast(_s + _l - 1 AS bigint), 46) | shiftleft(cast(_l AS bigint), 41)
+      | shiftleft(cast(coalesce(_cost, {unknown_cost}) AS bigint), 17) | cast(coalesce(_id, -1) + 1 AS bigint)""")
+    grouped = edges.groupBy(*keys).agg(F.collect_list(edge).alias("_edges"))
+    # A candidate is one long as well: cost of its path, 31 - length, piece + 1; the least is best.
     fold = f"""
-      aggregate(_edges,
-        struct(concat(array_repeat(double({far}), {longest - 1}), array(0D)) AS last, 1 AS end,
-               struct(double({far}) AS score, 0 AS len, -1 AS id) AS best, cast(array() AS array<int>) AS path),
-        (a, e) -> element_at(transform(array(if(e.end = a.end, a, struct(
-            concat(slice(a.last, 2, {longest - 1}), array(a.best.score)) AS last, e.end AS end,
-            struct(double({far}) AS score, 0 AS len, -1 AS id) AS best, concat(a.path, array(a.best.id)) AS path))),
-          b -> struct(b.last AS last, b.end AS end,
-            greatest(b.best, struct(element_at(b.last, -e.len) + e.score AS score, e.len AS len, e.id AS id)) AS best,
-            b.path AS path)), 1),
-        a -> concat(a.path, array(a.best.id)))"""
+      aggregate(
+        transform(sequence(1, length(word)), e -> filter(_edges, x -> shiftright(x, 46) = e)),
+        named_struct('last', concat(array_repeat(shiftleft(1L, 34), {longest - 1}), array(0L)),
+                     'path', cast(array() AS array<int>)),
+        (a, p) -> element_at(transform(
+          array(array_min(transform(p, x ->
+            shiftleft(element_at(a.last, -cast(shiftright(x, 41) & 31 AS int)) + (shiftright(x, 17) & 16777215), 22)
+            | shiftleft(31 - (shiftright(x, 41) & 31), 17) | (x & 131071)))),
+          b -> named_struct('last', concat(slice(a.last, 2, {longest - 1}), array(shiftright(b, 22))),
+                            'path', concat(a.path, array(cast((b & 131071) - 1 AS int))))), 1),
+        a -> a.path)"""
     return grouped.select(*keys, F.expr(fold).alias("path"))
 
 
 def fold_run(run: str, vocabulary: Vocabulary, places: dict[str, int]) -> list[int]:
     """The same fold for one very long run, over positions."""
-    longest, unknown = vocabulary.longest, vocabulary.unknown_score
-    best, path = [0.0], []
+    longest, unknown = vocabulary.longest, vocabulary.unknown_cost
+    best, path = [0], []
     for end in range(1, len(run) + 1):
-        top = (-1e300, 0, -1)
+        top = None
         for size in range(1, min(longest, end) + 1):
             at = places.get(run[end - size : end], -1)
             if at >= 0 or size == 1:
-                gain = vocabulary.scores[at] if at >= 0 else unknown
-                top = max(top, (best[end - size] + float(gain), size, at))
+                cost = int(vocabulary.costs[at]) if at >= 0 else unknown
+                reached = (best[end - size] + cost, -size, at)
+                top = reached if top is None else min(top, reached)
         best.append(top[0])
         path.append(top[2])
     return path
@@ -285,15 +290,15 @@ def encoded(
     ``round_trip`` says that decoding gives the text back (a space mark in a text reads as a space).
 
     Texts are cut into runs that no piece leaves. Frequent runs of a bounded sample of
-    texts are encoded once and broadcast, with a fixed bound. Texts travel in packs, each
-    row with all its distinct runs, in one shuffle; other runs are encoded by the lattice
-    of their pack, whose grouping needs no further shuffle.
+    texts are encoded once and broadcast, with a fixed bound. Texts travel in packs, in one
+    shuffle; their other runs travel by the same key and are encoded there by the lattice,
+    whose grouping needs no further shuffle.
     """
     spark = docs.sparkSession
     vocabulary = load_vocabulary(model, zipf)
     joints = Joints.of(vocabulary)
     pieces = piece_table(spark, vocabulary)
-    longest, unknown_score = vocabulary.longest, vocabulary.unknown_score
+    longest, unknown_cost = vocabulary.longest, vocabulary.unknown_cost
     size = np.array([len(p) for p in vocabulary.pieces])
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -312,7 +317,7 @@ def encoded(
     sample = rows.sample(share, seed=11) if share < 1 else rows
     frequent = sample.mapInArrow(runs_of, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     frequent = frequent.where("n > 1").select("word").limit(cache_runs).repartition("word")
-    known = best_paths(frequent, pieces, longest, unknown_score).toArrow()
+    known = best_paths(frequent, pieces, longest, unknown_cost).toArrow()
     known_runs = pa.concat_arrays(known["word"].chunks) if known.num_rows else pa.array([], pa.string())
     if known.num_rows:
         paths = pa.concat_arrays(known["path"].chunks)
@@ -339,17 +344,16 @@ def encoded(
     def unpacked(content: bytes) -> pa.RecordBatch:
         return pa.ipc.open_stream(content).read_next_batch()
 
-    @F.arrow_udf("array<string>")
-    def other_runs(contents: pa.Array) -> pa.Array:
-        own = shared.value[1].runs
-        out = []
-        for content in contents:
-            runs = unpacked(content.as_py()).column("runs").values.dictionary
-            fresh = pc.is_null(pc.index_in(runs, value_set=own)) if len(own) else pa.array([True] * len(runs))
-            out.append(runs.filter(pc.and_(fresh, pc.less_equal(pc.utf8_length(runs), LONG_RUN))))
-        reach = np.concatenate(([0], np.cumsum([len(x) for x in out]))).astype(np.int32)
-        values = pa.concat_arrays(out) if out else pa.array([], pa.string())
-        return pa.ListArray.from_arrays(pa.array(reach), values)
+    def other_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The same slices as in packed(), so the same numbers.
+        index, k, own = joints.index(), TaskContext.get().partitionId() << 32, shared.value[1].runs
+        for batch in sliced(batches, "text", PACK_BYTES):
+            runs = text_runs(joints, index, batch.column("text"))[0].unique()
+            runs = runs.filter(pc.less_equal(pc.utf8_length(runs), LONG_RUN))
+            if len(own):
+                runs = runs.filter(pc.is_null(pc.index_in(runs, value_set=own)))
+            yield pa.RecordBatch.from_arrays([pa.array([k] * len(runs), pa.int64()), runs], ["pack", "word"])
+            k += 1
 
     def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, own = shared.value
@@ -385,8 +389,8 @@ def encoded(
                 )
 
     packs = rows.mapInArrow(packed, "pack long, content binary").repartition("pack")
-    other = packs.select("pack", F.explode(other_runs("content")).alias("word"))
-    solved = best_paths(other, pieces, longest, unknown_score)
+    other = rows.mapInArrow(other_runs, "pack long, word string").repartition("pack")
+    solved = best_paths(other, pieces, longest, unknown_cost)
     patches = solved.groupBy("pack").agg(F.collect_list(F.struct("word", "path")).alias("patch"))
     joined = packs.join(patches.withColumnRenamed("pack", "_pack"), F.col("pack") == F.col("_pack"), "left")
     out = f"doc_id {kind}, ids array<int>, n_tokens long, round_trip boolean"
