@@ -69,7 +69,10 @@ def trained_dictionary(pages: DataFrame, html: str = "html") -> bytes:
     """
     fit = (F.length(html) > 0) & (F.length(html) <= DICTIONARY_TEXT)
     rows = pages.where(fit).select(F.xxhash64(html).alias("h"), F.col(html).alias("t"))
-    samples = [r["t"].encode() for r in rows.orderBy("h").limit(DICTIONARY_ROWS).collect()]
+    # Hashes first, so that no task returns more texts than are chosen in all; copies count once.
+    hashes = [r["h"] for r in rows.select("h").distinct().orderBy("h").limit(DICTIONARY_ROWS).collect()]
+    chosen = rows.where(F.col("h").isin(hashes)).groupBy("h").agg(F.min("t").alias("t"))
+    samples = [r["t"].encode() for r in chosen.orderBy("h").collect()] if hashes else []
     if len(samples) < 8 or sum(map(len, samples)) < 16 << 10:
         return b""
     try:
