@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm.words import sliced
+from linkloom.llm.words import Words, sliced, text_bytes, word_hashes
 
 SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -245,14 +247,60 @@ def ids_of(words: pa.Array, paths: pa.ListArray, vocabulary: Vocabulary, size: n
 # --- documents ---------------------------------------------------------------------------
 
 
+def run_hashes(runs: pa.Array) -> np.ndarray:
+    data, offsets = text_bytes(runs)
+    return word_hashes(Words(data, offsets, np.ones(len(data), bool), offsets[:-1], offsets[1:], offsets[:0]))
+
+
 @dataclass(frozen=True)
 class Cache:
-    """Tokens of frequent runs."""
+    """Tokens of frequent runs, in order of a hash of the run."""
 
     runs: pa.Array
+    hashes: np.ndarray
     ids: np.ndarray
     starts: np.ndarray
 
+    @classmethod
+    def of(cls, runs: pa.Array, paths: pa.Array, vocabulary: Vocabulary, size: np.ndarray) -> Cache:
+        hashes = run_hashes(runs)
+        order = np.argsort(hashes)
+        runs = runs.take(pa.array(order))
+        return cls(runs, hashes[order], *ids_of(runs, paths.take(pa.array(order)), vocabulary, size))
+
+    def find(self, runs: pa.Array) -> np.ndarray:
+        """Place of each run, -1 where it is not held; equal hashes are confirmed by the run itself."""
+        if not len(self.runs) or not len(runs):
+            return np.full(len(runs), -1)
+        at = np.minimum(np.searchsorted(self.hashes, run_hashes(runs)), len(self.hashes) - 1)
+        same = pc.equal(self.runs.take(pa.array(at)), runs).to_numpy(zero_copy_only=False)
+        return np.where(same, at, -1)
+
+
+def pack(ids: pa.Array, runs: pa.Array, n: np.ndarray) -> bytes:
+    """Rows of a pack: ids, numbers of runs, distinct runs by frequency, and codes as byte planes."""
+    coded = runs.dictionary_encode()
+    code = coded.indices.to_numpy(zero_copy_only=False)
+    order = np.argsort(-np.bincount(code, minlength=len(coded.dictionary)), kind="stable")
+    rank = np.empty(len(order), dtype=np.uint32)
+    rank[order] = np.arange(len(order))
+    parts = []
+    for columns in ({"doc_id": ids, "n": pa.array(n)}, {"run": coded.dictionary.take(pa.array(order))}):
+        batch, sink = pa.RecordBatch.from_pydict(columns), pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema) as writer:
+            writer.write_batch(batch)
+        parts.append(sink.getvalue().to_pybytes())
+    planes = rank[code].view(np.uint8).reshape(-1, 4).T.tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps([*parts, planes]))
+
+
+def unpack(content: bytes) -> tuple[pa.Array, np.ndarray, pa.Array, np.ndarray]:
+    """What ``pack`` was given: ids, numbers of runs, distinct runs, and the code of each run."""
+    rows, runs, planes = pickle.loads(zstandard.ZstdDecompressor().decompress(content))
+    rows = pa.ipc.open_stream(rows).read_next_batch()
+    code = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+    return rows["doc_id"], rows["n"].to_numpy(), pa.ipc.open_stream(runs).read_next_batch()["run"], code.astype(np.int64)
+
 
 def _gather(values: np.ndarray, starts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Stretches ``which`` of ``values``, one after the other, and their lengths."""
@@ -305,7 +353,7 @@ def encoded(
 
     def runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = joints.index()
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", PACK_BYTES):
             runs, _ = text_runs(joints, index, batch.column("text"))
             counted = runs.value_counts()
             short = pc.less_equal(pc.utf8_length(counted.field("values")), LONG_RUN)
@@ -318,40 +366,26 @@ def encoded(
     frequent = sample.mapInArrow(runs_of, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     frequent = frequent.where("n > 1").select("word").limit(cache_runs).repartition("word")
     known = best_paths(frequent, pieces, longest, unknown_cost).toArrow()
-    known_runs = pa.concat_arrays(known["word"].chunks) if known.num_rows else pa.array([], pa.string())
     if known.num_rows:
-        paths = pa.concat_arrays(known["path"].chunks)
-        cache = Cache(known_runs, *ids_of(known_runs, paths, vocabulary, size))
+        cache = Cache.of(*(pa.concat_arrays(known[c].chunks) for c in ("word", "path")), vocabulary, size)
     else:
-        cache = Cache(known_runs, np.zeros(0, np.int64), np.zeros(1, np.int64))
+        cache = Cache(pa.array([], pa.string()), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(1, np.int64))
     shared = spark.sparkContext.broadcast((vocabulary, cache))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, k = joints.index(), TaskContext.get().partitionId() << 32
-        options = pa.ipc.IpcWriteOptions(compression="zstd")
         for batch in sliced(batches, "text", PACK_BYTES):
-            runs, n = text_runs(joints, index, batch.column("text"))
-            reach = pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32))
-            lists = pa.ListArray.from_arrays(reach, runs.dictionary_encode())
-            pack = pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["doc_id", "runs"])
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, pack.schema, options=options) as writer:
-                writer.write_batch(pack)
-            packs = pa.array([sink.getvalue().to_pybytes()], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([k]), packs], ["pack", "content"])
+            content = pack(batch.column("doc_id"), *text_runs(joints, index, batch.column("text")))
+            yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([content], pa.binary())], ["pack", "content"])
             k += 1
 
-    def unpacked(content: bytes) -> pa.RecordBatch:
-        return pa.ipc.open_stream(content).read_next_batch()
-
     def other_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The same slices as in packed(), so the same numbers.
-        index, k, own = joints.index(), TaskContext.get().partitionId() << 32, shared.value[1].runs
+        index, k, own = joints.index(), TaskContext.get().partitionId() << 32, shared.value[1]
         for batch in sliced(batches, "text", PACK_BYTES):
             runs = text_runs(joints, index, batch.column("text"))[0].unique()
             runs = runs.filter(pc.less_equal(pc.utf8_length(runs), LONG_RUN))
-            if len(own):
-                runs = runs.filter(pc.is_null(pc.index_in(runs, value_set=own)))
+            runs = runs.filter(pa.array(own.find(runs) < 0))
             yield pa.RecordBatch.from_arrays([pa.array([k] * len(runs), pa.int64()), runs], ["pack", "word"])
             k += 1
 
@@ -360,9 +394,7 @@ def encoded(
         places = {p: i for i, p in enumerate(words.pieces) if words.usable[i]}
         for batch in batches:
             for content, patch in zip(batch.column("content"), batch.column("patch"), strict=True):
-                pack = unpacked(content.as_py())
-                lists = pack.column("runs")
-                runs, code = lists.values.dictionary, lists.values.indices.to_numpy().astype(np.int64)
+                doc_ids, n, runs, code = unpack(content.as_py())
                 extra, paths = pa.array([], pa.string()), pa.array([], pa.list_(pa.int32()))
                 if patch.is_valid and len(patch.values):
                     extra, paths = patch.values.field("word"), patch.values.field("path")
@@ -374,18 +406,21 @@ def encoded(
                 ids, starts = ids_of(extra, paths, words, size)
                 values = np.concatenate((own.ids, ids))
                 starts = np.concatenate((own.starts[:-1], starts + len(own.ids)))
-                at = pc.index_in(runs, value_set=pa.concat_arrays([own.runs, extra.cast(pa.string())]))
-                tokens, width = _gather(values, starts, at.to_numpy().astype(np.int64)[code])
+                at = own.find(runs)
+                fresh = pc.index_in(runs.filter(pa.array(at < 0)), value_set=extra.cast(pa.string()))
+                at[at < 0] = fresh.to_numpy(zero_copy_only=False) + len(own.runs)
+                tokens, width = _gather(values, starts, at[code])
                 before = np.concatenate(([0], np.cumsum(width)))
-                reach = before[np.asarray(lists.offsets)]
-                ids = pa.ListArray.from_arrays(pa.array(reach.astype(np.int32)), pa.array(tokens.astype(np.int32)))
-                wanted = pc.binary_join(pa.ListArray.from_arrays(lists.offsets, lists.values.dictionary_decode()), "")
-                wanted = pc.replace_substring(wanted, SPACE, " ")
-                wanted = pc.utf8_slice_codeunits(wanted, 1, None)
+                reach = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
+                ids = pa.ListArray.from_arrays(
+                    pa.array(before[reach].astype(np.int32)), pa.array(tokens.astype(np.int32))
+                )
+                wanted = pc.binary_join(pa.ListArray.from_arrays(pa.array(reach), runs.take(pa.array(code))), "")
+                wanted = pc.utf8_slice_codeunits(pc.replace_substring(wanted, SPACE, " "), 1, None)
                 same = pc.equal(decode(ids, words), wanted)
-                n = pa.array(np.diff(reach))
+                n_tokens = pa.array(np.diff(before[reach]))
                 yield pa.RecordBatch.from_arrays(
-                    [pack.column("doc_id"), ids, n, same], ["doc_id", "ids", "n_tokens", "round_trip"]
+                    [doc_ids, ids, n_tokens, same], ["doc_id", "ids", "n_tokens", "round_trip"]
                 )
 
     packs = rows.mapInArrow(packed, "pack long, content binary").repartition("pack")

@@ -62,7 +62,7 @@ def fingerprints(
     kind = rows.schema["doc_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text", SLICE_BYTES // 4):
+        for batch in sliced(batches, "text", SLICE_BYTES // 2):
             values = _fingerprint_batch(batch.column("text"), size, seed).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values)], ["doc_id", "fp"])
 

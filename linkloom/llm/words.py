@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at a time. A longer text is a slice by itself.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 NOT_SPACE = np.array([b not in SPACES for b in range(256)])
