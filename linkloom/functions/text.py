@@ -29,20 +29,36 @@ def array_to_string(col: Column | str, sep: str) -> Column:
 
 
 def array_literal(col: Column | str) -> Column:
-    """Read a ``{a,"b,c",NULL}`` array literal into an array of text."""
-    body = F.regexp_extract(as_column(col), r"(?s)^\s*\{(.*)\}\s*\z", 1)
-    items = F.regexp_extract_all(
-        body, F.lit(r'(?s)\s*("(?:[^"\\]|\\.)*+"|[^,"]++)\s*(?:,|\z)'), 1
-    )
+    """Read a ``{a,"b,c",NULL}`` array literal into an array of text.
+
+    Malformed and nested literals raise (SQLSTATE 22P02); NULL gives NULL. A backslash
+    escapes inside quotes only.
+    """
+    text = as_column(col)
+    body = F.regexp_extract(text, r"(?s)^\s*\{(.*)\}\s*\z", 1)
+    pattern = F.lit(r'(?s)\s*("[^"\\]*+(?:\\.[^"\\]*+)*+"|[^,"{}]++)\s*(?:,|\z)')
+    items = F.regexp_extract_all(body, pattern, 1)
+
+    def bare(item: Column) -> Column:
+        return F.regexp_replace(item, r"^\s+|\s+\z", "")
 
     def value(item: Column) -> Column:
-        bare = F.regexp_replace(item, r"^\s+|\s+\z", "")
+        plain = bare(item)
         quoted = F.regexp_replace(
-            F.substring(bare, F.lit(2), F.length(bare) - 2), r"(?s)\\(.)", "$1"
+            F.substring(plain, F.lit(2), F.length(plain) - 2), r"(?s)\\(.)", "$1"
         )
-        return F.when(bare.startswith('"'), quoted).when(F.upper(bare) != "NULL", bare)
-
-    return F.transform(items, value)
+        return F.when(plain.startswith('"'), quoted).when(F.upper(plain) != "NULL", plain)
+
+    # Items cover the body without gaps, and none is missing.
+    whole = F.array_join(F.regexp_extract_all(body, pattern, 0), "") == body
+    whole = whole & ~body.rlike(r",\s*\z") & ~F.exists(items, lambda item: bare(item) == "")
+    empty = F.trim(F.regexp_replace(body, r"\s", "")) == ""
+    good = text.rlike(r"(?s)^\s*\{.*\}\s*\z") & (empty | whole)
+    raised = F.raise_error(F.concat(F.lit("22P02 malformed array literal: "), text))
+    none = F.array().cast("array<string>")
+    return F.when(good, F.when(empty, none).otherwise(F.transform(items, value))).when(
+        text.isNotNull(), raised.cast("array<string>")
+    )
 
 
 def split_to_rows(

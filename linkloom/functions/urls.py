@@ -7,6 +7,8 @@ once per label and a hostile host name overflows the executor's stack.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,6 +52,16 @@ URL_PATTERN = _pattern(LABEL, r"\.?", "")
 STRICT_URL_PATTERN = _pattern(STRICT_LABEL, "", "/?#")
 
 
+_PYTHON_PATTERN = re.compile(
+    re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: chr(int(m[1], 16)), URL_PATTERN).replace(r"\z", r"\Z")
+)
+
+
+def is_url_text(value: str) -> bool:
+    """``is_url`` of one value, for code that runs in Python workers anyway."""
+    return _PYTHON_PATTERN.match(value) is not None
+
+
 def as_column(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 

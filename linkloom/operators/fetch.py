@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linkloom.functions.urls import is_url_text
+from linkloom.operators.enforce import CHECK_VIOLATION
 from linkloom.operators.policy import AttemptSettings
 
 Transport = Callable[[str, int, AttemptSettings], "bytes | str | None"]
@@ -164,12 +166,21 @@ def fetch(
     url: str,
     transport: Transport,
     settings: AttemptSettings = AttemptSettings(),
+    *,
+    on_invalid: str = "fail",
+    tasks: int | None = None,
 ) -> DataFrame:
     """Fetch the URL of every row: adds ``payload, ts_start, ts_end``.
 
-    Each request by itself takes ``min_latency`` at least.  The frame is lazy and
-    requests are made again whenever it is computed again: write it before use.
+    Each request by itself takes ``min_latency`` at least.  Rows are dealt out evenly to
+    ``tasks`` tasks, by default one a core, as requests take far longer than rows.
+    A value that is no URL fails the job, or with ``on_invalid="skip"`` is not requested;
+    neither is NULL.  The frame is lazy and requests are made again whenever it is
+    computed again: write it before use.
     """
+    if on_invalid not in ("fail", "skip"):
+        raise ValueError(f"on_invalid is 'fail' or 'skip', not {on_invalid!r}")
+    df = df.repartition(tasks or df.sparkSession.sparkContext.defaultParallelism)
     added = T.StructType(
         [
             T.StructField("payload", T.StringType()),
@@ -184,6 +195,15 @@ def fetch(
         time.sleep(max(0.0, floor - time.monotonic()))
         return answer
 
+    def asked(value: str | None) -> tuple:
+        if value is None:
+            return (None,) * 3
+        if not is_url_text(value):
+            if on_invalid == "fail":
+                raise ValueError(f"{CHECK_VIOLATION} url: not a URL: {value[:200]!r}")
+            return (None,) * 3
+        return one(value)
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with ThreadPoolExecutor(max(1, settings.parallel_jobs)) as pool:
             step = 4 * max(1, settings.parallel_jobs)
@@ -191,7 +211,7 @@ def fetch(
                 for at in range(0, part.num_rows, step):
                     piece = part.slice(at, step)
                     urls = piece.column(piece.schema.get_field_index(url)).to_pylist()
-                    got = list(pool.map(lambda u: (None,) * 3 if u is None else one(u), urls))
+                    got = list(pool.map(asked, urls))
                     arrays = [
                         pa.array(values, type=field.type)
                         for values, field in zip(zip(*got), _FETCHED, strict=True)

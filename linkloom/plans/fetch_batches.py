@@ -70,13 +70,19 @@ def live_attempts(
     Batches run in parallel over ``tasks`` tasks, each pacing its own batches.
     ``sequential`` runs one batch, with its retries, after the other, for pacing
     that holds over the whole job.  ``run_id`` names a run that can be resumed:
-    rounds finished under the same name are not fetched again.
+    rounds finished under the same name are not fetched again. Other URLs or another
+    policy under the same name raise.
     """
     spark = wanted.sparkSession
     if spark.conf.get("spark.speculation", "false") == "true":
         warnings.warn("spark.speculation repeats requests; switch it off", stacklevel=2)
     store = RunStore(spark, run_id)
     numbered = number_batches(distinct_urls(wanted), policy.batch_size)
+    if run_id is not None:
+        total = F.sum(F.xxhash64("url").cast("decimal(38,0)"))
+        n, digest = distinct_urls(wanted).agg(F.count("*"), total).first()
+        store.guard("input", f"{n} URLs, digest {digest}")
+        store.guard("policy", repr(policy))
     # Sorted files let a sequential batch read its own row groups only.
     requests = store.write("requests", numbered.sortWithinPartitions("batch"))
     batches = requests.agg(F.max("batch")).first()[0] or 0

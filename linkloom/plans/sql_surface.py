@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import SparkSession
 from pyspark.sql.functions import udtf
 
-from linkloom.functions.urls import URL_PATTERN
+from linkloom.functions.urls import URL_PATTERN, is_url_text
 from linkloom.operators.enforce import CHECK_VIOLATION, NOT_NULL_VIOLATION
 from linkloom.operators.fetch import Transport, fetch_concurrently
 from linkloom.operators.policy import AttemptSettings
@@ -40,10 +40,19 @@ RETURN
 """
 
 
+def _require_urls(urls) -> None:
+    for url in urls:
+        if url is None:
+            raise ValueError(f"{NOT_NULL_VIOLATION} url: NULL")
+        if not is_url_text(url):
+            raise ValueError(f"{CHECK_VIOLATION} url: not a URL: {url[:200]!r}")
+
+
 def _fetch_one(transport: Transport):
     @udtf(returnType="payload string")
     class FetchOne:
         def eval(self, url, min_latency=0.0, timeout=5.0, tries=1, waitretry=0.0):
+            _require_urls([url])
             settings = AttemptSettings(float(min_latency), float(timeout), tries, float(waitretry), 1)
             with ThreadPoolExecutor(1) as pool:
                 one = [(None, url)]
@@ -71,6 +80,7 @@ def _fetch_list(transport: Transport):
             settings = AttemptSettings(
                 float(min_latency), float(timeout), tries, float(waitretry), parallel_jobs, float(delay)
             )
+            _require_urls(url_shlist.split(" "))
             time.sleep(settings.delay)
             with ThreadPoolExecutor(max(1, parallel_jobs)) as pool:
                 listed = ((None, url) for url in url_shlist.split(" "))
@@ -83,10 +93,13 @@ def _fetch_list(transport: Transport):
 def _fetch_batch(transport: Transport):
     @udtf(returnType=RESULT_COLUMNS)
     class FetchBatch:
-        """One instance sees one batch, at most batch_size URLs."""
+        """Fetches a batch when the next one begins; holds one, at most batch_size URLs.
+
+        Rows of a batch must stand together: ``PARTITION BY batch``, or input sorted by it.
+        """
 
         def __init__(self):
-            self.requests, self.policy = [], None
+            self.requests, self.policy, self.done = [], None, set()
 
         def eval(
             self,
@@ -106,6 +119,13 @@ def _fetch_batch(transport: Transport):
             batch_retries=1,
             batch_retries_failrate=0.05,
         ):
+            _require_urls([row["url"]])
+            if row["batch"] in self.done:
+                raise ValueError(f"rows of batch {row['batch']} are apart: use PARTITION BY batch")
+            if self.requests and self.requests[0][0] != row["batch"]:
+                self.done.add(self.requests[0][0])
+                yield from self.fetched()
+                self.requests = []
             self.requests.append((row["batch"], row["url"]))
             if self.policy is None:
                 self.policy = (
@@ -130,8 +150,10 @@ def _fetch_batch(transport: Transport):
                 )
 
         def terminate(self):
-            if not self.requests:
-                return
+            if self.requests:
+                yield from self.fetched()
+
+        def fetched(self):
             initial, retry, retries, limit = self.policy
             pending, failrate = self.requests, None
             for attempt in range(retries + 1):

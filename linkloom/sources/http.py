@@ -30,6 +30,26 @@ class _PublicRedirects(urllib.request.HTTPRedirectHandler):
         return super().redirect_request(req, fp, code, msg, headers, newurl)
 
 
+SCHEMES = ("http", "https", "ftp")
+
+
+def _opener(redirects: type[urllib.request.HTTPRedirectHandler]) -> urllib.request.OpenerDirector:
+    """An opener for http, https and ftp alone: no local files, no inline data."""
+    opener = urllib.request.OpenerDirector()
+    for handler in (
+        urllib.request.ProxyHandler,
+        urllib.request.HTTPHandler,
+        urllib.request.HTTPSHandler,
+        urllib.request.FTPHandler,
+        urllib.request.HTTPDefaultErrorHandler,
+        urllib.request.HTTPErrorProcessor,
+        urllib.request.UnknownHandler,
+        redirects,
+    ):
+        opener.add_handler(handler())
+    return opener
+
+
 def _request(url: str) -> urllib.request.Request:
     """Host in IDNA form, the rest percent-encoded, user name as a header."""
     parts = urllib.parse.urlsplit(url)
@@ -56,7 +76,7 @@ class HttpTransport:
     """Callable ``(url, attempt, settings) -> bytes | None``; None is a failure.
 
     ``timeout`` covers connecting and each read.  ``tries`` repeats transport
-    errors but not error answers such as 404, waiting 1, 2, ... up to
+    errors but not error answers such as 404; URLs of other schemes fail, waiting 1, 2, ... up to
     ``waitretry`` seconds.  Redirects are followed.  ``strict`` refuses hosts
     that resolve to private addresses.  ``open`` and ``sleep`` are replaceable.
     """
@@ -70,11 +90,12 @@ class HttpTransport:
             return self.open(request, timeout=timeout)
         if self.strict:
             _require_public(request.full_url)
-            opener = urllib.request.build_opener(_PublicRedirects)
-            return opener.open(request, timeout=timeout)
-        return urllib.request.urlopen(request, timeout=timeout)
+            return _opener(_PublicRedirects).open(request, timeout=timeout)
+        return _opener(urllib.request.HTTPRedirectHandler).open(request, timeout=timeout)
 
     def __call__(self, url: str, attempt: int, settings: AttemptSettings) -> bytes | None:
+        if url.partition(":")[0].lower() not in SCHEMES:
+            return None
         # 0 means no limit for both settings, as usual for command-line clients.
         tried = 0
         while True:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -35,6 +36,12 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return _local_folder()
+
+
+@functools.cache
+def _local_folder() -> str:
+    """One folder for all runs of a local process."""
     return tempfile.mkdtemp(prefix="linkloom-")
 
 
@@ -66,6 +73,12 @@ class RunStore:
             df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def guard(self, name: str, value: str) -> None:
+        """Note what the run is about; raise if it was started about something else."""
+        noted = self.write(name, self.spark.createDataFrame([(value,)], "value string")).first()[0]
+        if noted != value:
+            raise ValueError(f"{self.root} is a run with another {name}: {noted}, not {value}")
+
     def read_all(self, name: str, schema: StructType) -> DataFrame:
         """All files below ``name``, whatever folders they are in, as one table."""
         reader = self.spark.read.schema(schema).option("recursiveFileLookup", "true")

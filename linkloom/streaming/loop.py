@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -32,10 +30,10 @@ def fetch_stream(
     belong in storage that all executors share.
     """
 
-    run = hashlib.md5(progress.encode()).hexdigest()
-
     def one(part: DataFrame, epoch: int) -> None:
-        # A repeated micro-batch finds its finished rounds under the same name.
+        # The query's id is kept with its progress: a repeated micro-batch finds its finished
+        # rounds under the same name, and a stream begun anew never finds those of an old one.
+        run = part.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         fetched = fetch_batches(
             part, transport, policy, url=url, on_invalid=on_invalid, run_id=f"{run}-{epoch}"
         )

@@ -9,8 +9,8 @@ from linkloom.operators import batch_report, frame_record, frames
 from linkloom.sources import RunStore, save_table
 
 SITE = (
-    '{"etablissement":{"siret":"79184256000025","unite_legale":{"denomination":"LA QUADRATURE DU NET"},'
-    '"date_dernier_traitement":"2021-02-23T16:19:11","n":[10,{"x":1.50,"7":true}],"none":null,"o\'k":"q"},'
+    '{"station":{"code":"RG-00417","owner":{"label":"RIVER GAUGE NORTH"},'
+    '"checked_at":"2024-03-05T08:30:00","n":[10,{"x":1.50,"7":true}],"none":null,"o\'k":"q"},'
     '"a,b":{"-1":{"c\\"d":"e"}},"deep":[[1,2],[3,4]]}'
 )
 
@@ -18,27 +18,27 @@ SITE = (
 def test_json_projection(spark):
     frame = spark.createDataFrame([(1, SITE), (2, "{}"), (3, None)], "id int, payload string")
     fields = {
-        "siret": "{etablissement,siret}",
-        "denomination": "{etablissement,unite_legale,denomination}",
-        "date_dernier_traitement": "{etablissement,date_dernier_traitement}",
-        "item": "{etablissement,n,0}",
-        "x": "{etablissement,n,1,x}",
-        "seven": "{etablissement,n,1,7}",
-        "none": "{etablissement,none}",
-        "quote": "{etablissement,o'k}",
-        "beyond": "{etablissement,siret,deeper}",
-        "array": "{etablissement,n}",
-        "last": "{etablissement,n,-1,x}",
-        "first_from_end": "{etablissement,n,-2}",
-        "before_first": "{etablissement,n,-3}",
+        "code": "{station,code}",
+        "label": "{station,owner,label}",
+        "checked_at": "{station,checked_at}",
+        "item": "{station,n,0}",
+        "x": "{station,n,1,x}",
+        "seven": "{station,n,1,7}",
+        "none": "{station,none}",
+        "quote": "{station,o'k}",
+        "beyond": "{station,code,deeper}",
+        "array": "{station,n}",
+        "last": "{station,n,-1,x}",
+        "first_from_end": "{station,n,-2}",
+        "before_first": "{station,n,-3}",
         "negative_key": '{"a,b",-1,"c\\"d"}',
         "from_end_twice": "{deep,-1,-1}",
     }
     got = {r.id: r for r in json_fields(frame, "payload", fields).collect()}
     assert tuple(got[1])[2:] == (
-        "79184256000025",
-        "LA QUADRATURE DU NET",
-        "2021-02-23T16:19:11",
+        "RG-00417",
+        "RIVER GAUGE NORTH",
+        "2024-03-05T08:30:00",
         "10",
         "1.5",
         "true",
@@ -75,7 +75,7 @@ def test_malformed_and_duplicate_keys(spark):
 
 def test_payload_is_parsed_once(spark):
     frame = spark.createDataFrame([(SITE,)], "payload string")
-    fields = json_fields(frame, "payload", {c: "{etablissement," + c + "}" for c in "abc"})
+    fields = json_fields(frame, "payload", {c: "{station," + c + "}" for c in "abc"})
     plan = fields._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parse_json") == 1 or plan.lower().count("parsejson") == 1
 
