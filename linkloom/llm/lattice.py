@@ -28,7 +28,7 @@ COST_BITS = 24
 PACK_BYTES = 2 << 20
 #: Texts that the cache of frequent runs is chosen from, and its size. Any cache gives
 #: the same tokens; runs that are not in it go through the lattice of their pack.
-CACHE_TEXTS, CACHE_RUNS = 100_000, 1_000_000
+CACHE_TEXTS, CACHE_RUNS = 50_000, 400_000
 #: Runs longer than this many characters are folded in Python, in linear memory.
 LONG_RUN = 2048
 

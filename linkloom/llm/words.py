@@ -52,7 +52,12 @@ class Words(NamedTuple):
 def sliced(
     batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """The rows of the batches in pieces of at most ``most`` bytes of text, or one row."""
+    """The rows of the batches in pieces of at most ``most`` bytes of text, or one row.
+
+    From here on the worker's Arrow buffers come from the system, which gets them back
+    at once; a pool would keep the largest slice's memory in every worker.
+    """
+    pa.set_memory_pool(pa.system_memory_pool())
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         reach, at = np.cumsum(sizes, dtype=np.int64), 0
