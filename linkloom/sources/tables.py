@@ -24,8 +24,11 @@ def save_table(
     if "/" in target:
         writer.save(target)
         return spark.read.format(fmt).schema(df.schema).load(target)
+    # The old table goes only when the new one is whole; df may read it.
+    fresh = f"{target}_{uuid.uuid4().hex}"
+    writer.saveAsTable(fresh)
     spark.sql(f"DROP TABLE IF EXISTS {target}")
-    writer.saveAsTable(target)
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {target}")
     return spark.table(target)
 
 
