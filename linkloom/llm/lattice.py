@@ -31,6 +31,9 @@ PACK_BYTES = 2 << 20
 CACHE_TEXTS, CACHE_RUNS = 50_000, 400_000
 #: Runs longer than this many characters are folded in Python, in linear memory.
 LONG_RUN = 2048
+#: Words of the cache and bytes of text that one task of the lattice gets, and the most tasks. The
+#: numbers of partitions are given, since each word becomes dozens of edges after the shuffle.
+TASK_WORDS, TASK_BYTES, MOST_TASKS = 10_000, 2 * PACK_BYTES, 50_000
 
 
 @dataclass(frozen=True)
@@ -77,6 +80,8 @@ def load_vocabulary(path: str = MODEL, zipf: float | None = ZIPF) -> Vocabulary:
     costs = np.where(-scores > 1e8, -1, -scores)
     costs = np.where(costs < 0, costs[usable].max(), costs)
     costs = np.round(costs * (2 ** (COST_BITS - 1) - 1) / costs[usable].max()).astype(np.int64)
+    if n >= 1 << 17 or max(len(p) for p, u in zip(pieces, usable, strict=True) if u) > 31:
+        raise ValueError("models of over 131,071 pieces, or with pieces of over 31 characters, are not supported")
     bad = [p for p, s in zip(pieces, special, strict=True) if not s and SPACE in p.lstrip(SPACE)]
     if bad:
         raise ValueError(f"pieces that go on over a space are not supported: {bad[:3]}")
@@ -157,36 +162,35 @@ def best_paths(words: DataFrame, pieces: DataFrame, longest: int, unknown_cost:
     ``path[e]`` is the piece that the best path to position e + 1 ends with, -1 for a
     character that is no piece. Substrings of up to ``longest`` characters are
     exploded and equi-joined to the pieces (a table of the model's size, broadcast);
-    edges are grouped by word, and one fold over the positions keeps the costs of the
-    last ``longest`` of them. Of equal costs the longer last piece wins. Grouping keeps
-    the partitioning that ``words`` has by its other columns.
+    edges are grouped by word, and one fold over the edges, in order of their end and
+    length, keeps the best way to each position. Of equal costs the longer last piece
+    wins. Grouping keeps the partitioning that ``words`` has by its other columns; a
+    hash comes first among its keys, so that sorting seldom compares words.
     """
     keys = words.columns
     n = F.length("word")
-    starts = words.withColumn("_s", F.explode(F.sequence(F.lit(1), n)))
+    starts = words.withColumn("_key", F.xxhash64(*keys)).withColumn("_s", F.explode(F.sequence(F.lit(1), n)))
     most = F.least(F.lit(longest), n - F.col("_s") + 1)
     spans = starts.withColumn("_l", F.explode(F.sequence(F.lit(1), most)))
     spans = spans.withColumn("_piece", F.substring("word", F.col("_s"), F.col("_l")))
     found = F.broadcast(pieces.select(F.col("piece").alias("_piece"), F.col("id").alias("_id"), F.col("cost").alias("_cost")))
     edges = spans.join(found, "_piece", "left").where(F.col("_id").isNotNull() | (F.col("_l") == 1))
-    # An edge is one long: end, length, cost and piece + 1, from the high bits down.
+    # An edge is one long. From the high bits down: end, length (5 bits), then its cost (24),
+    # 31 - length (5) and piece + 1 (17), of which the least is best.
     edge = F.expr(f"""
-      shiftleft(cast(_s + _l - 1 AS bigint), 46) | shiftleft(cast(_l AS bigint), 41)
-      | shiftleft(cast(coalesce(_cost, {unknown_cost}) AS bigint), 17) | cast(coalesce(_id, -1) + 1 AS bigint)""")
-    grouped = edges.groupBy(*keys).agg(F.collect_list(edge).alias("_edges"))
-    # A candidate is one long as well: cost of its path, 31 - length, piece + 1; the least is best.
+      shiftleft(cast(_s + _l - 1 AS bigint), 51) | shiftleft(cast(_l AS bigint), 46)
+      | shiftleft(cast(coalesce(_cost, {unknown_cost}) AS bigint), 22) | shiftleft(cast(31 - _l AS bigint), 17)
+      | cast(coalesce(_id, -1) + 1 AS bigint)""")
+    grouped = edges.groupBy("_key", *keys).agg(F.sort_array(F.collect_list(edge)).alias("_edges"))
+    # Every end has one edge of length 1, its first: there the best way to the position before is final.
+    low, cost, one = (1 << 46) - 1, -(1 << 22), 1 << 46
     fold = f"""
-      aggregate(
-        transform(sequence(1, length(word)), e -> filter(_edges, x -> shiftright(x, 46) = e)),
-        named_struct('last', concat(array_repeat(shiftleft(1L, 34), {longest - 1}), array(0L)),
-                     'path', cast(array() AS array<int>)),
-        (a, p) -> element_at(transform(
-          array(array_min(transform(p, x ->
-            shiftleft(element_at(a.last, -cast(shiftright(x, 41) & 31 AS int)) + (shiftright(x, 17) & 16777215), 22)
-            | shiftleft(31 - (shiftright(x, 41) & 31), 17) | (x & 131071)))),
-          b -> named_struct('last', concat(slice(a.last, 2, {longest - 1}), array(shiftright(b, 22))),
-                            'path', concat(a.path, array(cast((b & 131071) - 1 AS int))))), 1),
-        a -> a.path)"""
+      aggregate(_edges, named_struct('best', 0L, 'nodes', cast(array() AS array<bigint>)),
+        (a, x) -> if((x & {31 << 46}L) = {one}L,
+          named_struct('best', (x & {low}L) + (a.best & {cost}L), 'nodes', concat(a.nodes, array(a.best))),
+          named_struct('best', least(a.best,
+              (x & {low}L) + (element_at(a.nodes, -cast(shiftright(x, 46) & 31 AS int)) & {cost}L)), 'nodes', a.nodes)),
+        a -> transform(concat(slice(a.nodes, 2, size(a.nodes)), array(a.best)), b -> cast((b & 131071) - 1 AS int)))"""
     return grouped.select(*keys, F.expr(fold).alias("path"))
 
 
@@ -360,11 +364,13 @@ def encoded(
             part = [counted.field("values"), counted.field("counts")]
             yield pa.RecordBatch.from_arrays(part, ["word", "n"]).filter(short)
 
-    total = rows.count()
+    total, volume = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    tasks = min(max(1, -(-volume // TASK_BYTES)), MOST_TASKS)
     share = min(1.0, cache_texts / max(total, 1))
     sample = rows.sample(share, seed=11) if share < 1 else rows
     frequent = sample.mapInArrow(runs_of, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    frequent = frequent.where("n > 1").select("word").limit(cache_runs).repartition("word")
+    frequent = frequent.where("n > 1").select("word").limit(cache_runs)
+    frequent = frequent.repartition(max(1, cache_runs // TASK_WORDS), "word")
     known = best_paths(frequent, pieces, longest, unknown_cost).toArrow()
     if known.num_rows:
         cache = Cache.of(*(pa.concat_arrays(known[c].chunks) for c in ("word", "path")), vocabulary, size)
@@ -423,8 +429,8 @@ def encoded(
                     [doc_ids, ids, n_tokens, same], ["doc_id", "ids", "n_tokens", "round_trip"]
                 )
 
-    packs = rows.mapInArrow(packed, "pack long, content binary").repartition("pack")
-    other = rows.mapInArrow(other_runs, "pack long, word string").repartition("pack")
+    packs = rows.mapInArrow(packed, "pack long, content binary").repartition(tasks, "pack")
+    other = rows.mapInArrow(other_runs, "pack long, word string").repartition(tasks, "pack")
     solved = best_paths(other, pieces, longest, unknown_cost)
     patches = solved.groupBy("pack").agg(F.collect_list(F.struct("word", "path")).alias("patch"))
     joined = packs.join(patches.withColumnRenamed("pack", "_pack"), F.col("pack") == F.col("_pack"), "left")
