@@ -12,6 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linkloom.llm.frames import Shared
 from linkloom.llm.fm_index import FMIndex
 from linkloom.llm.words import ALNUM, sliced, split_words
 
@@ -182,7 +183,7 @@ def find_contamination(
     blocks = list_blocks(benchmark_windows(benchmark, item_id=item_id, text=item_text), block)
     for phrases in blocks:
         schema = _arrow_schema(out)
-        out = out.mapInArrow(_marked(spark.sparkContext.broadcast(phrases), text, schema), out.schema)
+        out = out.mapInArrow(_marked(Shared(spark, phrases), text, schema), out.schema)
     return out
 
 

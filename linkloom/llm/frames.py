@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import pickle
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +24,21 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Shared:
+    """A value that tasks read through one broadcast.
+
+    Its classes travel with it where the driver registered their package, as those of
+    functions do, so workers need no copy of the package.
+    """
+
+    def __init__(self, spark: SparkSession, value: object):
+        self._held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @functools.cached_property
+    def value(self):
+        return pickle.loads(self._held.value)
+
+
 def fold(doc_id: str = "doc_id") -> Column:
     """``crc32`` of the id as text modulo 5; rows of fold 0 are held out."""
     return F.crc32(F.col(doc_id).cast("string")) % 5

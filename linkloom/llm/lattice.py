@@ -14,6 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkloom.llm.frames import Shared
 from linkloom.llm.words import Words, sliced, text_bytes, word_hashes
 
 SPACE = "▁"
@@ -376,7 +377,7 @@ def encoded(
         cache = Cache.of(*(pa.concat_arrays(known[c].chunks) for c in ("word", "path")), vocabulary, size)
     else:
         cache = Cache(pa.array([], pa.string()), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(1, np.int64))
-    shared = spark.sparkContext.broadcast((vocabulary, cache))
+    shared = Shared(spark, (vocabulary, cache))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, k = joints.index(), TaskContext.get().partitionId() << 32

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.frames import held_out, stored, training_labels
+from linkloom.llm.frames import Shared, held_out, stored, training_labels
 from linkloom.llm.words import NOT_SPACE, codes, mixed, sliced, split_words
 
 #: Hashed n-grams; bounds the class counts and the weights, whatever the input.
@@ -206,7 +206,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, label: str = "quality"
 
 def scored(table: DataFrame, model: NbSvm, threshold: float) -> DataFrame:
     kind = table.schema["doc_id"].dataType.simpleString()
-    shared = table.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(table.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,7 +224,7 @@ def kept_by_quality(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.
     The verdict is computed from the row's own text in a second pass, so nothing is joined.
     """
     table = stored(indicator_table(docs, doc_id=doc_id, text=text))
-    model = docs.sparkSession.sparkContext.broadcast(fit(table, training_labels(labels, "quality")))
+    model = Shared(docs.sparkSession, fit(table, training_labels(labels, "quality")))
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     name = plain.columns[docs.columns.index(text)]
 

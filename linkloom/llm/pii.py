@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.frames import stored
+from linkloom.llm.frames import Shared, stored
 from linkloom.llm.words import sliced
 
 KINDS = ("email", "ip", "card", "phone")
@@ -296,7 +296,7 @@ def redacted(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n_c
     Two passes over the texts, one for the label model and one to replace; no shuffle of texts.
     """
     model = fit(candidate_table(docs, doc_id=doc_id, text=text))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     at = docs.columns.index(text)
     size_at = docs.columns.index(n_chars) if n_chars in docs.columns else None
