@@ -14,8 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm.frames import Shared
-from linkloom.llm.words import Words, sliced, text_bytes, word_hashes
+from linkloom.llm.words import Words, memory_trim, sliced, text_bytes, word_hashes
 
 SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -271,7 +270,8 @@ class Cache:
         hashes = run_hashes(runs)
         order = np.argsort(hashes)
         runs = runs.take(pa.array(order))
-        return cls(runs, hashes[order], *ids_of(runs, paths.take(pa.array(order)), vocabulary, size))
+        ids, starts = ids_of(runs, paths.take(pa.array(order)), vocabulary, size)
+        return cls(runs, hashes[order], ids.astype(np.int32), starts.astype(np.int32))
 
     def find(self, runs: pa.Array) -> np.ndarray:
         """Place of each run, -1 where it is not held; equal hashes are confirmed by the run itself."""
@@ -376,8 +376,9 @@ def encoded(
     if known.num_rows:
         cache = Cache.of(*(pa.concat_arrays(known[c].chunks) for c in ("word", "path")), vocabulary, size)
     else:
-        cache = Cache(pa.array([], pa.string()), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(1, np.int64))
-    shared = Shared(spark, (vocabulary, cache))
+        cache = Cache(pa.array([], pa.string()), np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(1, np.int32))
+    # Plain arrays, which a worker loads once for all its tasks.
+    shared = spark.sparkContext.broadcast((cache.runs, cache.hashes, cache.ids, cache.starts))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, k = joints.index(), TaskContext.get().partitionId() << 32
@@ -388,7 +389,7 @@ def encoded(
 
     def other_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The same slices as in packed(), so the same numbers.
-        index, k, own = joints.index(), TaskContext.get().partitionId() << 32, shared.value[1]
+        index, k, own = joints.index(), TaskContext.get().partitionId() << 32, Cache(*shared.value)
         for batch in sliced(batches, "text", PACK_BYTES):
             runs = text_runs(joints, index, batch.column("text"))[0].unique()
             runs = runs.filter(pc.less_equal(pc.utf8_length(runs), LONG_RUN))
@@ -397,8 +398,9 @@ def encoded(
             k += 1
 
     def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, own = shared.value
+        words, own = vocabulary, Cache(*shared.value)
         places = {p: i for i, p in enumerate(words.pieces) if words.usable[i]}
+        trim = memory_trim()
         for batch in batches:
             for content, patch in zip(batch.column("content"), batch.column("patch"), strict=True):
                 doc_ids, n, runs, code = unpack(content.as_py())
@@ -411,16 +413,16 @@ def encoded(
                     extra = pa.concat_arrays([extra.cast(pa.string()), long])
                     paths = pa.concat_arrays([paths.cast(pa.list_(pa.int32())), pa.array(folded, pa.list_(pa.int32()))])
                 ids, starts = ids_of(extra, paths, words, size)
-                values = np.concatenate((own.ids, ids))
+                values = np.concatenate((own.ids, ids.astype(np.int32)))
                 starts = np.concatenate((own.starts[:-1], starts + len(own.ids)))
                 at = own.find(runs)
                 fresh = pc.index_in(runs.filter(pa.array(at < 0)), value_set=extra.cast(pa.string()))
                 at[at < 0] = fresh.to_numpy(zero_copy_only=False) + len(own.runs)
                 tokens, width = _gather(values, starts, at[code])
-                before = np.concatenate(([0], np.cumsum(width)))
+                before = np.concatenate(([0], np.cumsum(width, dtype=np.int64)))
                 reach = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
                 ids = pa.ListArray.from_arrays(
-                    pa.array(before[reach].astype(np.int32)), pa.array(tokens.astype(np.int32))
+                    pa.array(before[reach].astype(np.int32)), pa.array(tokens)
                 )
                 wanted = pc.binary_join(pa.ListArray.from_arrays(pa.array(reach), runs.take(pa.array(code))), "")
                 wanted = pc.utf8_slice_codeunits(pc.replace_substring(wanted, SPACE, " "), 1, None)
@@ -429,6 +431,7 @@ def encoded(
                 yield pa.RecordBatch.from_arrays(
                     [doc_ids, ids, n_tokens, same], ["doc_id", "ids", "n_tokens", "round_trip"]
                 )
+                trim(0)
 
     packs = rows.mapInArrow(packed, "pack long, content binary").repartition(tasks, "pack")
     other = rows.mapInArrow(other_runs, "pack long, word string").repartition(tasks, "pack")

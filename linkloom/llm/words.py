@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -49,15 +50,22 @@ class Words(NamedTuple):
         return total[self.offsets[1:]] - total[self.offsets[:-1]]
 
 
+def memory_trim() -> Callable[[int], int]:
+    """What gives the allocator's free memory back to the system, where it can."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)
+
+
 def sliced(
     batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
     """The rows of the batches in pieces of at most ``most`` bytes of text, or one row.
 
-    From here on the worker's Arrow buffers come from the system, which gets them back
-    at once; a pool would keep the largest slice's memory in every worker.
+    From here on the worker's Arrow buffers come from the system's allocator, and what
+    it holds free goes back after every batch; else each worker would keep the memory
+    of its largest slice, idle ones too.
     """
     pa.set_memory_pool(pa.system_memory_pool())
+    trim = memory_trim()
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         reach, at = np.cumsum(sizes, dtype=np.int64), 0
@@ -66,6 +74,7 @@ def sliced(
             to = max(at + 1, int(np.searchsorted(reach, before + most, "right")))
             yield batch.slice(at, to - at)
             at = to
+        trim(0)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
