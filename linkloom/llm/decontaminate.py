@@ -168,10 +168,16 @@ def find_contamination(
 
     Each slice of a partition is a shard with an index of its own; nothing is
     shuffled. Benchmark windows are looked for in blocks of bounded size, one after
-    the other within the same task. NULL and empty texts have no words; an empty
-    benchmark finds nothing.
+    the other within the same task and worker. NULL and empty texts have no words; an
+    empty benchmark finds nothing.
     """
-    spark = docs.sparkSession
+    windows = benchmark_windows(benchmark, item_id=item_id, text=item_text)
+    out, steps = _marking(docs, list_blocks(windows, block), text)
+    return out.mapInArrow(_in_turn(steps), out.schema)
+
+
+def _marking(docs: DataFrame, blocks: Iterator[Phrases], text: str) -> tuple[DataFrame, list]:
+    """``docs`` with empty marks, and a pass over them for each block."""
     out = docs.withColumns(
         {
             "_spans": F.array().cast(HITS),
@@ -179,15 +185,23 @@ def find_contamination(
             "_words": F.lit(0).cast("long"),
         }
     )
-    # A block without phrases still counts the words.
-    blocks = list_blocks(benchmark_windows(benchmark, item_id=item_id, text=item_text), block)
-    for phrases in blocks:
-        schema = _arrow_schema(out)
-        out = out.mapInArrow(_marked(Shared(spark, phrases), text, schema), out.schema)
-    return out
+    schema = _arrow_schema(out)
+    return out, [_marked(Shared(docs.sparkSession, phrases), text, schema) for phrases in blocks]
+
+
+def _in_turn(steps: list):
+    """The passes as one, so that a task needs one Python worker however many they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for step in steps:
+            batches = step(batches)
+        return batches
+
+    return run
 
 
 def list_blocks(windows: DataFrame, block: int) -> Iterator[Phrases]:
+    """The blocks, or one without phrases, which still counts the words."""
     empty = True
     for phrases in phrase_blocks(windows, block):
         empty = False
@@ -239,7 +253,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     text_column, size_column = names[docs.columns.index(text)], None
     if n_chars in docs.columns:
         size_column = names[docs.columns.index(n_chars)]
-    found = find_contamination(plain, benchmark, text=text_column)
+    marked, steps = _marking(plain, list_blocks(benchmark_windows(benchmark), BLOCK_WINDOWS), text_column)
     schema = _arrow_schema(plain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,4 +275,4 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
             out = pa.RecordBatch.from_arrays([columns[c] for c in names], schema=schema)
             yield out.filter(pa.array(kept)) if not kept.all() else out
 
-    return found.mapInArrow(run, plain.schema).toDF(*docs.columns)
+    return marked.mapInArrow(_in_turn([*steps, run]), plain.schema).toDF(*docs.columns)
