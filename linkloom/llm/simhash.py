@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.frames import stored
@@ -243,6 +243,18 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
 
+def _by_value(prints: DataFrame, distance: int) -> DataFrame:
+    """``fp, copies, component_id`` for each different fingerprint of ``doc_id, fp``."""
+    values = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")))
+    found = components(near_links(values.select("fp"), distance))
+    named = found.join(values.withColumnRenamed("fp", "node"), "node")
+    component = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    by_value = found.join(component, "root").select(F.col("node").alias("fp"), "component_id")
+    return values.join(by_value, "fp", "left").select(
+        "fp", "copies", F.coalesce("component_id", "least").alias("component_id")
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -260,16 +272,9 @@ def near_duplicates(
     keep their row and never name a component unless no member has an id.
     """
     prints = stored(fingerprints(docs, doc_id=doc_id, text=text, size=size, seed=seed))
-    values = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")))
-    found = components(near_links(values.select("fp"), distance))
-    named = found.join(values.withColumnRenamed("fp", "node"), "node")
-    component = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_value = found.join(component, "root").select(F.col("node").alias("fp"), "component_id")
-    by_value = values.join(by_value, "fp", "left").select(
-        "fp", "copies", F.coalesce("component_id", "least").alias("component_id")
-    )
+    by_value = _by_value(prints, distance)
     # Values with more than a thousandth of the rows are below a thousand, hence the broadcast.
-    n = values.agg(F.sum("copies")).first()[0] or 0
+    n = by_value.agg(F.sum("copies")).first()[0] or 0
     often = by_value.where(F.col("copies") > n / 1000).select("fp", F.col("component_id").alias("often"), F.lit(True).alias("hot"))
     marked = prints.join(F.broadcast(often), "fp", "left")
     by_value = by_value.where(F.col("copies") <= n / 1000)
@@ -280,11 +285,57 @@ def near_duplicates(
     )
 
 
-def one_per_component(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose id names their component; of repeated ids, one row."""
-    found = near_duplicates(docs, **options)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    name = options.get("doc_id", "doc_id")
-    key = kept.withColumnRenamed("doc_id", "_kept")
-    rows = docs.join(key, docs[name].eqNullSafe(key["_kept"]), "left_semi")
-    return rows.dropDuplicates([name])
+def _row_key(doc_id: str, text: str) -> Column:
+    """Digest of a row's id and text; equal only for rows with both alike, NULL apart from empty."""
+    name = F.col(doc_id).cast("string")
+    name = F.coalesce(F.concat(F.length(name).cast("string"), F.lit(":"), name), F.lit("-"))
+    return F.unhex(F.sha2(F.concat(name, F.coalesce(F.concat(F.lit("+"), F.col(text)), F.lit("-"))), 256))
+
+
+def one_per_component(
+    docs: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    size: int = 3,
+    seed: int = 42,
+    distance: int = 3,
+) -> DataFrame:
+    """One row of ``docs`` from each component, whatever its ids are.
+
+    It has the smallest id, rows without one coming last, and of equal ids the smallest
+    digest of id and text; of rows with id and text alike any one stays. Ids may repeat
+    in the result when rows of one id have texts of several components.
+    """
+    key = _row_key(doc_id, text)
+    # Ordered as survivors are chosen, so the name of a component is its survivor.
+    place = F.struct(F.col(doc_id).isNull().alias("missing"), F.col(doc_id).alias("id"), key.alias("key"))
+    placed = docs.select(place.alias("doc_id"), F.col(text).alias("text"))
+    prints = stored(fingerprints(placed, size=size, seed=seed))
+    by_value = stored(_by_value(prints, distance))
+    kept = by_value.select(F.col("component_id.key").alias("_key")).distinct()
+    rows = docs.withColumn("_key", key)
+    # Rows alike in id and text that are more than a thousandth of all: below a thousand keys.
+    n = by_value.agg(F.sum("copies")).first()[0] or 0
+    often = by_value.where(F.col("copies") > n / 1000).select("fp")
+    counted = prints.join(F.broadcast(often), "fp", "left_semi").groupBy(F.col("doc_id.key").alias("_key")).count()
+    hot = [bytes(r["_key"]) for r in counted.where((F.col("count") > n / 1000) & (F.col("count") > 1)).collect()]
+    if not hot:
+        return rows.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            keys, new = batch.column("_key").to_pylist(), []
+            for i, k in enumerate(keys):
+                if k not in seen:
+                    seen.add(k)
+                    new.append(i)
+            if new:
+                yield batch.take(pa.array(new))
+
+    # One row of each such key leaves a task, so their texts never meet in one.
+    is_hot = F.col("_key").isin(hot)
+    many = rows.where(is_hot).mapInArrow(firsts, rows.schema)
+    few = rows.where(~is_hot)
+    return few.unionByName(many).join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")

@@ -332,6 +332,23 @@ def test_near_duplicates(docs, texts, empty):
     assert set(kept) == set(brute_components(prints, 3)) and kept[4]["label"] == "y"
 
 
+def test_each_component_keeps_one_row(spark):
+    rng = random.Random(9)
+    a, b, *others = (" ".join(rng.choice("abcdefghijklmnop") * 3 for _ in range(40)) for _ in range(12))
+    near = a.upper()  # the same words, another text
+    rows = [(3, near), (7, a), (7, b)] + [(None, t) for t in others] + [(None, others[0])] * 2 + [(None, None), (None, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r["doc_id"], r["text"]) for r in simhash.one_per_component(frame).collect()), key=str)
+    wordless = [r for r in got if not r[1]]
+    assert len(wordless) == 1 and wordless[0][0] is None
+    assert [r for r in got if r[1]] == sorted([(3, near), (7, b)] + [(None, t) for t in others], key=str)
+    # More rows alike than a thousandth, and too few of them: both ways to the same rows.
+    many = spark.createDataFrame([(i, f"{i} {i * i} {i * 7} z") for i in range(3000)] + [(5000, a)] * 2, frame.schema)
+    found = [tuple(r) for r in simhash.one_per_component(many.unionByName(many)).collect()]
+    assert len(found) == len(set(found)) and (5000, a) in found
+    assert len(found) == simhash.near_duplicates(many).select("component_id").distinct().count()
+
+
 @pytest.mark.parametrize("block,small", [(1024, 64), (8, 4)])
 def test_links_within_distance(spark, monkeypatch, block, small):
     monkeypatch.setattr(simhash, "BLOCK", block)
