@@ -31,7 +31,10 @@ def op2_nbsvm(spark, sf_dir):
 
 def op3_warc_zstd(spark, sf_dir):
     archives = stored(warc_zstd.write_archives(_table(spark, sf_dir, "pages")))
-    found = warc_zstd.read_archives(archives, payloads=False).where("error IS NULL")
+    found = warc_zstd.read_archives(archives, payloads=False)
+    # What was just written must be readable: a bad record is no row less, but an error.
+    bad = F.raise_error(F.concat(F.lit("unreadable record: "), F.col("error"))).cast("boolean")
+    found = found.where(F.when(F.col("error").isNull(), F.lit(True)).otherwise(bad))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.words import sliced
@@ -81,14 +81,18 @@ def trained_dictionary(pages: DataFrame, html: str = "html") -> bytes:
         return b""
 
 
+def _digest() -> Column:
+    return F.sha2(F.coalesce("html", F.lit("")), 256)
+
+
 def _refers_to(pages: DataFrame) -> DataFrame:
-    """``page_id, refers_to``: pages whose payload an earlier page has, and that page."""
-    payload = F.coalesce("html", F.lit(""))
-    rows = pages.select("page_id", F.sha2(payload, 256).alias("digest"), F.octet_length(payload).alias("n"))
+    """``page_id, digest, refers_to``: payloads of a page that an earlier page has, and that page."""
+    size = F.octet_length(F.coalesce("html", F.lit("")))
+    rows = pages.select("page_id", _digest().alias("digest"), size.alias("n"))
     rows = rows.where((F.col("n") >= LEAST_REVISIT) & F.col("page_id").isNotNull())
     first = rows.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("copies"))
     repeated = rows.join(first.where("copies > 1"), "digest").where("page_id > refers_to")
-    return repeated.select("page_id", "refers_to").distinct()
+    return repeated.select("page_id", "digest", "refers_to").distinct()
 
 
 def write_archives(pages: DataFrame) -> DataFrame:
@@ -101,7 +105,8 @@ def write_archives(pages: DataFrame) -> DataFrame:
     """
     pages = pages.select("page_id", "url", "html")
     shared = pages.sparkSession.sparkContext.broadcast(trained_dictionary(pages))
-    rows = pages.join(_refers_to(pages), "page_id", "left")
+    # A page's id may come with several payloads, so the digest decides as well.
+    rows = pages.withColumn("digest", _digest()).join(_refers_to(pages), ["page_id", "digest"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dictionary, front = None, b""
@@ -111,10 +116,9 @@ def write_archives(pages: DataFrame) -> DataFrame:
         compressor = zstandard.ZstdCompressor(level=3, dict_data=dictionary, write_checksum=True)
         for batch in sliced(batches, "html", ARCHIVE_BYTES):
             parts = [front]
-            columns = [batch.column(c).to_pylist() for c in ("page_id", "url", "html", "refers_to")]
-            for page_id, url, html, refers_to in zip(*columns, strict=True):
+            columns = [batch.column(c).to_pylist() for c in ("page_id", "url", "html", "digest", "refers_to")]
+            for page_id, url, html, digest, refers_to in zip(*columns, strict=True):
                 payload = (html or "").encode()
-                digest = hashlib.sha256(payload).hexdigest()
                 parts.append(compressor.compress(record(page_id, url, payload, digest, refers_to)))
             content = b"".join(parts)
             name = hashlib.sha256(content).hexdigest()[:32] + ".warc.zst"

@@ -9,9 +9,10 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm import chat_hmm, decontaminate, host_rules, lattice, nbsvm, pii, simhash, toxicity, url_filter, warc_zstd
+from linkloom.llm import chat_hmm, decontaminate, host_rules, lattice, nbsvm, pii, queries, simhash, toxicity, url_filter, warc_zstd
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp string, label string"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -142,6 +143,29 @@ def test_warc_round_trip_and_damage(spark):
     assert warc_zstd.write_archives(pages.limit(0)).count() == 0
 
 
+def test_revisits_go_by_payload(spark):
+    a, b, c = ("<p>a</p>" * 40, "<p>b</p>" * 40, "<p>c</p>" * 40)
+    rows = [(1, a), (2, b), (5, a), (5, c), (6, a), (6, b), (6, b), (None, a), (None, c)]
+    pages = spark.createDataFrame([(i, "u", t) for i, t in rows], "page_id long, url string, html string")
+    found = warc_zstd.read_archives(warc_zstd.write_archives(pages)).collect()
+    got = sorted(((r["page_id"], r["payload_digest"], r["refers_to"]) for r in found), key=str)
+    digest = {t: hashlib.sha256(t.encode()).hexdigest() for t in (a, b, c)}
+    refers = {(5, a): 1, (6, a): 1, (6, b): 2}
+    assert got == sorted(((i, digest[t], refers.get((i, t))) for i, t in rows), key=str)
+    assert {r["payload_digest"] for r in found if r["payload"]} == set(digest.values())
+
+
+def test_unreadable_record_raises(spark, monkeypatch, tmp_path):
+    pages = spark.createDataFrame([(i, "u", f"page {i} " * 30) for i in range(5)], "page_id long, url string, html string")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    assert queries.op3_warc_zstd(spark, str(tmp_path)).count() == 5
+    cut = warc_zstd.write_archives(pages).select("archive", F.expr("substring(content, 1, length(content) - 3)").alias("content"))
+    monkeypatch.setattr(warc_zstd, "write_archives", lambda pages: cut)
+    for use in (DataFrame.collect, DataFrame.count):
+        with pytest.raises(Exception, match="unreadable record"):
+            use(queries.op3_warc_zstd(spark, str(tmp_path)))
+
+
 @pytest.mark.parametrize("raw", [b"", b"WARC/1.1\r\nA: b\r\n\r\n", b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <x>\r\nWARC-Date: d\r\nContent-Length: 9\r\n\r\nabc\r\n\r\n"])
 def test_bad_records(raw):
     with pytest.raises(warc_zstd.BadRecord):
