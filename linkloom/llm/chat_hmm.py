@@ -6,9 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkloom.llm.frames import stored
+
 ROLES = ("system", "user", "assistant")
 KINDS = ("start", "inside", "gap")
 #: States: role times kind of line. A gap is an empty line after a turn.
@@ -169,6 +171,24 @@ def _boundaries(lines: DataFrame, model: Model) -> DataFrame:
     return tables.groupBy("conv_id").applyInArrow(chained, f"conv_id {kind}, block long, enter int, leave int")
 
 
+def _joined(pieces: DataFrame) -> DataFrame:
+    """Whole turns from the first and last pieces of blocks; ``joins`` marks what goes on from the block before.
+
+    Only numbers are ordered by conversation, at most two rows a block; texts meet by turn.
+    """
+    order = Window.partitionBy("conv_id").orderBy("block", "piece")
+    begins = F.when(~F.col("joins"), F.struct("block", "piece"))
+    heads = pieces.select("conv_id", "block", "piece", F.last(begins, ignorenulls=True).over(order).alias("head"))
+    texts = F.array_sort(F.collect_list(F.struct("block", "content")))
+    turns = pieces.join(heads, ["conv_id", "block", "piece"]).groupBy("conv_id", "head").agg(
+        F.min("line_no").alias("line_no"),
+        F.min("role").alias("role"),
+        F.sum("n_lines").alias("n_lines"),
+        F.array_join(texts["content"], "\n").alias("content"),
+    )
+    return turns.drop("head").withColumn("content", F.rtrim("content", F.lit("\n")))
+
+
 def rendered(role: Column, content: Column) -> Column:
     """A turn in canonical form."""
     return F.concat(F.lit("<|"), role, F.lit("|>\n"), content, F.lit("\n<|end|>"))
@@ -181,8 +201,8 @@ def parsed_turns(lines: DataFrame, model: Model, *, block_span: int = 4096) -> D
     are those of the best path of the whole conversation. A turn is a start line and
     what follows up to the next start or another role; markers and closing empty lines are
     taken off. Conversations are worked on in blocks of ``block_span`` line numbers, so one with
-    a third of all lines spreads; a turn that goes on over a block's end is two turns
-    of its role. Rows that repeat a line with its number count once, a NULL line is empty.
+    a third of all lines spreads; the parts of a turn that goes on over a block's end are
+    put together again. Rows that repeat a line with its number count once, a NULL line is empty.
     """
     kind = lines.schema["conv_id"].dataType.simpleString()
     line = F.coalesce("line", F.lit("")).alias("line")
@@ -194,19 +214,28 @@ def parsed_turns(lines: DataFrame, model: Model, *, block_span: int = 4096) -> D
     rows = rows.sortWithinPartitions("conv_id", "block", "line_no", "line")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = {k: [] for k in ("conv_id", "line_no", "role", "n_lines", "content")}, 0
+        held, n = {k: [] for k in ("conv_id", "line_no", "role", "n_lines", "content", "block", "piece", "joins", "edge")}, 0
         for part in _stretches(batches):
-            states = viterbi(model, part["seen"].to_numpy(), part["enter"][0].as_py(), part["leave"][0].as_py())
+            enter, leave, block = (part[c][0].as_py() for c in ("enter", "leave", "block"))
+            states = viterbi(model, part["seen"].to_numpy(), enter, leave)
             role, what = states // len(KINDS), states % len(KINDS)
             new = (what == 0) | np.concatenate(([True], role[1:] != role[:-1]))
             at, texts = np.flatnonzero(new), part["line"].to_pylist()
             numbers, conv = part["line_no"].to_pylist(), part["conv_id"][0].as_py()
+            goes_on = enter is not None and bool(what[0] != 0 and role[0] == enter // len(KINDS))
             for a, b in zip(at.tolist(), [*at[1:].tolist(), len(texts)], strict=True):
+                joins = goes_on and a == 0
+                edge = joins or (leave is not None and b == len(texts))
+                content = "\n".join(texts[a:b])
                 held["conv_id"].append(conv)
                 held["line_no"].append(numbers[a])
                 held["role"].append(ROLES[role[a]])
                 held["n_lines"].append(b - a)
-                held["content"].append("\n".join(texts[a:b]).rstrip("\n"))
+                held["content"].append(content if edge else content.rstrip("\n"))
+                held["block"].append(block)
+                held["piece"].append(a)
+                held["joins"].append(joins)
+                held["edge"].append(edge)
                 n += len(held["content"][-1]) + 50
             if n > 4 << 20:
                 yield pa.RecordBatch.from_pydict(held, schema)
@@ -216,10 +245,13 @@ def parsed_turns(lines: DataFrame, model: Model, *, block_span: int = 4096) -> D
 
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    out = f"conv_id {kind}, line_no long, role string, n_lines long, content string"
+    turn = f"conv_id {kind}, line_no long, role string, n_lines long, content string"
+    out = f"{turn}, block long, piece long, joins boolean, edge boolean"
     empty = lines.sparkSession.createDataFrame([], out)
     schema = to_arrow_schema(empty.schema)
-    turns = rows.mapInArrow(run, out).withColumn("content", F.regexp_replace("content", ANY_MARKER, ""))
+    pieces = stored(rows.mapInArrow(run, out))
+    turns = pieces.where("NOT edge").select(*empty.columns[:5]).unionByName(_joined(pieces.where("edge")))
+    turns = turns.withColumn("content", F.regexp_replace("content", ANY_MARKER, ""))
     return turns.withColumn("rendered", rendered(F.col("role"), F.col("content")))
 
 

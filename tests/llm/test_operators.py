@@ -261,6 +261,29 @@ def test_blocks_give_the_best_path_of_the_whole(spark):
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
 
 
+def test_turns_do_not_depend_on_blocks(spark):
+    rng = random.Random(3)
+    rows = []
+    for conv in range(4):
+        lines = []
+        while len(lines) < 60:
+            who = rng.choice(["User: ", "Assistant: "])
+            lines += [who + "says"] + [rng.choice(["more words", "a: b", ""]) for _ in range(rng.randrange(25))] + [""]
+        rows += [(conv, i, line) for i, line in enumerate(lines)]
+    frame = spark.createDataFrame(rows, "conv_id long, line_no long, line string")
+    role = F.when(F.col("line").startswith("Assistant"), "assistant").when(F.col("line").startswith("User"), "user")
+    kind = F.when(role.isNotNull(), "start").when(F.col("line") == "", "gap").otherwise("inside")
+    known = frame.select("*", F.coalesce(role, F.lit("user")).alias("role"), kind.alias("kind"), F.lit(0).alias("block"))
+    model = chat_hmm.fit(known)
+
+    def turns(span):
+        return sorted(tuple(r) for r in chat_hmm.parsed_turns(frame, model, block_span=span).collect())
+
+    whole = turns(4096)
+    assert max(r[3] for r in whole) > 8 and sum(r[3] for r in whole) == len(rows)
+    assert turns(3) == whole and turns(7) == whole
+
+
 def brute_spans(t):
     digits = lambda s: re.sub("[^0-9]", "", s)
     luhn = lambda d: sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(d[::-1])) % 10 == 0
