@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import chat_hmm, decontaminate, host_rules, lattice, nbsvm, pii, simhash, toxicity, url_filter, warc_zstd
+from linkloom.llm import (
+    chat_hmm,
+    decontaminate,
+    host_rules,
+    lattice,
+    line_dedup,
+    nbsvm,
+    pii,
+    simhash,
+    toxicity,
+    url_filter,
+    warc_zstd,
+)
 from linkloom.llm.frames import stored
 
 URL_RULES = (
@@ -74,6 +86,11 @@ def op10_simhash(spark, sf_dir):
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.without_shared_lines(docs).drop("text")
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -93,6 +110,7 @@ QUERIES = {
         op8_pii,
         op9_sentencepiece_lattice,
         op10_simhash,
+        op11_line_dedup,
         pipeline,
     )
 }
@@ -130,5 +148,17 @@ SELECT page_id, host, path, rule,
 FROM m
 """
 
+_OP11 = r"""
+WITH l AS (SELECT doc_id, generate_subscripts(x, 1) AS pos, unnest(x) AS line
+           FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)),
+     k AS (SELECT *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+                               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+     s AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+     j AS (SELECT k.doc_id, k.pos, k.line, coalesce(k.doc_id <> s.last, false) AS dropped FROM k LEFT JOIN s USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM j GROUP BY doc_id
+"""
+
 #: The others are beyond SQL, or too slow in it on whole tables; tests hold them against brute force.
-ORACLES = {"op3_warc_zstd": _OP3, "op4_url_filter": _OP4.replace("\\\\", "\\")}
+ORACLES = {"op3_warc_zstd": _OP3, "op4_url_filter": _OP4.replace("\\\\", "\\"), "op11_line_dedup": _OP11}

@@ -77,6 +77,23 @@ def sliced(
         trim(0)
 
 
+def runs(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[tuple[object, list[pa.RecordBatch]]]:
+    """Rows of equal ``key`` as a list of slices; they must stand together."""
+    now, held = None, []
+    for batch in batches:
+        column, at = batch.column(key), 0
+        for end in pc.run_end_encode(column).run_ends.to_pylist() if batch.num_rows else ():
+            value = column[at].as_py()
+            if held and value != now:
+                yield now, held
+                held = []
+            now = value
+            held.append(batch.slice(at, end - at))
+            at = end
+    if held:
+        yield now, held
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and the offset of each text; NULL is empty."""
     column = pc.fill_null(column, "").cast(pa.large_string())
