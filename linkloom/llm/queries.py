@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.llm import (
+    blas_search,
     chat_hmm,
+    collocations,
     decontaminate,
     host_rules,
     lattice,
@@ -91,6 +93,14 @@ def op11_line_dedup(spark, sf_dir):
     return line_dedup.without_shared_lines(docs).drop("text")
 
 
+def op12_blas_search(spark, sf_dir):
+    return blas_search.best_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -111,6 +121,8 @@ QUERIES = {
         op9_sentencepiece_lattice,
         op10_simhash,
         op11_line_dedup,
+        op12_blas_search,
+        op13_collocations,
         pipeline,
     )
 }
@@ -160,5 +172,50 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
 FROM j GROUP BY doc_id
 """
 
+_OP12 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+     t AS (SELECT count(*) FILTER (WHERE len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_words FROM d),
+     q AS (SELECT item_id, term, count(*) AS times FROM (
+             SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+     p AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM d)
+           WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+     w AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p, t GROUP BY term),
+     i AS (SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_words)) AS impact FROM p, t),
+     s AS (SELECT item_id, doc_id, sum(times * w * impact)::BIGINT AS score
+           FROM q JOIN w USING (term) JOIN i USING (term) GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10
+"""
+
+_OP13 = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+     w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+     u AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM w),
+     g AS (SELECT lang, k, words[i : i + k - 1] AS phrase, count(*) AS f FROM u, (SELECT unnest([1, 2, 3, 4]) AS k)
+           WHERE i + k - 1 <= len(words) GROUP BY ALL),
+     t AS (SELECT lang, sum(f)::BIGINT AS n FROM g WHERE k = 1 GROUP BY lang),
+     c AS (SELECT * FROM g WHERE k > 1 AND f >= 30),
+     m AS (SELECT lang, words, max(f) AS most FROM (
+             SELECT lang, f, unnest([phrase[i : i + s - 1] FOR i IN range(1, k - s + 2)]) AS words
+             FROM c, (SELECT unnest([2, 3]) AS s) WHERE s < k) GROUP BY ALL),
+     a AS (SELECT c.* FROM c LEFT JOIN m ON m.lang = c.lang AND m.words = c.phrase WHERE most IS NULL OR 100 * most < 80 * f),
+     s AS (SELECT a.lang, a.phrase, a.f AS a, j, l.f AS l, r.f AS r, ((2000000::HUGEINT * a.f) // (l.f + r.f))::BIGINT AS score
+           FROM a, (SELECT unnest([1, 2, 3]) AS j), g AS l, g AS r
+           WHERE j < a.k AND l.lang = a.lang AND r.lang = a.lang AND l.phrase = a.phrase[1 : j] AND r.phrase = a.phrase[j + 1 :]),
+     b AS (SELECT lang, array_to_string(phrase, ' ') AS phrase, a, l, r, score FROM s
+           QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM b JOIN t USING (lang) QUALIFY rank <= 2000
+"""
+
 #: The others are beyond SQL, or too slow in it on whole tables; tests hold them against brute force.
-ORACLES = {"op3_warc_zstd": _OP3, "op4_url_filter": _OP4.replace("\\\\", "\\"), "op11_line_dedup": _OP11}
+ORACLES = {
+    "op3_warc_zstd": _OP3,
+    "op4_url_filter": _OP4.replace("\\\\", "\\"),
+    "op11_line_dedup": _OP11,
+    "op12_blas_search": _OP12,
+    "op13_collocations": _OP13,
+}
