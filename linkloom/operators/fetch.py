@@ -25,7 +25,8 @@ from pyspark.sql import types as T
 
 from linkloom.functions.urls import is_url_text
 from linkloom.operators.enforce import CHECK_VIOLATION
-from linkloom.operators.policy import AttemptSettings
+from linkloom.operators.policy import AttemptSettings, FetchPolicy
+from linkloom.operators.rounds import BatchRounds, Schedule
 
 Transport = Callable[[str, int, AttemptSettings], "bytes | str | None"]
 
@@ -40,8 +41,29 @@ ATTEMPT_SCHEMA = T.StructType(
         T.StructField("retries", T.IntegerType()),
     ]
 )
+# An attempt of a job that runs all rounds; ``batch_failrate`` is on some rows of each batch.
+LOG_SCHEMA = T.StructType(
+    [
+        *ATTEMPT_SCHEMA.fields,
+        T.StructField("last", T.BooleanType()),
+        T.StructField("batch_failrate", T.DoubleType()),
+    ]
+)
 _TIME = pa.timestamp("us", tz="UTC")
 _FETCHED = [pa.field("payload", pa.string()), pa.field("ts_start", _TIME), pa.field("ts_end", _TIME)]
+_ANSWER = pa.schema([pa.field("row", pa.int64()), *_FETCHED])
+_ATTEMPT_ARROW = pa.schema(
+    [
+        ("url", pa.string()),
+        ("payload", pa.string()),
+        ("ok", pa.bool_()),
+        ("ts_start", _TIME),
+        ("ts_end", _TIME),
+        ("batch", pa.int64()),
+        ("retries", pa.int32()),
+    ]
+)
+_LOG_ARROW = pa.schema([*_ATTEMPT_ARROW, ("last", pa.bool_()), ("batch_failrate", pa.float64())])
 
 # Answers are handed on in pieces of this size, so a task never holds the bodies
 # of a whole batch.
@@ -55,6 +77,11 @@ def _text(body: bytes | str | None) -> str | None:
     return body or None
 
 
+def requester(transport: Transport) -> Callable:
+    """``(url, attempt, settings)`` to payload, start and end."""
+    return lambda url, attempt, settings: _timed(transport, url, attempt, settings)
+
+
 def _timed(transport: Transport, url: str, attempt: int, settings: AttemptSettings):
     start = datetime.now(timezone.utc)
     payload = _text(transport(url, attempt, settings))
@@ -122,17 +149,7 @@ def fetch_round(
     attempt excepted, as a sequential loop would.
     """
     tasks = tasks or requests.sparkSession.sparkContext.defaultParallelism
-    schema = pa.schema(
-        [
-            ("url", pa.string()),
-            ("payload", pa.string()),
-            ("ok", pa.bool_()),
-            ("ts_start", _TIME),
-            ("ts_end", _TIME),
-            ("batch", pa.int64()),
-            ("retries", pa.int32()),
-        ]
-    )
+    schema = _ATTEMPT_ARROW
 
     def answers(requested: Iterator[pa.RecordBatch], pool: ThreadPoolExecutor) -> Iterator[tuple]:
         pairs = itertools.chain.from_iterable(
@@ -153,14 +170,50 @@ def fetch_round(
         with ThreadPoolExecutor(max(1, settings.parallel_jobs)) as pool:
             yield from _pieces(answers(requested, pool), schema.names, schema)
 
+    return _dealt(requests, tasks).mapInArrow(run, ATTEMPT_SCHEMA)
+
+
+def _dealt(requests: DataFrame, tasks: int) -> DataFrame:
     return (
         requests.select("batch", "url")
         .repartitionById(tasks, F.pmod(F.col("batch") - 1, F.lit(tasks)).cast("int"))
         .sortWithinPartitions("batch", "url")
-        .mapInArrow(run, ATTEMPT_SCHEMA)
     )
 
 
+def fetch_rounds(
+    requests: DataFrame, transport: Transport, policy: FetchPolicy, tasks: int, whole_job: bool = False
+) -> DataFrame:
+    """Fetch ``(url, batch)`` rows with all their retries; a lazy frame of ``LOG_SCHEMA``.
+
+    One job: a batch is in one task, which knows its fail rate when the first answers are in and
+    goes on with its retries.  With ``whole_job`` the limits of the policy hold for all tasks together.
+    """
+    schedule = Schedule.of(policy, tasks) if whole_job else None
+    tasks = schedule.tasks if schedule else tasks
+
+    def rows(requested: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        pairs = itertools.chain.from_iterable(
+            zip(part["batch"].to_pylist(), part["url"].to_pylist()) for part in requested
+        )
+        with BatchRounds(requester(transport), policy, schedule) as rounds:
+            now = next(pairs, None)
+            while now:
+                after = next(pairs, None)
+                yield from rounds.ask(*now, after is None or after[0] != now[0])
+                now = after
+            yield from rounds.finish()
+
+    def run(requested: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        log = (
+            (a.url, a.payload, a.payload is not None, a.start, a.end, a.batch, a.retries, a.last, a.failrate)
+            for a in rows(requested)
+        )
+        yield from _pieces(log, _LOG_ARROW.names, _LOG_ARROW)
+
+    return _dealt(requests, tasks).mapInArrow(run, LOG_SCHEMA)
+
+
 def fetch(
     df: DataFrame,
     url: str,
@@ -173,7 +226,8 @@ def fetch(
     """Fetch the URL of every row: adds ``payload, ts_start, ts_end``.
 
     Each request by itself takes ``min_latency`` at least.  Rows are dealt out evenly to
-    ``tasks`` tasks, by default one a core, as requests take far longer than rows.
+    ``tasks`` tasks, by default one a core, as requests take far longer than rows; they leave in order
+    of completion, in pieces of at most 16 MB of bodies or one row.
     A value that is no URL fails the job, or with ``on_invalid="skip"`` is not requested;
     neither is NULL.  The frame is lazy and requests are made again whenever it is
     computed again: write it before use.
@@ -195,29 +249,34 @@ def fetch(
         time.sleep(max(0.0, floor - time.monotonic()))
         return answer
 
-    def asked(value: str | None) -> tuple:
-        if value is None:
-            return (None,) * 3
-        if not is_url_text(value):
-            if on_invalid == "fail":
-                raise ValueError(f"{CHECK_VIOLATION} url: not a URL: {value[:200]!r}")
-            return (None,) * 3
-        return one(value)
+    def answers(part: pa.RecordBatch, pool: ThreadPoolExecutor) -> Iterator[tuple]:
+        """Row number and answer, in order of completion."""
+        at = part.schema.get_field_index(url)
+        waiting, in_flight = enumerate(part.column(at).to_pylist()), {}
+        while True:
+            for row, value in itertools.islice(waiting, max(1, settings.parallel_jobs) - len(in_flight)):
+                if value is not None and is_url_text(value):
+                    in_flight[pool.submit(one, value)] = row
+                elif value is None or on_invalid == "skip":
+                    yield row, None, None, None
+                else:
+                    raise ValueError(f"{CHECK_VIOLATION} url: not a URL: {value[:200]!r}")
+            if not in_flight:
+                if (last := next(waiting, None)) is None:
+                    return
+                waiting = itertools.chain([last], waiting)
+                continue
+            done, _ = wait(in_flight, return_when=FIRST_COMPLETED)
+            for future in done:
+                yield (in_flight.pop(future), *future.result())
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with ThreadPoolExecutor(max(1, settings.parallel_jobs)) as pool:
-            step = 4 * max(1, settings.parallel_jobs)
             for part in parts:
-                for at in range(0, part.num_rows, step):
-                    piece = part.slice(at, step)
-                    urls = piece.column(piece.schema.get_field_index(url)).to_pylist()
-                    got = list(pool.map(asked, urls))
-                    arrays = [
-                        pa.array(values, type=field.type)
-                        for values, field in zip(zip(*got), _FETCHED, strict=True)
-                    ]
+                for piece in _pieces(answers(part, pool), _ANSWER.names, _ANSWER):
+                    rows = part.take(piece.column("row"))
                     yield pa.RecordBatch.from_arrays(
-                        [*piece.columns, *arrays], schema=pa.schema([*piece.schema, *_FETCHED])
+                        [*rows.columns, *piece.columns[1:]], schema=pa.schema([*part.schema, *_FETCHED])
                     )
 
     return df.mapInArrow(run, T.StructType(df.schema.fields + added.fields))

@@ -8,21 +8,27 @@ from pyspark.sql import types as T
 
 from linkloom.functions.text import seconds_between
 from linkloom.operators.attempts import failed_share
-from linkloom.operators.fetch import ATTEMPT_SCHEMA, Transport, fetch_round
+from linkloom.operators.fetch import ATTEMPT_SCHEMA, LOG_SCHEMA, Transport, fetch_round, fetch_rounds
 from linkloom.operators.policy import FetchPolicy
 from linkloom.sources.tables import RunStore
 
-# Fail rates are 16 bytes a batch; up to this many are sent to every executor.
-# With more batches than this the join below is left to shuffle.
-BROADCAST_BATCHES = 500_000
-
 RATE_SCHEMA = T.StructType(
     [T.StructField("batch", T.LongType()), T.StructField("batch_failrate", T.DoubleType())]
 )
 
 
-def _sized(rates: DataFrame) -> DataFrame:
-    return F.broadcast(rates) if rates.count() <= BROADCAST_BATCHES else rates
+def run_job(
+    requests: DataFrame,
+    transport: Transport,
+    policy: FetchPolicy,
+    store: RunStore,
+    tasks: int,
+    whole_job: bool = False,
+) -> None:
+    """Fetch ``(url, batch)`` requests and their retries into the store, in one job."""
+    log = store.write("log", fetch_rounds(requests, transport, policy, tasks, whole_job))
+    rates = log.where(F.col("batch_failrate").isNotNull()).groupBy("batch")
+    store.write("failrates", rates.agg(F.max("batch_failrate").alias("batch_failrate")))
 
 
 def run_rounds(
@@ -31,29 +37,28 @@ def run_rounds(
     policy: FetchPolicy,
     store: RunStore,
     tasks: int,
-    part: str = "all",
 ) -> None:
-    """Fetch ``(url, batch)`` requests, then their retries, into the store.
+    """Fetch ``(url, batch)`` requests, then their retries, into the store: a job a round.
 
-    Every round is written before it is read, so requests are not repeated when
+    For runs that are resumed under their name.  Every round is written before it is read, so requests are not repeated when
     the result is used twice, and a lost executor costs its own tasks only.
     """
     log = store.write(
-        f"attempts/{part}/0", fetch_round(requests, transport, policy.initial, 0, tasks)
+        "attempts/0", fetch_round(requests, transport, policy.initial, 0, tasks)
     )
     rates = store.write(
-        f"failrates/{part}",
+        "failrates",
         log.groupBy("batch").agg(failed_share(~F.col("ok")).alias("batch_failrate")),
     )
     allowed = rates.where(F.col("batch_failrate") <= policy.batch_retries_failrate)
     for number in range(1, policy.batch_retries + 1):
         pending = log.where(~F.col("ok")).select("url", "batch")
         if number == 1:  # later rounds hold URLs of allowed batches only
-            pending = pending.join(_sized(allowed), "batch", "left_semi")
+            pending = pending.join(allowed, "batch", "left_semi")
         if pending.isEmpty():
             return
         log = store.write(
-            f"attempts/{part}/{number}",
+            f"attempts/{number}",
             fetch_round(pending, transport, policy.retry, number, tasks),
         )
 
@@ -65,7 +70,9 @@ def stored_attempts(store: RunStore, policy: FetchPolicy) -> DataFrame:
     barred from retries or when retries are used up: a test on the row, so
     payloads are neither shuffled nor sorted to find it.
     """
-    rates = _sized(store.read_all("failrates", RATE_SCHEMA))
+    rates = store.read_all("failrates", RATE_SCHEMA)
+    if store.finished("log"):
+        return store.read_all("log", LOG_SCHEMA).drop("batch_failrate").join(rates, "batch")
     last = (
         F.col("ok")
         | (F.col("batch_failrate") > policy.batch_retries_failrate)

@@ -285,7 +285,7 @@ def test_fetch_column_keeps_rows_and_takes_its_time(spark):
         "id int, u string, other array<int>",
     ).coalesce(1)
     settings = AttemptSettings(min_latency=0.3, parallel_jobs=1)
-    rows = fetch(frame, "u", StubTransport(), settings)
+    rows = fetch(frame, "u", StubTransport(), settings, tasks=1)
     assert rows.columns == ["id", "u", "other", "payload", "ts_start", "ts_end"]
     begin = time.time()
     got = {r.id: (r.payload, r.other) for r in rows.collect()}
