@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,7 @@ from linkloom.functions import (
     string_to_array,
 )
 from linkloom.operators import (
+    AttemptSettings,
     FetchPolicy,
     all_urls,
     batch_arrays,
@@ -262,6 +265,12 @@ def sequential_batches(spark, sf_dir):
     return result.select(*RESULT)
 
 
+def paced_batches(spark, sf_dir):
+    policy = replace(THREE_ROUNDS, initial=AttemptSettings(parallel_jobs=6, delay=0.01))
+    result = fetch_batches(page_urls(spark, sf_dir), StubTransport(400), policy, whole_job=True)
+    return result.select(*RESULT)
+
+
 def stream_batches(spark, sf_dir):
     store = RunStore(spark)
     save_table(page_urls(spark, sf_dir), f"{store.root}/incoming")
@@ -290,9 +299,18 @@ def sql_fetch_urls(spark, sf_dir):
     page_urls(spark, sf_dir).createOrReplaceTempView("requested_urls")
     register_sql(spark, StubTransport(60), "requested_urls")
     return spark.sql(
-        "SELECT url, payload, batch, retries, batch_failrate FROM fetch_urls("
-        "TABLE(SELECT url, batch FROM url_batches(batch_size => 40)) PARTITION BY batch ORDER BY url, "
-        "batch_retries => 1, batch_retries_failrate => 0.05D)"
+        "SELECT url, payload, batch, retries, batch_failrate FROM fetch_source("
+        "i_parallel_jobs => 4, batch_size => 40, batch_retries => 1, batch_retries_failrate => 0.05D)"
+    )
+
+
+def sql_fetch_array(spark, sf_dir):
+    table(spark, sf_dir, "pages").select("url").createOrReplaceTempView("sql_pages")
+    register_sql(spark, StubTransport(400))
+    return spark.sql(
+        "SELECT url, payload, batch, retries, batch_failrate FROM fetch_urls(("
+        "  SELECT as_url_array(url_array_literal(concat('{\"', array_join(collect_list(url), '\",\"'), '\",NULL}')))"
+        "  FROM sql_pages), batch_size => 40, batch_retries => 3, batch_retries_failrate => 1D)"
     )
 
 
@@ -300,7 +318,8 @@ def sql_fetch_url(spark, sf_dir):
     table(spark, sf_dir, "pages").select("page_id", "url").createOrReplaceTempView("sql_pages")
     register_sql(spark, StubTransport(60))
     return spark.sql(
-        "SELECT page_id, url, payload FROM sql_pages, LATERAL fetch_url(url, timeout => 2.0D)"
+        "SELECT page_id, url, payload FROM (SELECT /*+ REPARTITION(16) */ * FROM sql_pages), "
+        "LATERAL fetch_url(url, timeout => 2.0D)"
     )
 
 
@@ -308,7 +327,7 @@ def sql_fetch_list(spark, sf_dir):
     page_urls(spark, sf_dir).createOrReplaceTempView("requested_urls")
     register_sql(spark, StubTransport(60), "requested_urls")
     return spark.sql(
-        "SELECT batch, f.url, f.payload FROM (SELECT batch, as_url_shlist(urls) AS urls FROM ("
+        "SELECT batch, f.url, f.payload FROM (SELECT /*+ REPARTITION(16) */ batch, as_url_shlist(urls) AS urls FROM ("
         "  SELECT batch, array_join(collect_list(url), ' ') AS urls FROM url_batches(40) GROUP BY batch"
         ")), LATERAL fetch_list(urls, parallel_jobs => 4) AS f"
     )
@@ -432,9 +451,11 @@ QUERIES = {
         live_rounds,
         live_rounds_3,
         sequential_batches,
+        paced_batches,
         stream_batches,
         sql_predicates,
         sql_fetch_urls,
+        sql_fetch_array,
         sql_fetch_url,
         sql_fetch_list,
         sql_casts,

@@ -50,9 +50,9 @@ class _Batch:
 class Schedule(NamedTuple):
     """Limits that hold for all tasks of a job together.
 
-    Batch ``k`` starts ``(k - 1) * step`` seconds after ``began`` at the earliest, wherever it runs,
-    and every task has its share of the requests in flight; the shares of all
-    ``tasks`` add up to ``parallel_jobs``.
+    Batch ``k`` starts ``(k - 1) * step`` seconds after ``began``, or after its task if that came later, at
+    the earliest, and every task has its share of the requests in flight; the shares of
+    all ``tasks`` add up to ``parallel_jobs``.
     """
 
     tasks: int
@@ -70,8 +70,8 @@ class Schedule(NamedTuple):
         jobs = max(1, jobs)
         return jobs // self.tasks + ((batch - 1) % self.tasks < jobs % self.tasks)
 
-    def wait(self, batch: int) -> float:
-        return self.began + (batch - 1) * self.step - time.time()
+    def wait(self, batch: int, task_began: float) -> float:
+        return max(self.began, task_began) + (batch - 1) * self.step - time.time()
 
 
 class BatchRounds:
@@ -93,6 +93,7 @@ class BatchRounds:
         self._new: deque[tuple[int, str, bool]] = deque()
         self._open: _Batch | None = None  # gets new URLs
         self._under_way = 0
+        self._began = time.time()
         self._due = 0.0
         self._free = time.monotonic()  # when the batch before has ended
 
@@ -156,7 +157,7 @@ class BatchRounds:
         else:
             settings = (self._policy.initial, self._policy.retry)
             self._jobs = [self._schedule.share(s.parallel_jobs, number) for s in settings]
-            self._due = max(self._free, time.monotonic() + self._schedule.wait(number))
+            self._due = max(self._free, time.monotonic() + self._schedule.wait(number, self._began))
         return time.monotonic() >= self._due
 
     def _submit(self, batch: _Batch, url: str) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
@@ -10,8 +11,9 @@ from pyspark.sql.functions import udtf
 
 from linkloom.functions.urls import URL_PATTERN, is_url_text
 from linkloom.operators.enforce import CHECK_VIOLATION, NOT_NULL_VIOLATION
-from linkloom.operators.fetch import Transport, fetch_concurrently
-from linkloom.operators.policy import AttemptSettings
+from linkloom.operators.fetch import Transport, fetch_concurrently, requester
+from linkloom.operators.policy import AttemptSettings, FetchPolicy
+from linkloom.operators.rounds import BatchRounds, Schedule
 from linkloom.sources.http import HttpTransport
 
 RESULT_COLUMNS = (
@@ -19,25 +21,72 @@ RESULT_COLUMNS = (
     "batch bigint, retries int, batch_failrate double"
 )
 
-# The batch plan of operators.batching, over a view named at registration.
-_BATCHES = """
-CREATE OR REPLACE TEMPORARY FUNCTION {name}(batch_size INT DEFAULT 2000)
-RETURNS TABLE(url STRING, batch BIGINT)
-RETURN
-  WITH urls AS (
+# The batch plan of operators.batching; a batch also knows how many URLs it has.
+_NUMBERED = """
+  urls AS (
     SELECT url, coalesce(substring(md5(url), 1, 4), '') AS bucket
-    FROM (SELECT DISTINCT {checked} AS url FROM {view} WHERE url IS NOT NULL)
+    FROM (SELECT DISTINCT {checked} AS url FROM {source} WHERE url IS NOT NULL)
   ), sizes AS (
     SELECT bucket, count(*) AS n FROM urls GROUP BY bucket
   ), offsets AS (
-    SELECT bucket, sum(n) OVER (ORDER BY bucket) - n AS before FROM sizes
+    SELECT bucket, sum(n) OVER (ORDER BY bucket) - n AS before, sum(n) OVER () AS total FROM sizes
   ), placed AS (
-    SELECT /*+ BROADCAST(offsets) */ url, before +
+    SELECT /*+ BROADCAST(offsets) */ url, total, before +
       row_number() OVER (PARTITION BY bucket ORDER BY md5(url), url) AS at
     FROM urls JOIN offsets USING (bucket)
+  ), numbered AS (
+    SELECT url, (at - 1) div batch_size + 1 AS batch,
+      least(batch_size, total - (at - 1) div batch_size * batch_size) AS batch_urls
+    FROM placed
+  )
+"""
+
+_BATCHES = (
+    """
+CREATE OR REPLACE TEMPORARY FUNCTION {name}(batch_size INT DEFAULT 2000)
+RETURNS TABLE(url STRING, batch BIGINT)
+RETURN WITH"""
+    + _NUMBERED
+    + "SELECT url, batch FROM numbered"
+)
+
+# Settings of a fetch and their defaults, in the order of the SQL arguments.
+_ATTEMPT = {
+    "min_latency": "DOUBLE DEFAULT 0",
+    "timeout": "DOUBLE DEFAULT 5",
+    "tries": "INT DEFAULT 1",
+    "waitretry": "DOUBLE DEFAULT 0",
+    "parallel_jobs": "INT DEFAULT 10",
+    "delay": "DOUBLE DEFAULT 0",
+}
+_SETTINGS = {
+    **{f"{kind}_{name}": default for kind in "ir" for name, default in _ATTEMPT.items()},
+    "batch_retries": "INT DEFAULT 1",
+    "batch_retries_failrate": "DOUBLE DEFAULT 0.05",
+    "whole_job": "BOOLEAN DEFAULT FALSE",
+}
+
+# Few bytes go through the exchange before the requests, which adaptive execution would merge into
+# one task; a number of ranges that is asked for stays as it is, and ranges deal batches out evenly.
+# The fail rate stands on one row of a batch at least and is spread over the others at the end.
+_FETCH = (
+    """
+CREATE OR REPLACE TEMPORARY FUNCTION {name}({urls}{arguments}, batch_size INT DEFAULT 2000)
+RETURNS TABLE({columns})
+RETURN WITH"""
+    + _NUMBERED
+    + """, dealt AS (
+    SELECT /*+ REPARTITION_BY_RANGE({tasks}, batch) */ url, batch, batch_urls,
+      named_struct({settings}, 'tasks', {tasks}, 'began', {began}) AS settings
+    FROM numbered
+  ), requests AS (
+    SELECT * FROM dealt SORT BY batch, url
   )
-  SELECT url, (at - 1) div batch_size + 1 AS batch FROM placed
+  SELECT url, payload, ts_end, duration, batch, retries,
+    max(batch_failrate) OVER (PARTITION BY batch) AS batch_failrate
+  FROM (SELECT f.* FROM requests, LATERAL {fetch}(requests.url, requests.batch, batch_urls, settings) AS f)
 """
+)
 
 
 def _require_urls(urls) -> None:
@@ -90,90 +139,54 @@ def _fetch_list(transport: Transport):
     return FetchList
 
 
+def _policy(settings) -> FetchPolicy:
+    one, two = (AttemptSettings(**{name: settings[f"{kind}_{name}"] for name in _ATTEMPT}) for kind in "ir")
+    return FetchPolicy(
+        one,
+        two,
+        batch_retries=settings["batch_retries"],
+        batch_retries_failrate=settings["batch_retries_failrate"],
+    )
+
+
 def _fetch_batch(transport: Transport):
     @udtf(returnType=RESULT_COLUMNS)
     class FetchBatch:
-        """Fetches a batch when the next one begins; holds one, at most batch_size URLs.
+        """Takes the URLs of whole batches, one a call, and gives answers as they come.
 
-        Rows of a batch must stand together: ``PARTITION BY batch``, or input sorted by it.
+        Those of a batch must stand together, which the SQL functions see to and ``batch_urls`` proves.
         """
 
         def __init__(self):
-            self.requests, self.policy, self.done = [], None, set()
+            self.rounds, self.batch, self.left = None, None, 0
 
-        def eval(
-            self,
-            row,
-            i_min_latency=0.0,
-            i_timeout=5.0,
-            i_tries=1,
-            i_waitretry=0.0,
-            i_parallel_jobs=10,
-            i_delay=0.0,
-            r_min_latency=0.0,
-            r_timeout=5.0,
-            r_tries=1,
-            r_waitretry=0.0,
-            r_parallel_jobs=10,
-            r_delay=0.0,
-            batch_retries=1,
-            batch_retries_failrate=0.05,
-        ):
-            _require_urls([row["url"]])
-            if row["batch"] in self.done:
-                raise ValueError(f"rows of batch {row['batch']} are apart: use PARTITION BY batch")
-            if self.requests and self.requests[0][0] != row["batch"]:
-                self.done.add(self.requests[0][0])
-                yield from self.fetched()
-                self.requests = []
-            self.requests.append((row["batch"], row["url"]))
-            if self.policy is None:
-                self.policy = (
-                    AttemptSettings(
-                        float(i_min_latency),
-                        float(i_timeout),
-                        i_tries,
-                        float(i_waitretry),
-                        i_parallel_jobs,
-                        float(i_delay),
-                    ),
-                    AttemptSettings(
-                        float(r_min_latency),
-                        float(r_timeout),
-                        r_tries,
-                        float(r_waitretry),
-                        r_parallel_jobs,
-                        float(r_delay),
-                    ),
-                    batch_retries,
-                    float(batch_retries_failrate),
-                )
+        def eval(self, url, batch, batch_urls, settings):
+            _require_urls([url])
+            if self.rounds is None:
+                policy = _policy(settings)
+                schedule = None
+                if settings["whole_job"]:
+                    schedule = Schedule.of(policy, settings["tasks"])._replace(began=settings["began"])
+                self.rounds = BatchRounds(requester(transport), policy, schedule)
+            if not self.left:
+                self.batch, self.left = batch, batch_urls
+            if batch != self.batch:
+                raise ValueError(f"rows of batch {self.batch} are apart: {self.left} URLs are missing")
+            self.left -= 1
+            yield from self.result(self.rounds.ask(batch, url, self.left == 0))
 
         def terminate(self):
-            if self.requests:
-                yield from self.fetched()
-
-        def fetched(self):
-            initial, retry, retries, limit = self.policy
-            pending, failrate = self.requests, None
-            for attempt in range(retries + 1):
-                settings = retry if attempt else initial
-                if attempt or self.requests[0][0] != 1:
-                    time.sleep(settings.delay)
-                with ThreadPoolExecutor(max(1, settings.parallel_jobs)) as pool:
-                    got = list(fetch_concurrently(pending, transport, attempt, settings, pool))
-                if failrate is None:
-                    failrate = sum(payload is None for _, _, payload, _, _ in got) / len(got)
-                again = attempt < retries and failrate <= limit
-                pending = []
-                for batch, url, payload, start, end in got:
-                    if payload is None and again:
-                        pending.append((batch, url))
-                        continue
-                    seconds = (end - start).total_seconds()
-                    yield url, payload, end, seconds, batch, attempt, failrate
-                if not pending:
-                    return
+            if self.left:
+                raise ValueError(f"rows of batch {self.batch} are apart: {self.left} URLs are missing")
+            if self.rounds is not None:
+                with self.rounds:
+                    yield from self.result(self.rounds.finish())
+
+        def result(self, attempts) -> Iterator[tuple]:
+            for a in attempts:
+                if a.last:
+                    seconds = (a.end - a.start).total_seconds()
+                    yield a.url, a.payload, a.end, seconds, a.batch, a.retries, a.failrate
 
     return FetchBatch
 
@@ -183,16 +196,22 @@ def register_sql(
     transport: Transport | None = None,
     source_view: str | None = None,
     names: dict[str, str] | None = None,
+    tasks: int | None = None,
 ) -> None:
     """Register temporary functions.
 
     Tests: ``is_url(text)``, ``is_url_array(array)``, ``is_url_shlist(text)``.
     Casts that raise: ``as_url``, ``as_url_array``, ``as_url_shlist``.
+    Literals: ``url_array_literal('{a,"b,c",NULL}')`` reads an array that ``as_url_array`` accepts.
     Requests over ``transport``: ``fetch_url(url, min_latency, timeout, tries,
     waitretry)``; ``fetch_list(url_shlist, ..., parallel_jobs, delay)`` for a
-    space-separated list; ``fetch_urls(TABLE(...) PARTITION BY batch, ...)`` with
-    retries.  ``url_batches(batch_size)`` over the ``url`` column of
-    ``source_view``.  ``names`` maps these to the names that existing queries use.
+    space-separated list.  ``fetch_urls(urls, ..., batch_size, batch_retries, batch_retries_failrate)``
+    takes an array and ``fetch_source(...)`` the ``url`` column of ``source_view``: both number the batches
+    themselves, deal them out to ``tasks`` tasks (one a core by default), fetch with retries and
+    give one row per distinct URL.  ``i_`` and ``r_`` settings are for first attempts and retries;
+    ``whole_job => true`` makes them limits of all tasks together.
+    ``url_batches(batch_size)`` shows the batches of ``source_view``.
+    ``names`` maps these to the names that existing queries use.
     """
 
     def name(plain: str) -> str:
@@ -219,10 +238,47 @@ def register_sql(
     function("as_url", "x STRING", "STRING", checked("x", "url", f"x {one}"))
     function("as_url_array", "x ARRAY<STRING>", "ARRAY<STRING>", checked("x", "url_array", array))
     function("as_url_shlist", "x STRING", "STRING", checked("x", "url_shlist", shlist))
-    if source_view:
-        url = checked("url", "url", f"url {one}")
-        spark.sql(_BATCHES.format(name=name("url_batches"), view=source_view, checked=url))
+    function("url_array_literal", "x STRING", "ARRAY<STRING>", _literal("x"))
+    url = checked("url", "url", f"url {one}")
     transport = transport or HttpTransport()
     spark.udtf.register(name("fetch_url"), _fetch_one(transport))
     spark.udtf.register(name("fetch_list"), _fetch_list(transport))
-    spark.udtf.register(name("fetch_urls"), _fetch_batch(transport))
+    spark.udtf.register(name("fetch_numbered"), _fetch_batch(transport))
+    form = {
+        "arguments": ", ".join(f"{n} {kind}" for n, kind in _SETTINGS.items()),
+        "settings": ", ".join(f"'{n}', {n}" for n in _SETTINGS),
+        "columns": RESULT_COLUMNS,
+        "tasks": tasks or spark.sparkContext.defaultParallelism,
+        # Of the query, not of the registration.
+        "began": "unix_micros(current_timestamp()) / 1e6D",
+        "fetch": name("fetch_numbered"),
+        "checked": url,
+    }
+    given = f"CASE WHEN urls IS NULL THEN raise_error('{NOT_NULL_VIOLATION} url_array: NULL') ELSE urls END"
+    source = f"(SELECT explode({given}) AS url)"
+    spark.sql(_FETCH.format(name=name("fetch_urls"), urls="urls ARRAY<STRING>, ", source=source, **form))
+    if source_view:
+        spark.sql(_BATCHES.format(name=name("url_batches"), source=source_view, checked=url))
+        spark.sql(_FETCH.format(name=name("fetch_source"), urls="", source=source_view, **form))
+
+
+def _literal(value: str) -> str:
+    """``functions.text.array_literal`` as SQL text."""
+    body = rf"regexp_extract({value}, r'(?s)^\s*\{{(.*)\}}\s*\z', 1)"
+    pattern = r"""r'(?s)\s*("[^"\\]*+(?:\\.[^"\\]*+)*+"|[^,"{}]++)\s*(?:,|\z)'"""
+    bare = lambda item: rf"regexp_replace({item}, r'^\s+|\s+\z', '')"
+    plain = bare("e")
+    quoted = rf"regexp_replace(substring({plain}, 2, length({plain}) - 2), r'(?s)\\(.)', '$1')"
+    items = f"regexp_extract_all({body}, {pattern}, 1)"
+    whole = (
+        f"(array_join(regexp_extract_all({body}, {pattern}, 0), '') = {body} "
+        rf"AND NOT {body} rlike r',\s*\z' AND NOT exists({items}, e -> {plain} = ''))"
+    )
+    empty = rf"(regexp_replace({body}, r'\s', '') = '')"
+    return (
+        f"CASE WHEN {value} IS NULL THEN NULL "
+        rf"WHEN {value} rlike r'(?s)^\s*\{{.*\}}\s*\z' AND ({empty} OR {whole}) THEN "
+        f"CASE WHEN {empty} THEN cast(array() AS ARRAY<STRING>) ELSE transform({items}, e -> "
+        f"CASE WHEN startswith({plain}, '\"') THEN {quoted} WHEN upper({plain}) <> 'NULL' THEN {plain} END) END "
+        f"ELSE raise_error(concat('22P02 malformed array literal: ', {value})) END"
+    )

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from checks.inputs import StubTransport
 from linkloom.operators import AttemptSettings, FetchPolicy, fetch, last_attempts, retry_candidates
-from linkloom.operators import with_duration, with_failrate
+from linkloom.operators import distinct_urls, number_batches, with_duration, with_failrate
+from linkloom.operators.fetch import fetch_rounds
 from linkloom.plans import (
     fetch_batches,
     live_attempts,
@@ -312,17 +313,116 @@ def test_sql_equals_python(spark, urls):
     register_sql(spark, StubTransport(400), "t_wanted")
     policy = FetchPolicy(batch_size=40, batch_retries=2, batch_retries_failrate=0.4)
     by_sql = spark.sql(
-        "SELECT * FROM fetch_urls(TABLE(SELECT * FROM url_batches(40)) PARTITION BY batch ORDER BY url, "
-        "i_parallel_jobs => 3, batch_retries => 2, batch_retries_failrate => 0.4D)"
+        "SELECT * FROM fetch_source(batch_size => 40, i_parallel_jobs => 3, batch_retries => 2, "
+        "batch_retries_failrate => 0.4D)"
     )
     assert by_sql.columns == COLUMNS
-    by_python = fetch_batches(urls, StubTransport(400), policy)
-    assert sorted(by_sql.select(*COMPARED).collect()) == sorted(by_python.select(*COMPARED).collect())
+    by_python = sorted(fetch_batches(urls, StubTransport(400), policy).select(*COMPARED).collect())
+    assert sorted(by_sql.select(*COMPARED).collect()) == by_python
+    by_array = spark.sql(
+        "SELECT * FROM fetch_urls((SELECT collect_list(url) FROM t_wanted), batch_size => 40, batch_retries => 2, "
+        "batch_retries_failrate => 0.4D, whole_job => true)"
+    )
+    assert by_array.columns == COLUMNS
+    assert sorted(by_array.select(*COMPARED).collect()) == by_python
     register_sql(spark, StubTransport())
     one = spark.sql("SELECT payload FROM fetch_url('http://a.com/1', tries => 2)").collect()
     assert [r.payload for r in one] == ["body of http://a.com/1"]
 
 
+def part_of_task(url, attempt, settings):
+    from pyspark import TaskContext
+
+    time.sleep(0.005)
+    return str(TaskContext.get().partitionId())
+
+
+@pytest.mark.parametrize("parts", [1, 3, 17])
+def test_sql_fetches_spread_whatever_the_input(spark, urls, parts):
+    urls.repartition(parts).createOrReplaceTempView("t_spread")
+    register_sql(spark, part_of_task, "t_spread", tasks=4)
+    for call in ("fetch_source(batch_size => 40)", "fetch_urls((SELECT collect_list(url) FROM t_spread), batch_size => 40)"):
+        rows = spark.sql(f"SELECT url, payload, batch FROM {call}").collect()
+        assert len(rows) == 300 and len({r.payload for r in rows}) == 4
+        by_batch = {(r.batch, r.payload) for r in rows}
+        assert len(by_batch) == 8  # a batch is in one task
+
+
+def test_sql_arrays(spark):
+    register_sql(spark, StubTransport())
+    got = spark.sql(
+        "SELECT url, batch FROM fetch_urls((SELECT url_array_literal('{http://a.com/1,\"http://b.com/?x,y\",NULL,http://a.com/1}')), "
+        "batch_size => 1)"
+    ).collect()
+    assert {r.url for r in got} == {"http://a.com/1", "http://b.com/?x,y"} and {r.batch for r in got} == {1, 2}
+    assert spark.sql("SELECT * FROM fetch_urls(cast(array() AS ARRAY<STRING>))").collect() == []
+    for bad, state in (("array('nonsense')", "23514"), ("cast(NULL AS ARRAY<STRING>)", "23502"), ("(SELECT url_array_literal('{a'))", "22P02")):
+        with pytest.raises(Exception, match=state):
+            spark.sql(f"SELECT * FROM fetch_urls({bad})").collect()
+
+
+def test_rows_of_a_batch_must_stand_together(spark):
+    rows = [(f"http://a.com/{i}", i % 2 + 1) for i in range(6)]
+    spark.createDataFrame(rows, "url string, batch long").coalesce(1).createOrReplaceTempView("t_apart")
+    register_sql(spark, StubTransport(), "t_apart")
+    settings = "named_struct('i_min_latency', 0D, 'i_timeout', 5D, 'i_tries', 1, 'i_waitretry', 0D, 'i_parallel_jobs', 1, "
+    settings += "'i_delay', 0D, 'r_min_latency', 0D, 'r_timeout', 5D, 'r_tries', 1, 'r_waitretry', 0D, 'r_parallel_jobs', 1, "
+    settings += "'r_delay', 0D, 'batch_retries', 1, 'batch_retries_failrate', 0.05D, 'whole_job', false)"
+    with pytest.raises(Exception, match="apart"):
+        spark.sql(f"SELECT f.* FROM t_apart, LATERAL fetch_numbered(t_apart.url, t_apart.batch, 3L, {settings}) f").collect()
+
+
+def most_at_once(log):
+    rows = log.select(F.unix_micros("ts_start").alias("b"), F.unix_micros("ts_end").alias("e")).collect()
+    events = sorted([(r.b, 1) for r in rows] + [(r.e, -1) for r in rows])
+    now = most = 0
+    for _, step in events:
+        now += step
+        most = max(most, now)
+    return most
+
+
+@pytest.mark.parametrize("jobs", [1, 3, 6])
+def test_limits_of_the_whole_job(spark, tmp_path, jobs):
+    urls = url_range(spark, 1, 120, "https://a.example.com/%s")
+    settings = AttemptSettings(parallel_jobs=jobs, delay=0.3)
+    policy = FetchPolicy(settings, AttemptSettings(parallel_jobs=jobs), 20, 1, 1.0)
+    log = live_attempts(urls, Recording(str(tmp_path), 300, sleep=0.02), policy, tasks=4, whole_job=True)
+    assert 1 <= most_at_once(log) <= jobs
+    starts = sorted(r[1] for r in log.groupBy("batch").agg(F.min("ts_start")).collect())
+    assert len(starts) == 6 and (starts[-1] - starts[0]).total_seconds() >= 5 * 0.3 - 0.5
+    free = FetchPolicy(AttemptSettings(parallel_jobs=jobs), batch_size=20)
+    per_task = live_attempts(urls, Recording(str(tmp_path), 0, sleep=0.2), free, tasks=4)
+    assert most_at_once(per_task) > jobs
+
+
+def test_rounds_are_one_job_and_survive_a_lost_task(spark, tmp_path):
+    """A task that dies repeats its own requests; what it had sent before counts once."""
+    urls = url_range(spark, 1, 200, "https://a.example.com/%s")
+    policy = FetchPolicy(batch_size=40, batch_retries=3, batch_retries_failrate=1.0)
+    frame = number_batches(distinct_urls(urls), 40)
+    want = sorted(fetch_batches(urls, StubTransport(400), policy).select("url", "batch", "retries").collect())
+    died = Recording(str(tmp_path), 400, fail_task_once=True)
+    log = fetch_rounds(frame, died, policy, 3)
+    with pytest.raises(Exception, match="defect"):
+        log.collect()  # local mode gives a task one try; a cluster would repeat it
+    again = log.where("last").select("url", "batch", "retries").collect()
+    assert sorted(again) == want
+    assert "Exchange" in log._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("other", [{"sequential": True}, {"whole_job": True}])
+def test_a_named_run_keeps_its_mode(spark, urls, other):
+    few, run = urls.limit(10), f"mode-{uuid.uuid4()}"
+    assert fetch_batches(few, StubTransport(), run_id=run).count() == 10
+    with pytest.raises(ValueError, match="another mode"):
+        fetch_batches(few, StubTransport(), run_id=run, **other)
+    assert fetch_batches(few, StubTransport(), run_id=run).count() == 10
+    named = f"mode-{uuid.uuid4()}"
+    assert fetch_batches(few, StubTransport(), run_id=named, **other).count() == 10
+    assert fetch_batches(few, StubTransport(), run_id=named, **other).count() == 10
+
+
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
 def test_times_are_instants_in_any_session_zone(spark, zone):
     spark.conf.set("spark.sql.session.timeZone", zone)
@@ -334,7 +434,7 @@ def test_times_are_instants_in_any_session_zone(spark, zone):
         frames = [
             fetch_batches(wanted, StubTransport()),
             fetch(wanted, "url", StubTransport()),
-            spark.sql("SELECT * FROM fetch_urls(TABLE(SELECT * FROM url_batches()) PARTITION BY batch)"),
+            spark.sql("SELECT * FROM fetch_source()"),
             spark.sql("SELECT * FROM fetch_list('http://a.com/1 http://a.com/2')"),
         ]
         for frame in frames:

@@ -49,15 +49,6 @@ def test_sql_fetch_checks_urls(spark):
             spark.sql(f"SELECT * FROM {call}").collect()
 
 
-def test_batches_end_when_the_number_changes(spark):
-    rows = [(f"http://a.com/{i}", i // 5 + 1) for i in range(20)]
-    spark.createDataFrame(rows, "url string, batch long").coalesce(1).createOrReplaceTempView("listed_batches")
-    register_sql(spark, StubTransport(300))
-    plain = spark.sql("SELECT * FROM fetch_urls(TABLE(listed_batches))").drop("ts_end", "duration")
-    dealt = spark.sql("SELECT * FROM fetch_urls(TABLE(listed_batches) PARTITION BY batch ORDER BY url)")
-    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, dealt.drop("ts_end", "duration").collect()))
-
-
 def test_a_run_keeps_to_its_input_and_policy(spark):
     one, two = (spark.createDataFrame([(f"http://{h}.com/",)], "url string") for h in "ab")
     first = fetch_batches(one, StubTransport(), run_id="guarded").count()
