@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,10 +41,10 @@ SCALE = 2_000_000
 NO_LANGUAGE = "und"
 #: Words of an edge, and bytes of text a bucket is for.
 WIDTH = 4
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 8 << 20
 LEAST_BUCKETS = 64
 #: Bytes of text whose edges are counted together before they travel.
-SLICE = 16 << 20
+SLICE = 6 << 20
 #: Edges in one row of a compacted path.
 PATH_EDGES = 256
 
@@ -51,11 +52,11 @@ SEPARATORS = b".,;:!?\x0a\x0b\x0c\x0d"
 _SEPARATES = np.array([b in SEPARATORS for b in range(256)])
 _IN_WORD = np.array([b not in SEPARATORS + b"\x20\x09" for b in range(256)])
 
-_PACK = "bucket int, lang string, words array<string>, size int, grams binary, counts binary"
+_PACK = "bucket int, lang string, words binary, size int, grams binary, counts binary"
 _PACK_ARROW = [
     ("bucket", pa.int32()),
     ("lang", pa.string()),
-    ("words", pa.list_(pa.string())),
+    ("words", pa.binary()),
     ("size", pa.int32()),
     ("grams", pa.binary()),
     ("counts", pa.binary()),
@@ -98,8 +99,15 @@ def _hashes(words: pa.Array) -> np.ndarray:
     return np.fromiter((0, *values), dtype=np.uint64, count=len(words) + 1)
 
 
-def _smallest(values: np.ndarray) -> np.ndarray:
-    return values.astype(np.min_scalar_type(int(values.max(initial=0))).newbyteorder("<"))
+def _squeezed(values: np.ndarray, codec: zstandard.ZstdCompressor) -> bytes:
+    """Numbers in as few bytes as the largest needs, all first bytes first, compressed."""
+    small = values.astype(np.min_scalar_type(int(values.max(initial=0))).newbyteorder("<")).ravel()
+    return codec.compress(np.ascontiguousarray(small.view(np.uint8).reshape(len(small), -1).T).tobytes())
+
+
+def _restored(packed: bytes, n: int, codec: zstandard.ZstdDecompressor) -> np.ndarray:
+    planes = np.frombuffer(codec.decompress(packed), dtype=np.uint8).reshape(-1, n)
+    return np.ascontiguousarray(planes.T).view(f"<u{len(planes)}").ravel().astype(np.int64)
 
 
 def _packed(
@@ -120,22 +128,22 @@ def _packed(
     cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(bucket) else [0]
     grams = np.stack([column[order] for column in columns])
     counts = counts[order]
-    used, ends, place = [], [0], np.zeros(len(words) + 1, dtype=np.int64)
-    packs, numbers = [], []
+    place, names = np.zeros(len(words) + 1, dtype=np.int64), words.cast(pa.binary())
+    known, packs, numbers = [], [], []
+    codec = zstandard.ZstdCompressor(level=1)
     for start, end in zip(cuts[:-1], cuts[1:]):
         mine = np.unique(grams[:, start:end])
         mine = mine[mine > 0]
         place[mine] = np.arange(1, len(mine) + 1)
-        used.append(mine - 1)
-        ends.append(ends[-1] + len(mine))
-        packs.append(_smallest(place[grams[:, start:end]]).tobytes())
-        numbers.append(_smallest(counts[start:end]).tobytes())
-    flat = words.take(pa.array(np.concatenate(used) if used else np.zeros(0, np.int64)))
+        # No word has a line end in it.
+        known.append(codec.compress(b"\n".join(names.take(pa.array(mine - 1)).to_pylist())))
+        packs.append(_squeezed(place[grams[:, start:end]], codec))
+        numbers.append(_squeezed(counts[start:end], codec))
     return pa.table(
         {
             "bucket": pa.array(bucket[cuts[:-1]] if len(bucket) else [], pa.int32()),
             "lang": pa.array([lang] * len(packs), pa.string()),
-            "words": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat),
+            "words": pa.array(known, pa.binary()),
             "size": pa.array(np.diff(cuts), pa.int32()),
             "grams": pa.array(packs, pa.binary()),
             "counts": pa.array(numbers, pa.binary()),
@@ -145,19 +153,16 @@ def _packed(
 
 def _unpacked(packs: pa.Table, width: int) -> tuple[pa.Array, list[np.ndarray], np.ndarray]:
     """The words, rows and counts of several packs, with words numbered alike; rows may repeat."""
-    coded = pa.chunked_array(
-        [chunk.flatten() for chunk in packs["words"].chunks], pa.string()
-    ).combine_chunks().dictionary_encode()
+    codec = zstandard.ZstdDecompressor()
+    lists = [codec.decompress(x).split(b"\n") for x in packs["words"].to_pylist()]
+    coded = pa.array([w for words in lists for w in words], pa.binary()).cast(pa.string()).dictionary_encode()
     code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
-    n_words = pc.list_value_length(packs["words"]).to_numpy()
     at, grams, counts = 0, [], []
-    rows = zip(n_words.tolist(), *(packs[c].to_pylist() for c in ("size", "grams", "counts")))
-    for n, size, packed, numbers in rows:
-        own = np.concatenate(([0], code[at : at + n]))
-        at += n
-        kind = f"<u{len(packed) // (width * size)}"
-        grams.append(own[np.frombuffer(packed, kind).reshape(width, size)])
-        counts.append(np.frombuffer(numbers, f"<u{len(numbers) // size}").astype(np.int64))
+    for words, size, packed, numbers in zip(lists, *(packs[c].to_pylist() for c in ("size", "grams", "counts"))):
+        own = np.concatenate(([0], code[at : at + len(words)]))
+        at += len(words)
+        grams.append(own[_restored(packed, width * size, codec)].reshape(width, size))
+        counts.append(_restored(numbers, size, codec))
     return coded.dictionary, list(np.concatenate(grams, axis=1)), np.concatenate(counts)
 
 
