@@ -115,9 +115,31 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def recorded(answers: DataFrame, payload: str, per_mille: int, attempts: int = 1) -> DataFrame:
+    """``answers`` as a log of ``attempts`` attempts, in which those that ``StubTransport`` fails are empty."""
+    log = answers.withColumn("attempt", F.explode(F.sequence(F.lit(0), F.lit(attempts - 1))))
+    digest = F.md5(F.concat("url", F.lit("#"), F.col("attempt").cast("string")))
+    draw = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 1001
+    return log.withColumn(payload, F.when(draw >= per_mille, F.col(payload)))
+
+
+def event_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``url, attempt, payload, ts_start, ts_end``: the events as four attempts a URL.
+
+    Errors and sign-ups are empty answers, with their times; some have no start or no end.
+    """
+    return table(spark, sf_dir, "events").selectExpr(
+        "concat('https://e.example.com/', event_id div 4) as url",
+        "cast(event_id % 4 as int) as attempt",
+        "case event_type when 'error' then null when 'signup' then '' else props end as payload",
+        "if(event_id % 3 = 0, null, timestampadd(MILLISECOND, -(event_id % 900), ts)) as ts_start",
+        "if(event_id % 50 = 0, null, ts) as ts_end",
+    )
+
+
 @dataclass(frozen=True)
 class StubTransport:
-    """Answers ``body of <url>``, or fails by the rule of ``FaultRule``."""
+    """Answers ``body of <url>``, or fails by a hash of URL and attempt, ``per_mille`` of 1001 requests."""
 
     per_mille: int = 0
 

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from checks.inputs import (
     StubTransport,
+    event_answers,
     event_log,
     ipv4_urls,
     order_arrays,
     order_lists,
     page_urls,
+    recorded,
     table,
     url_variants,
 )
@@ -58,7 +60,7 @@ from linkloom.plans import (
     replay_attempts,
     replay_outcomes,
 )
-from linkloom.sources import FaultRule, RunStore, Snapshot, save_table, unnest_urls, url_template
+from linkloom.sources import RunStore, Snapshot, save_table, unnest_urls, url_template
 from linkloom.streaming import fetch_stream
 
 POLICY = FetchPolicy(batch_size=40, batch_retries=1, batch_retries_failrate=0.05)
@@ -67,9 +69,11 @@ ONE_BY_ONE = FetchPolicy(batch_size=2000, batch_retries=2, batch_retries_failrat
 RESULT = ["url", "payload", "batch", "retries", "batch_failrate"]
 
 
-def _snapshot(spark: SparkSession, sf_dir: str, per_mille: int) -> Snapshot:
-    pages = table(spark, sf_dir, "pages")
-    return Snapshot(pages, payload="html", faults=FaultRule(per_mille), unique=True)
+def _snapshot(spark: SparkSession, sf_dir: str, per_mille: int, attempts: int = 2) -> Snapshot:
+    """The pages as a log of attempts, some of them empty."""
+    pages = table(spark, sf_dir, "pages").select("url", "html")
+    log = recorded(pages, "html", per_mille, attempts)
+    return Snapshot(log, payload="html", attempt="attempt", unique=True)
 
 
 # --- validation ----------------------------------------------------------------
@@ -192,13 +196,24 @@ def batched_fetch(spark, sf_dir):
 
 
 def retry_rounds_3(spark, sf_dir):
-    urls, snapshot = page_urls(spark, sf_dir), _snapshot(spark, sf_dir, 400)
+    urls, snapshot = page_urls(spark, sf_dir), _snapshot(spark, sf_dir, 400, 4)
     return replay_outcomes(urls.where("url is not null"), snapshot, THREE_ROUNDS)
 
 
 def attempt_log(spark, sf_dir):
-    urls, snapshot = page_urls(spark, sf_dir), _snapshot(spark, sf_dir, 400)
-    return replay_attempts(replay_outcomes(urls.where("url is not null"), snapshot, THREE_ROUNDS))
+    urls, snapshot = page_urls(spark, sf_dir), _snapshot(spark, sf_dir, 400, 4)
+    return replay_attempts(urls.where("url is not null"), snapshot, THREE_ROUNDS)
+
+
+def timed_fetch(spark, sf_dir):
+    """All seven columns, from answers with times: failures and missing starts among them."""
+    log = event_answers(spark, sf_dir)
+    snapshot = Snapshot(log, ts_start="ts_start", ts_end="ts_end", attempt="attempt")
+    policy = FetchPolicy(batch_size=40, batch_retries=3, batch_retries_failrate=0.4)
+    result = fetch_batches(log.select("url"), snapshot, policy)
+    return result.withColumns(
+        {"ts_end": F.col("ts_end").cast("timestamp_ntz"), "duration": F.round("duration", 6)}
+    )
 
 
 def last_attempt(spark, sf_dir):
@@ -441,6 +456,7 @@ QUERIES = {
         batched_fetch,
         retry_rounds_3,
         attempt_log,
+        timed_fetch,
         last_attempt,
         duration_fallback,
         event_report,

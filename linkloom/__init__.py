@@ -16,11 +16,10 @@ from linkloom.operators import (
     number_batches,
 )
 from linkloom.plans import fetch_batches, register_sql
-from linkloom.sources import FaultRule, HttpTransport, Snapshot, save_table
+from linkloom.sources import HttpTransport, Snapshot, save_table
 
 __all__ = [
     "AttemptSettings",
-    "FaultRule",
     "FetchPolicy",
     "HttpTransport",
     "Snapshot",

@@ -30,10 +30,15 @@ def with_failrate(first: DataFrame, failed: Column | None = None) -> DataFrame:
     return first.withColumn("batch_failrate", share)
 
 
-def retry_candidates(attempt: DataFrame, policy: FetchPolicy) -> DataFrame:
-    """Failures of one round that the policy lets through for another attempt."""
+def retry_candidates(attempt: DataFrame, policy: FetchPolicy, failed: Column | None = None) -> DataFrame:
+    """Failures of one round that the policy lets through for another attempt.
+
+    ``failed`` replaces the payload test on frames that carry no payload.
+    """
+    if failed is None:
+        failed = F.col("payload").isNull()
     return attempt.where(
-        F.col("payload").isNull()
+        failed
         & (F.col("retries") < policy.batch_retries)
         & (F.col("batch_failrate") <= policy.batch_retries_failrate)
     )

@@ -1,119 +1,79 @@
-"""Batched fetch from a snapshot as one lazy plan.
+"""Batched fetch from recorded answers.
 
-A snapshot answers the same whenever it is asked, so the retry rounds need no
-jobs of their own: the outcome of every attempt is a function of the row.  The
-plan carries URLs and flags only; payloads join at the very end, and not at all
-for reports that do not show them.
+The rounds are those of a live run: batches are numbered, the first answers rated, and what the gate
+lets through looks up its next answer.  They carry URLs, times and flags only, and every
+round is stored; bodies join once at the end, and not at all for reports that do not
+show them.
 """
 
 from __future__ import annotations
 
-from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.operators.attempts import with_duration, with_failrate
+from linkloom.operators.attempts import last_attempts, retry_candidates, with_duration, with_failrate
 from linkloom.operators.batching import number_batches
 from linkloom.operators.policy import FetchPolicy
 from linkloom.sources.snapshot import Snapshot
+from linkloom.sources.tables import RunStore
 
+LOG = ("url", "batch", "batch_failrate", "retries", "ok", "ts_start", "ts_end")
 
-def stored_flags(urls: DataFrame, snapshot: Snapshot) -> DataFrame:
-    """``url, stored`` for each distinct URL of ``urls``.
 
-    Requests and snapshot are grouped together instead of joined: one shuffle of
-    partly combined rows, hashed and never sorted, however often a URL occurs on
-    either side.
-    """
-    asked = urls.where(F.col("url").isNotNull()).select(
-        "url", F.lit(False).alias("stored"), F.lit(0).alias("copies")
-    )
-    known = snapshot.flags().withColumn("copies", F.lit(1))
-    found = asked.unionByName(known).groupBy("url").agg(
-        F.max("stored").alias("stored"),
-        F.min("copies").alias("least"),
-        F.sum("copies").alias("copies"),
-    )
-    if snapshot.unique:
-        repeated = F.raise_error(F.concat(F.lit("snapshot repeats "), F.col("url")))
-        found = found.where(
-            F.when(F.col("copies") > 1, repeated.cast("boolean")).otherwise(True)
-        )
-    return found.where("least = 0").select("url", "stored")
+def first_answers(urls: DataFrame, snapshot: Snapshot) -> DataFrame:
+    """``url, ok, ts_start, ts_end`` for each distinct URL of ``urls``.
 
+    Requests and answers are grouped together instead of joined: one shuffle of
+    partly combined rows, however often a URL occurs on either side.
+    """
+    asked = urls.where(F.col("url").isNotNull()).select("url", F.lit(True).alias("asked"))
+    known = snapshot.flags(0).withColumn("asked", F.lit(False))
+    rows = asked.unionByName(known, allowMissingColumns=True)
+    return snapshot.combined(rows, F.max("asked").alias("asked")).where("asked").drop("asked")
 
-def _estimated_bytes(df: DataFrame) -> int:
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
+def replay_log(urls: DataFrame, snapshot: Snapshot, policy: FetchPolicy) -> DataFrame:
+    """Every attempt, with times and flags but without its body."""
+    store = RunStore(urls.sparkSession)
+    numbered = number_batches(first_answers(urls, snapshot), policy.batch_size, "ok")
+    rated = with_failrate(numbered, ~F.col("ok")).withColumn("retries", F.lit(0)).select(*LOG)
+    if policy.batch_retries < 1:
+        return rated
+    rounds = [store.write("replayed/0", rated)]
+    for number in range(1, policy.batch_retries + 1):
+        pending = retry_candidates(rounds[-1], policy, ~F.col("ok"))
+        if pending.isEmpty():
+            break
+        answers = snapshot.combined(snapshot.flags(number))
+        again = pending.select("url", "batch", "batch_failrate").join(answers, "url", "left")
+        again = again.withColumns({"ok": F.coalesce("ok", F.lit(False)), "retries": F.lit(number)})
+        rounds.append(store.write(f"replayed/{number}", again.select(*LOG)))
+    return reduce(DataFrame.unionByName, rounds)
 
-def reduced_to(urls: DataFrame, snapshot: Snapshot) -> Snapshot:
-    """The snapshot without the rows nobody asks for, where that is cheap.
 
-    When Spark's size estimates say that the requests can be broadcast and the
-    snapshot cannot, a semi-join keeps the rest of a large snapshot out of every
-    shuffle.  Otherwise the snapshot is left alone: reducing it would take a
-    shuffle of its own.
-    """
-    spark = urls.sparkSession
-    most = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    asked = urls.select(F.col("url").alias(snapshot.url)).dropDuplicates()
-    if not _estimated_bytes(asked) <= most < _estimated_bytes(snapshot.table):
-        return snapshot
-    return replace(snapshot, table=snapshot.table.join(asked, snapshot.url, "left_semi"))
+def replay_attempts(urls: DataFrame, snapshot: Snapshot, policy: FetchPolicy) -> DataFrame:
+    """``url, batch, batch_failrate, retries, ok`` of every attempt."""
+    return replay_log(urls, snapshot, policy).drop("ts_start", "ts_end")
 
 
 def replay_outcomes(urls: DataFrame, snapshot: Snapshot, policy: FetchPolicy) -> DataFrame:
     """``url, batch, batch_failrate, retries, ok`` of the last attempt per URL."""
-    return _outcomes(urls, reduced_to(urls, snapshot), policy)
-
-
-def _outcomes(urls: DataFrame, snapshot: Snapshot, policy: FetchPolicy) -> DataFrame:
-    numbered = number_batches(stored_flags(urls, snapshot), policy.batch_size, "stored")
-    first = numbered.withColumn("__ok", F.col("stored") & ~snapshot.fails("url", 0))
-    rated = with_failrate(first, ~F.col("__ok"))
-    if policy.batch_retries < 1:
-        retries, ok = F.lit(0), F.col("__ok")
-    else:
-        rounds = F.sequence(F.lit(1), F.lit(policy.batch_retries))
-        success = F.get(F.filter(rounds, lambda k: ~snapshot.fails("url", k)), F.lit(0))
-        retried = ~F.col("__ok") & (F.col("batch_failrate") <= policy.batch_retries_failrate)
-        rated = rated.withColumn("__success", F.when(retried & F.col("stored"), success))
-        retries = F.when(
-            retried, F.coalesce("__success", F.lit(policy.batch_retries))
-        ).otherwise(0)
-        ok = F.col("__ok") | F.col("__success").isNotNull()
-    return rated.select(
-        "url", "batch", "batch_failrate", retries.cast("int").alias("retries"), ok.alias("ok")
-    )
-
-
-def replay_attempts(outcomes: DataFrame) -> DataFrame:
-    """One row per request that led to ``outcomes``, without payloads."""
-    return outcomes.withColumn("attempt", F.explode(F.sequence(F.lit(0), "retries"))).select(
-        "url",
-        "batch",
-        "batch_failrate",
-        F.col("attempt").alias("retries"),
-        (F.col("ok") & (F.col("attempt") == F.col("retries"))).alias("ok"),
-    )
+    return last_attempts(replay_attempts(urls, snapshot, policy))
 
 
 def replay(urls: DataFrame, snapshot: Snapshot, policy: FetchPolicy) -> DataFrame:
-    """The result relation: one row per distinct URL."""
-    snapshot = reduced_to(urls, snapshot)
-    outcomes = _outcomes(urls, snapshot, policy).alias("o")
+    """The result relation: one row per distinct URL.
+
+    Failed attempts keep their times.  The gap to the end before, for attempts without a start, is
+    taken within the batch over all attempts.
+    """
+    last = last_attempts(with_duration(replay_log(urls, snapshot, policy))).alias("o")
     bodies = snapshot.bodies().alias("b")
-    joined = outcomes.join(bodies, (F.col("o.url") == F.col("b.url")) & F.col("o.ok"), "left")
-    result = joined.select(
-        "o.url", "b.payload", "b.ts_start", "b.ts_end", "o.batch", "o.retries", "o.batch_failrate"
-    )
-    # The gap to the previous end needs the rows of a batch together, payloads
-    # included; there is none to find in a snapshot without times.
-    if snapshot.ts_end:
-        timed = with_duration(result)
-    else:
-        timed = result.withColumn("duration", F.lit(None).cast("double"))
-    return timed.select(
-        "url", "payload", "ts_end", "duration", "batch", "retries", "batch_failrate"
+    same = (F.col("o.url") == F.col("b.url")) & F.col("o.ok")
+    if snapshot.attempt:
+        same = same & (F.col("o.retries") == F.col("b.attempt"))
+    return last.join(bodies, same, "left").select(
+        "o.url", "b.payload", "o.ts_end", "o.duration", "o.batch", "o.retries", "o.batch_failrate"
     )

@@ -12,7 +12,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from checks.inputs import StubTransport
+from checks.inputs import StubTransport, recorded
 from linkloom.operators import AttemptSettings, FetchPolicy, fetch, last_attempts, retry_candidates
 from linkloom.operators import distinct_urls, number_batches, with_duration, with_failrate
 from linkloom.operators.fetch import fetch_rounds
@@ -23,7 +23,7 @@ from linkloom.plans import (
     replay_attempts,
     replay_outcomes,
 )
-from linkloom.sources import FaultRule, RunStore, Snapshot, shared_folder, url_list, url_range
+from linkloom.sources import RunStore, Snapshot, shared_folder, url_list, url_range
 from linkloom.streaming import fetch_stream
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -80,7 +80,8 @@ POLICIES = [
 @pytest.mark.parametrize("per_mille,policy", POLICIES)
 def test_replay_live_and_sequential_agree(spark, urls, per_mille, policy):
     doubled = urls.unionByName(urls).unionByName(url_list(spark, [None]))
-    snapshot = Snapshot(bodies(urls), faults=FaultRule(per_mille))
+    log = recorded(bodies(urls), "payload", per_mille, policy.batch_retries + 1)
+    snapshot = Snapshot(log, attempt="attempt")
     replayed = fetch_batches(doubled, snapshot, policy)
     live = fetch_batches(doubled, StubTransport(per_mille), policy)
     assert replayed.columns == live.columns == COLUMNS
@@ -96,7 +97,7 @@ def test_replay_live_and_sequential_agree(spark, urls, per_mille, policy):
         assert rows == sorted(slow.select(*COMPARED).collect())
     attempts = live_attempts(urls, StubTransport(per_mille), policy)
     log = attempts.select("url", "batch", "batch_failrate", "retries", "ok")
-    replay_log = replay_attempts(replay_outcomes(urls, snapshot, policy))
+    replay_log = replay_attempts(urls, snapshot, policy)
     assert sorted(log.collect()) == sorted(replay_log.select(*log.columns).collect())
     assert sorted(last_attempts(attempts).select(*COMPARED).collect()) == rows
     first = with_failrate(attempts.where("retries = 0").drop("batch_failrate"))
@@ -107,7 +108,7 @@ def test_replay_live_and_sequential_agree(spark, urls, per_mille, policy):
 def test_known_values(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     policy = FetchPolicy(batch_size=40, batch_retries=1, batch_retries_failrate=0.05)
-    snapshot = Snapshot(pages, payload="html", faults=FaultRule(60))
+    snapshot = Snapshot(recorded(pages, "html", 60, 2), payload="html", attempt="attempt")
     result = fetch_batches(pages, snapshot, policy)
     rows = result.groupBy("batch", "batch_failrate").agg(
         F.count("*").alias("n"), F.max("retries").alias("r"), F.count("payload").alias("ok")
@@ -160,26 +161,25 @@ def test_a_filled_column_saves_reading_payloads(spark, sf_dir):
     assert "html" not in plan[plan.index("== Physical Plan ==") :]
 
 
-@pytest.mark.parametrize("unique", [True, False])
-def test_a_few_requests_reduce_a_large_snapshot(spark, sf_dir, unique):
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    few = url_list(spark, [r.url for r in pages.select("url").take(5)] + ["http://not.there.com/"])
-    snapshot = Snapshot(pages, payload="html", faults=FaultRule(300), unique=unique)
-    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    plain = sorted(fetch_batches(few, snapshot).collect(), key=str)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100000")
-    try:
-        reduced = fetch_batches(few, snapshot)
-        plan = reduced._jdf.queryExecution().executedPlan().toString()
-        assert sorted(reduced.collect(), key=str) == plain
-        # each read of the pages meets the requests before any shuffle
-        scans = [part for part in plan.split("\n") if "FileScan" in part and "html" in part]
-        assert plan.count("LeftSemi, BuildRight") >= len(scans) >= 2
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
-        all_large = fetch_batches(pages, snapshot)._jdf.queryExecution().executedPlan().toString()
-        assert "LeftSemi" not in all_large
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+def test_a_snapshot_without_attempts_answers_every_one(spark):
+    wanted = url_list(spark, [f"http://a.com/{c}" for c in "ab"])
+    table = spark.createDataFrame([("http://a.com/a", "x"), ("http://a.com/b", "")], "url string, payload string")
+    policy = FetchPolicy(batch_retries=2, batch_retries_failrate=1.0)
+    result = fetch_batches(wanted, Snapshot(table), policy).collect()
+    assert {(r.url[-1], r.payload, r.retries) for r in result} == {("a", "x", 0), ("b", None, 2)}
+
+
+def test_empty_answers_keep_their_times(spark):
+    table = spark.sql(
+        "SELECT * FROM VALUES ('http://a.com/1', '', timestamp'2024-01-01 00:00:00', timestamp'2024-01-01 00:00:02'), "
+        "('http://a.com/2', NULL, NULL, timestamp'2024-01-01 00:00:05'), "
+        "('http://a.com/3', 'x', NULL, timestamp'2024-01-01 00:00:06'), "
+        "('http://a.com/3', 'z', NULL, timestamp'2024-01-01 00:00:05') AS t(url, payload, b, e)"
+    )
+    wanted = table.select("url").unionByName(url_list(spark, ["http://a.com/4"]))
+    result = fetch_batches(wanted, Snapshot(table, ts_start="b", ts_end="e"), FetchPolicy(batch_retries=0)).collect()
+    got = {r.url[-1]: (r.payload, r.ts_end and r.ts_end.second, r.duration) for r in result}
+    assert got == {"1": (None, 2, 2.0), "2": (None, 5, 3.0), "3": ("x", 6, 1.0), "4": (None, None, None)}
 
 
 def test_snapshot_with_ends_only(spark):
