@@ -368,7 +368,8 @@ def json_projection(spark, sf_dir):
     payloads = table(spark, sf_dir, "events").selectExpr(
         "event_id",
         "concat('{\"site\":{\"unit\":', props, ',\"tags\":[\"', event_type, '\",', user_id, ',{\"0\":true}]},"
-        "\"gone\":null,\"a b\":\"x\"}') as payload",
+        "\"price\":', user_id, '.50,\"far\":-', event_id, 'e3,\"long\":', repeat(concat('1', event_id), 12), ',\"twice\":0,"
+        "\"gone\":null,\"a b\":\"x\",\"twice\":{\"n\":[', event_id, '.0]}}') as payload",
     )
     paths = {
         "k": "{site,unit,k}",
@@ -379,8 +380,30 @@ def json_projection(spark, sf_dir):
         "missing": "{site,nothing,here}",
         "spaced": '{"a b"}',
         "unit": "{site,unit}",
+        "price": "{price}",
+        "far": "{far}",
+        "long": "{long}",
+        "twice": "{twice}",
+        "twice_n": "{twice,n,-1}",
     }
-    return json_fields(payloads, "payload", paths).drop("payload")
+    json_fields(payloads, "payload", paths).drop("payload").createOrReplaceTempView("projected")
+    return spark.sql("SELECT l.*, r.twice_n AS again FROM projected l JOIN projected r USING (event_id)")
+
+
+def sql_json_fields(spark, sf_dir):
+    table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        "concat('{\"a,b\":{\"it''s \\\\\"q\\\\\"\":[', props, ',', user_id, '.10]},\"k\":1,\"k\":', value, '}') as payload",
+    ).createOrReplaceTempView("sql_payloads")
+    table(spark, sf_dir, "events").select("event_id", "value").createOrReplaceTempView("sql_events")
+    register_sql(spark, StubTransport())
+    return spark.sql(
+        "SELECT event_id, json_text(payload, '{\"a,b\",\"it''s \\\\\"q\\\\\"\",0,k}') AS unit, "
+        "json_text(payload, '{\"a,b\",\"it''s \\\\\"q\\\\\"\",-1}') AS price, "
+        "json_text(payload, '{\"a,b\"}') AS nested, try_json_text(substring(payload, 2), '{k}') AS broken, "
+        "cast(json_text(payload, '{k}') AS DOUBLE) = value AS exact FROM "
+        "(SELECT p.*, e.value FROM sql_payloads p JOIN sql_events e USING (event_id))"
+    )
 
 
 def json_lenient(spark, sf_dir):
@@ -476,6 +499,7 @@ QUERIES = {
         sql_fetch_list,
         sql_casts,
         json_projection,
+        sql_json_fields,
         json_lenient,
         frames_rows,
         text_pieces,

@@ -1,8 +1,12 @@
-"""Fields out of JSON payloads, parsed once per row on the JVM side."""
+"""Fields out of JSON payloads, parsed once per row on the JVM side.
+
+Numbers keep the digits they are written with.  A parser would make doubles and decimals of them, so before
+parsing every number token becomes a string with a mark in front, and the mark goes when text comes
+out.  Strings that begin with the mark's character get another mark.
+"""
 
 from __future__ import annotations
 
-import contextlib
 import itertools
 import re
 
@@ -11,6 +15,12 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.urls import as_column
 
+# Tokens cover the text without gaps: strings, other words, punctuation, white space.
+TOKENS = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^\s",:\[\]{}]++|\s++|.'
+# How a value begins, and all of it unless it is an object or array.
+VALUE = r'(?s)^\s*(?:[\[{]|(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^\s",:\[\]{}]++)\s*$)'
+NUMBER = r"^-?(?:0|[1-9][0-9]*)(?:[.][0-9]+)?(?:[eE][+-]?[0-9]+)?$"
+
 _ELEMENT = re.compile(r'\s*(?:"((?:[^"\\]|\\.)*)"|([^,"]*))\s*(?:,|$)')
 
 
@@ -57,12 +67,41 @@ def json_paths(elements: list[str]) -> list[str]:
     return ["$" + "".join(steps) for steps in itertools.product(*choices)]
 
 
+def _marked(text: Column) -> Column:
+    """The payload as the one element of an array, with marked numbers; what no value can be is left empty."""
+
+    def mark(token: Column) -> Column:
+        rest = F.substring(token, F.lit(8), F.length(token))
+        return (
+            F.when(token.rlike(NUMBER), F.concat(F.lit('"\\u0001n'), token, F.lit('"')))
+            .when(token.startswith('"\\u0001'), F.concat(F.lit('"\\u0001s'), rest))
+            .otherwise(token)
+        )
+
+    tokens = F.regexp_extract_all(text, F.lit(f"(?s){TOKENS}"), F.lit(0))
+    value = F.concat(F.lit("["), F.array_join(F.transform(tokens, mark), ""), F.lit("]"))
+    return F.when(text.rlike(VALUE), value).when(text.isNotNull(), F.lit(""))
+
+
+def _plain(text: Column, variant: Column) -> Column:
+    """Marks taken out of the text of a variant."""
+    rest = F.substring(text, F.lit(3), F.length(text))
+    inner = F.regexp_replace(text, r'"\\u0001n([^"]*+)"', "$1")
+    scalar = ~text.rlike(r"^[\[{]") | F.to_json(variant).startswith('"')
+    return (
+        F.when(text.startswith("\x01n"), rest)
+        .when(text.startswith("\x01s"), F.concat(F.lit("\x01"), rest))
+        .when(scalar, text)
+        .otherwise(F.replace(inner, F.lit('"\\u0001s'), F.lit('"\\u0001')))
+    )
+
+
 def _get(variant: Column, elements: list[str], kind: str) -> Column:
     return F.coalesce(*[F.try_variant_get(variant, p, kind) for p in json_paths(elements)])
 
 
 def json_text(variant: Column, path: str) -> Column:
-    """Value at ``path`` as text; NULL when missing, JSON null or not reachable.
+    """Value at ``path`` of a parsed payload as text; NULL when missing, JSON null or not reachable.
 
     ``-1`` names the last element of an array, ``-2`` the one before.
     """
@@ -74,7 +113,7 @@ def json_text(variant: Column, path: str) -> Column:
             variant = F.coalesce(from_end, _get(variant, elements[: i + 1], "variant"))
             rest = "{" + ",".join(_quoted(e) for e in elements[i + 1 :]) + "}"
             return json_text(variant, rest)
-    return _get(variant, elements, "string")
+    return _plain(_get(variant, elements, "string"), _get(variant, elements, "variant"))
 
 
 def _quoted(element: str) -> str:
@@ -82,30 +121,25 @@ def _quoted(element: str) -> str:
 
 
 def parse_payload(col: Column | str, lenient: bool = False) -> Column:
-    """Strict parsing raises on malformed JSON; lenient parsing gives NULL."""
-    return (F.try_parse_json if lenient else F.parse_json)(as_column(col))
+    """A payload ready for ``json_text``: a variant with marked numbers.
 
+    Strict parsing raises on malformed JSON, text after the value included; lenient parsing gives NULL.
+    Of duplicate keys the last counts: a setting of the session, which is switched on here and left
+    on, since Spark reads it anew whenever a view or a join is analysed.
+    """
+    _last_key_wins(SparkSession.active())
+    parsed = (F.try_parse_json if lenient else F.parse_json)(_marked(as_column(col)))
+    return F.try_variant_get(parsed, "$[0]", "variant")
 
-@contextlib.contextmanager
-def _last_key_wins(spark: SparkSession):
-    """Parsers built inside keep the last of duplicate keys instead of failing.
 
-    The setting is read when an expression is analysed, so the frame keeps it.
-    """
-    setting = "spark.sql.variant.allowDuplicateKeys"
-    usual = spark.conf.get(setting)
-    spark.conf.set(setting, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, usual)
+def _last_key_wins(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
 
 def json_fields(
     df: DataFrame, col: str, fields: dict[str, str], lenient: bool = False
 ) -> DataFrame:
     """Add one text column per ``{name: path}``.  Of duplicate keys the last counts."""
-    with _last_key_wins(df.sparkSession):
-        parsed = df.withColumn("__json", parse_payload(col, lenient))
+    parsed = df.withColumn("__json", parse_payload(col, lenient))
     for_each = [json_text(F.col("__json"), p).alias(n) for n, p in fields.items()]
     return parsed.select(*df.columns, *for_each)

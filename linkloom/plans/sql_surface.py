@@ -9,6 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import SparkSession
 from pyspark.sql.functions import udtf
 
+from linkloom.functions.json_payload import NUMBER, TOKENS, VALUE
 from linkloom.functions.urls import URL_PATTERN, is_url_text
 from linkloom.operators.enforce import CHECK_VIOLATION, NOT_NULL_VIOLATION
 from linkloom.operators.fetch import Transport, fetch_concurrently, requester
@@ -202,6 +203,8 @@ def register_sql(
 
     Tests: ``is_url(text)``, ``is_url_array(array)``, ``is_url_shlist(text)``.
     Casts that raise: ``as_url``, ``as_url_array``, ``as_url_shlist``.
+    Payloads: ``json_text(payload, '{a,"b,c",0}')`` gives the text at a path; malformed payloads raise, or
+    give NULL with ``try_json_text``.
     Literals: ``url_array_literal('{a,"b,c",NULL}')`` reads an array that ``as_url_array`` accepts.
     Requests over ``transport``: ``fetch_url(url, min_latency, timeout, tries,
     waitretry)``; ``fetch_list(url_shlist, ..., parallel_jobs, delay)`` for a
@@ -238,6 +241,10 @@ def register_sql(
     function("as_url", "x STRING", "STRING", checked("x", "url", f"x {one}"))
     function("as_url_array", "x ARRAY<STRING>", "ARRAY<STRING>", checked("x", "url_array", array))
     function("as_url_shlist", "x STRING", "STRING", checked("x", "url_shlist", shlist))
+    # Of duplicate keys the last counts.
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    function("json_text", "x STRING, p STRING", "STRING", _json_text("parse_json"))
+    function("try_json_text", "x STRING, p STRING", "STRING", _json_text("try_parse_json"))
     function("url_array_literal", "x STRING", "ARRAY<STRING>", _literal("x"))
     url = checked("url", "url", f"url {one}")
     transport = transport or HttpTransport()
@@ -262,6 +269,37 @@ def register_sql(
         spark.sql(_FETCH.format(name=name("fetch_source"), urls="", source=source_view, **form))
 
 
+def _json_text(parse: str) -> str:
+    """``functions.json_payload.json_text`` of a payload ``x`` and a path ``p``, as SQL text.
+
+    The path is followed one element at a time, so keys may hold any character.
+    """
+    marked = (
+        f"array_join(transform(regexp_extract_all(x, r'(?s){TOKENS}', 0), t -> CASE "
+        f"WHEN t rlike r'{NUMBER}' THEN concat(r'\"\\u0001n', t, '\"') "
+        "WHEN startswith(t, r'\"\\u0001') THEN concat(r'\"\\u0001s', substring(t, 8)) ELSE t END), '')"
+    )
+    value = f"CASE WHEN x rlike r'{VALUE}' THEN concat('[', {marked}, ']') WHEN x IS NOT NULL THEN '' END"
+    place = (
+        "CASE WHEN e rlike '^(0|[1-9][0-9]{0,8})$' THEN cast(e AS INT) + 1 "
+        "WHEN e rlike '^-[1-9][0-9]{0,8}$' THEN cast(e AS INT) END"
+    )
+    step = (
+        "coalesce(try_element_at(try_cast(v AS MAP<STRING, VARIANT>), e), "
+        f"try_element_at(try_cast(v AS ARRAY<VARIANT>), {place}))"
+    )
+    text = "cast(v AS STRING)"
+    plain = (
+        f"CASE WHEN startswith({text}, concat(chr(1), 'n')) THEN substring({text}, 3) "
+        f"WHEN startswith({text}, concat(chr(1), 's')) THEN concat(chr(1), substring({text}, 3)) "
+        f"WHEN NOT {text} rlike r'^[\\[{{]' OR startswith(to_json(v), '\"') THEN {text} "
+        f"ELSE replace(regexp_replace({text}, r'\"\\\\u0001n([^\"]*+)\"', '$1'), "
+        "r'\"\\u0001s', r'\"\\u0001') END"
+    )
+    first = f"try_variant_get({parse}({value}), '$[0]', 'variant')"
+    return f"aggregate({_literal('p')}, {first}, (v, e) -> {step}, v -> {plain})"
+
+
 def _literal(value: str) -> str:
     """``functions.text.array_literal`` as SQL text."""
     body = rf"regexp_extract({value}, r'(?s)^\s*\{{(.*)\}}\s*\z', 1)"

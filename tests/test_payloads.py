@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from linkloom.functions import array_to_string, json_fields, seconds_between, string_to_array
 from linkloom.functions.json_payload import json_paths, path_elements
+from checks.inputs import StubTransport
 from linkloom.operators import batch_report, frame_record, frames
+from linkloom.plans import register_sql
 from linkloom.sources import RunStore, save_table
 
 SITE = (
@@ -40,13 +42,13 @@ def test_json_projection(spark):
         "RIVER GAUGE NORTH",
         "2024-03-05T08:30:00",
         "10",
-        "1.5",
+        "1.50",
         "true",
         None,
         "q",
         None,
-        '[10,{"7":true,"x":1.5}]',
-        "1.5",
+        '[10,{"7":true,"x":1.50}]',
+        "1.50",
         "10",
         None,
         "e",
@@ -70,7 +72,67 @@ def test_malformed_and_duplicate_keys(spark):
     for lenient in (False, True):
         row = json_fields(twice, "payload", {"a": "{a}", "c": "{b,c}"}, lenient).first()
         assert (row.a, row.c) == ("4", "3")
-    assert spark.conf.get("spark.sql.variant.allowDuplicateKeys") == "false"
+    # Views and joins analyse the parser anew.
+    json_fields(twice, "payload", {"a": "{a}", "c": "{b,c}"}).createOrReplaceTempView("t_twice")
+    joined = spark.sql("SELECT l.a, r.c FROM t_twice l JOIN t_twice r ON l.payload = r.payload").collect()
+    assert [tuple(r) for r in joined] == [("4", "3")]
+
+
+EXACT = [
+    ('{"a":1.50}', "1.50"),
+    ('{"a":1e3}', "1e3"),
+    ('{"a":-0.0E-10}', "-0.0E-10"),
+    ('{"a":123456789012345678901234567890123456789012345678}', "123456789012345678901234567890123456789012345678"),
+    ('{"a": "1.50" }', "1.50"),
+    ('{"a":{"b":[1.50, "1.5", "x 2, 3", -7]}}', '{"b":[1.50,"1.5","x 2, 3",-7]}'),
+    ('{"a":"{\\"b\\":1.50}"}', '{"b":1.50}'),
+    ('{"a":"\\u0001n5"}', "\x01n5"),
+    ('{"a":["\\u0001s", 5]}', '["\\u0001s",5]'),
+    ('{"a":"q\\"1, 2]"}', 'q"1, 2]'),
+    ('{"a":true}', "true"),
+    ('{"a":null}', None),
+    ('{"a":1,"a":{"x":2.0}}', '{"x":2.0}'),
+    ('  {"b":1 , "a"\n:\t2.10 }  ', "2.10"),
+    (None, None),
+]
+MALFORMED = ['{"a":1', '{"a":01}', '{"a":1.}', '{"a":1} x', '{"a":1}}', "1],[2", "1 2", "tr ue", "", " ", '{"a":1 2}', '"x', "{'a':1}"]
+
+
+def test_text_is_exact_in_python_and_sql(spark):
+    register_sql(spark, StubTransport())
+    frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(EXACT)], "i int, payload string")
+    frame.createOrReplaceTempView("t_exact")
+    by_column = json_fields(frame, "payload", {"a": "{a}"}).orderBy("i").collect()
+    by_sql = spark.sql("SELECT json_text(payload, '{a}') AS a FROM t_exact ORDER BY i").collect()
+    assert [r.a for r in by_column] == [r.a for r in by_sql] == [want for _, want in EXACT]
+
+
+@pytest.mark.parametrize("text", MALFORMED)
+def test_malformed_payloads(spark, text):
+    frame = spark.createDataFrame([(text,)], "payload string")
+    assert json_fields(frame, "payload", {"a": "{}"}, lenient=True).first().a is None
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        json_fields(frame, "payload", {"a": "{}"}).collect()
+
+
+def test_sql_paths(spark):
+    register_sql(spark, StubTransport())
+    spark.createDataFrame([(SITE,), ("[1.50,[2,3]]",)], "payload string").createOrReplaceTempView("t_site")
+    paths = ["{station,n,1,x}", "{station,n,-1,7}", '{"a,b",-1,"c\\\\"d"}', "{station,o''k}", "{-1,0}", "{0}", "{station,code,x}"]
+    columns = ", ".join(f"json_text(payload, '{p}') AS c{i}" for i, p in enumerate(paths))
+    got = {tuple(r) for r in spark.sql(f"SELECT {columns} FROM t_site").collect()}
+    assert got == {("1.50", "true", "e", "q", None, None, None), (None, None, None, None, "2", "1.50", None)}
+    spark.createDataFrame([("{",)], "payload string").createOrReplaceTempView("t_bad")
+    assert spark.sql("SELECT try_json_text(payload, '{a}') AS a FROM t_bad").first().a is None
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        spark.sql("SELECT json_text(payload, '{a}') FROM t_bad").collect()
+
+
+def test_long_payloads(spark):
+    many = '{"a":[' + ",".join(f'"s\\"{i}",{i}.50' for i in range(100_000)) + "]}"
+    frame = spark.createDataFrame([(many,), ('{"a":["' + '\\"' * 1_000_000 + '"]}',)], "payload string")
+    rows = [r.v for r in json_fields(frame, "payload", {"v": "{a,-1}"}).collect()]
+    assert rows == ["99999.50", '"' * 1_000_000]
 
 
 def test_payload_is_parsed_once(spark):
