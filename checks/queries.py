@@ -44,6 +44,7 @@ from linkloom.operators import (
     enforce_url_array,
     enforce_url_shlist,
     fetch,
+    frame_files,
     frame_record,
     frames,
     last_attempts,
@@ -60,7 +61,7 @@ from linkloom.plans import (
     replay_attempts,
     replay_outcomes,
 )
-from linkloom.sources import RunStore, Snapshot, save_table, unnest_urls, url_template
+from linkloom.sources import RunStore, Snapshot, load_table, save_table, unnest_urls, url_template
 from linkloom.streaming import fetch_stream
 
 POLICY = FetchPolicy(batch_size=40, batch_retries=1, batch_retries_failrate=0.05)
@@ -288,8 +289,11 @@ def paced_batches(spark, sf_dir):
 
 def stream_batches(spark, sf_dir):
     store = RunStore(spark)
-    save_table(page_urls(spark, sf_dir), f"{store.root}/incoming")
-    source = spark.readStream.schema("url string").parquet(f"{store.root}/incoming")
+    # Two micro-batches, with every URL in both.
+    for part in ("a", "b"):
+        page_urls(spark, sf_dir).coalesce(1).write.parquet(f"{store.root}/incoming/part={part}")
+    files = spark.readStream.schema("url string").option("maxFilesPerTrigger", 1)
+    source = files.parquet(f"{store.root}/incoming/part=*")
     fetch_stream(
         source, StubTransport(400), THREE_ROUNDS, f"{store.root}/results", f"{store.root}/progress"
     ).awaitTermination()
@@ -441,6 +445,23 @@ def frames_rows(spark, sf_dir):
     )
 
 
+def frames_files(spark, sf_dir):
+    """The documents' lines as records of one framed file a task, read back in splits."""
+    folder = f"{RunStore(spark).root}/framed"
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("i", "line"))
+    address = F.concat(F.lit("https://docs.example.com/"), "doc_id", F.lit("/"), "i")
+    full = frame_record(address, "line", F.lit("2024-01-01 00:00:00.000001"), F.lit("2024-01-01 00:00:01.5"))
+    record = F.when(F.col("i") % 5 == 4, frame_record(address, "line")).otherwise(full)
+    lines.select(record.alias("value")).write.text(folder)
+    rows = frame_files(spark, folder)
+    return rows.select(
+        "url",
+        nullif_empty("payload").alias("payload"),
+        nullif_empty("ts_start").cast("timestamp_ntz").alias("ts_start"),
+        nullif_empty("ts_end").cast("timestamp_ntz").alias("ts_end"),
+    )
+
+
 def text_pieces(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
     pieces = split_to_rows(turns, "text", r"[.!?]\s", "piece")
@@ -454,7 +475,11 @@ def text_pieces(spark, sf_dir):
 
 
 def table_sink(spark, sf_dir):
-    return save_table(table(spark, sf_dir, "pages"), f"{RunStore(spark).root}/pages")
+    """Stored, then replaced by a frame that reads it, then loaded by its path."""
+    path = f"{RunStore(spark).root}/pages"
+    first = save_table(table(spark, sf_dir, "pages"), path)
+    save_table(load_table(spark, path).withColumn("html", F.concat("html", F.lit("!"))), path)
+    return load_table(spark, path).unionByName(first)
 
 
 QUERIES = {
@@ -502,6 +527,7 @@ QUERIES = {
         sql_json_fields,
         json_lenient,
         frames_rows,
+        frames_files,
         text_pieces,
         table_sink,
     )

@@ -13,7 +13,7 @@ from linkloom.operators.enforce import (
     reject_counts,
 )
 from linkloom.operators.fetch import fetch, fetch_round
-from linkloom.operators.frames import frame_record, frames
+from linkloom.operators.frames import frame_files, frame_record, frames
 from linkloom.operators.policy import AttemptSettings, FetchPolicy
 from linkloom.operators.report import batch_report
 
@@ -29,6 +29,7 @@ __all__ = [
     "enforce_url_shlist",
     "fetch",
     "fetch_round",
+    "frame_files",
     "frame_record",
     "frames",
     "last_attempts",

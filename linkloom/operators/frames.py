@@ -1,8 +1,8 @@
-"""Framed text: records of delimiter-separated fields in one text value."""
+"""Framed text: records of delimiter-separated fields in text values or files."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions.text import literal_pattern, split_to_fields, split_to_rows
@@ -31,3 +31,17 @@ def frames(
     return rows.select(
         *others, position, *split_to_fields("__record", literal_pattern(token), names)
     )
+
+
+def frame_files(
+    spark: SparkSession, path: str | list[str], names: list[str] = FIELDS, token: str = TOKEN, file: str | None = None
+) -> DataFrame:
+    """One row per record of framed files; missing fields are NULL.
+
+    Files are split at the record separator wherever a split of the file ends, so many tasks read one large
+    file and none holds more than a record.  What stands before the first and after the last
+    separator is a record too, unless it is empty.  ``file`` names a column for the file a record is from.
+    """
+    rows = spark.read.option("lineSep", token * 2 + "\n").text(path)
+    source = [F.col("_metadata.file_path").alias(file)] if file else []
+    return rows.where("value <> ''").select(*source, *split_to_fields("value", literal_pattern(token), names))

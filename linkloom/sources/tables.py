@@ -4,26 +4,37 @@ from __future__ import annotations
 
 import functools
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+# Names below a path target: Spark's readers pass over what begins with an underscore.
+POINTER = "_current"
+VERSION = "version-"
+
 
 def save_table(
     df: DataFrame, target: str, *, fmt: str = "parquet", partition_by: list[str] | None = None
 ) -> DataFrame:
     """Replace ``target`` by ``df`` and return the stored table.
 
-    A target with a slash or a scheme is a path, anything else a table name.
+    A target with a slash or a scheme is a path, anything else a table name.  A path holds
+    versions: a new one is written beside the old, then the file that names the current one is
+    replaced in one step.  A write that fails leaves the old table, and ``df`` may read
+    its target.  ``load_table`` reads the current version; the one before stays for readers under way.
     """
     spark = df.sparkSession
     writer = df.write.format(fmt).mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if "/" in target:
-        writer.save(target)
-        return spark.read.format(fmt).schema(df.schema).load(target)
+        versions = _Versions(spark, target)
+        version = f"{VERSION}{time.time_ns():020d}-{uuid.uuid4().hex}"
+        writer.save(f"{target}/{version}")
+        versions.point_to(version)
+        return spark.read.format(fmt).schema(df.schema).load(f"{target}/{version}")
     # The old table goes only when the new one is whole; df may read it.
     fresh = f"{target}_{uuid.uuid4().hex}"
     writer.saveAsTable(fresh)
@@ -32,6 +43,59 @@ def save_table(
     return spark.table(target)
 
 
+def load_table(spark: SparkSession, target: str, *, fmt: str = "parquet") -> DataFrame:
+    """The table that ``save_table`` stored last under a path or name."""
+    if "/" not in target:
+        return spark.table(target)
+    version = _Versions(spark, target).current()
+    if version is None:
+        raise FileNotFoundError(f"{target} holds no table")
+    return spark.read.format(fmt).load(f"{target}/{version}")
+
+
+class _Versions:
+    """The versions below a path and the file that names the current one."""
+
+    def __init__(self, spark: SparkSession, target: str):
+        hadoop = spark._jvm.org.apache.hadoop
+        self._fs_package = hadoop.fs
+        self.root = hadoop.fs.Path(target)
+        self._conf = spark._jsparkSession.sessionState().newHadoopConf()
+        self._files = self.root.getFileSystem(self._conf)
+        self._io = hadoop.io.IOUtils
+        self._spark = spark
+
+    def _path(self, name: str):
+        return self._fs_package.Path(self.root, name)
+
+    def current(self) -> str | None:
+        pointer = self._path(POINTER)
+        if not self._files.exists(pointer):
+            return None
+        stream = self._files.open(pointer)
+        try:
+            return stream.readUTF()
+        finally:
+            stream.close()
+
+    def point_to(self, version: str) -> None:
+        before = self.current()
+        fresh = self._path(f"{POINTER}-{uuid.uuid4().hex}")
+        stream = self._files.create(fresh)
+        stream.writeUTF(version)
+        stream.close()
+        context = self._fs_package.FileContext.getFileContext(self.root.toUri(), self._conf)
+        options = self._spark._sc._gateway.new_array(self._spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options[0] = self._spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        qualified = [self._files.makeQualified(p) for p in (fresh, self._path(POINTER))]
+        context.rename(*qualified, options)
+        for status in self._files.listStatus(self.root):
+            name = status.getPath().getName()
+            # Newer ones may be under way.
+            if name.startswith(VERSION) and name < version and name != before:
+                self._files.delete(status.getPath(), True)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach, as named by the cluster."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

@@ -21,12 +21,18 @@ def fetch_stream(
     *,
     url: str = "url",
     on_invalid: str = "fail",
+    once: bool = True,
 ) -> StreamingQuery:
     """Fetch what is there in micro-batches and stop; call again for what is new.
 
+    With ``once`` a URL is requested when it first arrives and never again, in whatever micro-batch and after
+    whatever restart: the stream's state holds the URLs seen, dealt out by URL.  (For more than memory holds,
+    set ``spark.sql.streaming.stateStore.providerClass`` to the RocksDB provider.)  Without it URLs
+    are distinct within a micro-batch only.
+
     ``results`` gets one folder ``epoch=<n>`` per micro-batch, replaced when a
-    micro-batch is repeated after a failure.  URLs are distinct, and batches
-    numbered, within a micro-batch.  ``progress`` is the stream's checkpoint; both
+    micro-batch is repeated after a failure.  Batches are numbered within a
+    micro-batch.  ``progress`` is the stream's checkpoint; both
     belong in storage that all executors share.
     """
 
@@ -39,9 +45,11 @@ def fetch_stream(
         )
         fetched.write.mode("overwrite").parquet(f"{results}/epoch={epoch}")
 
+    wanted = urls.select(F.col(url)).where(F.col(url).isNotNull())
+    if once:
+        wanted = wanted.dropDuplicates([url])
     return (
-        urls.select(F.col(url))
-        .writeStream.foreachBatch(one)
+        wanted.writeStream.foreachBatch(one)
         .option("checkpointLocation", progress)
         .trigger(availableNow=True)
         .start()

@@ -1,14 +1,17 @@
 """JSON fields, framed text, text helpers, reports and stored tables."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from linkloom.functions import array_to_string, json_fields, seconds_between, string_to_array
 from linkloom.functions.json_payload import json_paths, path_elements
 from checks.inputs import StubTransport
-from linkloom.operators import batch_report, frame_record, frames
+from linkloom.operators import batch_report, frame_files, frame_record, frames
+from linkloom.operators.frames import TOKEN
 from linkloom.plans import register_sql
-from linkloom.sources import RunStore, save_table
+from linkloom.sources import RunStore, load_table, save_table
 
 SITE = (
     '{"station":{"code":"RG-00417","owner":{"label":"RIVER GAUGE NORTH"},'
@@ -214,3 +217,43 @@ def test_save_table(spark):
     assert save_table(spark.range(4).toDF("id"), "t_saved").count() == 4
     assert save_table(spark.range(2).selectExpr("id", "'x' AS s"), "t_saved").columns == ["id", "s"]
     spark.sql("DROP TABLE t_saved")
+
+
+def test_a_path_target_is_replaced_in_one_step(spark):
+    path = f"{RunStore(spark).root}/versions"
+    with pytest.raises(FileNotFoundError):
+        load_table(spark, path)
+    save_table(spark.range(5).toDF("i"), path)
+    bad = spark.range(5).select(F.when(F.col("id") < 3, F.col("id")).otherwise(F.raise_error(F.lit("no"))).alias("i"))
+    with pytest.raises(Exception, match="no"):
+        save_table(bad, path)
+    assert load_table(spark, path).count() == 5
+    own = load_table(spark, path).where("i > 1")
+    assert save_table(own, path).count() == 3
+    assert sorted(r.i for r in load_table(spark, path).collect()) == [2, 3, 4]
+    for n in range(4):  # old versions go, but for the one before
+        save_table(spark.range(n).selectExpr("id AS i", "id % 2 AS p"), path, partition_by=["p"] if n == 2 else None)
+    assert load_table(spark, path).count() == 3
+    assert len([d for d in os.listdir(path) if d.startswith("version-")]) == 2
+
+
+def test_framed_files_are_read_in_splits(spark, tmp_path):
+    token = TOKEN
+    records = [(f"http://a.com/{i}", "body @wget \n" * (i % 40) + f"é{i}", "s", "e") for i in range(3000)]
+    text = "".join(token.join(r) + token * 2 + "\n" for r in records)
+    (tmp_path / "log").write_text(text)
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(len(text.encode()) // 13))
+    try:
+        rows = frame_files(spark, str(tmp_path / "log"), file="file")
+        assert rows.rdd.getNumPartitions() > 8
+        assert sorted(tuple(r)[1:] for r in rows.collect()) == sorted(records)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+    (tmp_path / "tail").write_text("u1" + token * 2 + "\nu2" + token + "open end")
+    assert sorted(map(tuple, frame_files(spark, str(tmp_path / "tail")).select("url", "payload").collect())) == [
+        ("u1", None),
+        ("u2", "open end"),
+    ]
+    (tmp_path / "empty").write_text("")
+    assert frame_files(spark, str(tmp_path / "empty")).collect() == []
