@@ -93,12 +93,6 @@ def prefix_sums(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.
     return [column[first] for column in columns], np.add.reduceat(counts, first)
 
 
-def _hashes(words: pa.Array) -> np.ndarray:
-    """A hash of each word; number 0, the end, has the first."""
-    values = (xxhash.xxh3_64_intdigest(w) for w in words.cast(pa.binary()).to_pylist())
-    return np.fromiter((0, *values), dtype=np.uint64, count=len(words) + 1)
-
-
 def _squeezed(values: np.ndarray, codec: zstandard.ZstdCompressor) -> bytes:
     """Numbers in as few bytes as the largest needs, all first bytes first, compressed."""
     small = values.astype(np.min_scalar_type(int(values.max(initial=0))).newbyteorder("<")).ravel()
@@ -117,18 +111,21 @@ def _packed(
 
     Columns number ``words`` from 1; 0 is the end. ``lang`` is part of the hash.
     """
-    hashes = _hashes(words)
+    listed = words.cast(pa.binary()).to_pylist()
+    names = np.array([b"", *listed], dtype=object)
+    # Number 0, the end, has a hash too.
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in names), dtype=np.uint64, count=len(names))
     mix = np.full(len(counts), xxhash.xxh3_64_intdigest(lang), dtype=np.uint64)
     with np.errstate(over="ignore"):
         for column in columns[:key]:
             mix = mixed(mix * np.uint64(3) + hashes[column])
-    bucket = (mix % np.uint64(buckets)).astype(np.int64)
+    bucket = (mix % np.uint64(buckets)).astype(np.min_scalar_type(buckets))
     order = np.argsort(bucket, kind="stable")
     bucket = bucket[order]
     cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(bucket) else [0]
     grams = np.stack([column[order] for column in columns])
     counts = counts[order]
-    place, names = np.zeros(len(words) + 1, dtype=np.int64), words.cast(pa.binary())
+    place = np.zeros(len(words) + 1, dtype=np.int64)
     known, packs, numbers = [], [], []
     codec = zstandard.ZstdCompressor(level=1)
     for start, end in zip(cuts[:-1], cuts[1:]):
@@ -136,7 +133,7 @@ def _packed(
         mine = mine[mine > 0]
         place[mine] = np.arange(1, len(mine) + 1)
         # No word has a line end in it.
-        known.append(codec.compress(b"\n".join(names.take(pa.array(mine - 1)).to_pylist())))
+        known.append(codec.compress(b"\n".join(names[mine].tolist())))
         packs.append(_squeezed(place[grams[:, start:end]], codec))
         numbers.append(_squeezed(counts[start:end], codec))
     return pa.table(
@@ -170,22 +167,22 @@ def _edges(docs: DataFrame, buckets: int) -> DataFrame:
     """Packs of the edges of each slice, by the hash of the node that they leave."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _gathered(sliced(batches, "text")):
+        for part in _gathered(sliced(batches, "text", SLICE)):
             words = split_words(part.column("text"), keep=_IN_WORD, lower=True)
             if not len(words.start):
                 continue
             coded = words.array().dictionary_encode()
-            code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
+            code = coded.indices.to_numpy(zero_copy_only=False) + 1
             # Words of one piece have the same text and number of separators before them.
             before = np.cumsum(_SEPARATES[words.data], dtype=np.int64)[words.start]
             last = np.ones(len(code), dtype=bool)
             last[:-1] = (words.doc[1:] != words.doc[:-1]) | (before[1:] != before[:-1])
             ends = np.flatnonzero(last)
             left = ends[np.searchsorted(ends, np.arange(len(code)))] - np.arange(len(code))
-            padded = np.concatenate((code, np.zeros(WIDTH, dtype=np.int64)))
+            padded = np.concatenate((code, np.zeros(WIDTH, dtype=code.dtype)))
             grams = [np.where(left >= k, padded[k : k + len(code)], 0) for k in range(WIDTH)]
             lang = pc.fill_null(part.column("lang"), NO_LANGUAGE).dictionary_encode()
-            spoken = lang.indices.to_numpy(zero_copy_only=False).astype(np.int64)[words.doc]
+            spoken = lang.indices.to_numpy(zero_copy_only=False)[words.doc]
             (spoken, *grams), counts = distinct_rows([spoken, *grams], np.ones(len(code), dtype=np.int64))
             for number, name in enumerate(lang.dictionary.to_pylist()):
                 own = slice(*np.searchsorted(spoken, (number, number + 1)))
@@ -205,16 +202,17 @@ def _edges(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def _gathered(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Neighbouring slices together, up to ``SLICE`` bytes."""
+    """Neighbouring slices together, up to ``SLICE`` bytes or one text."""
     held, size = [], 0
     for part in parts:
-        held.append(part)
-        size += part.column("text").nbytes
-        if size >= SLICE:
+        if held and size + part.column("text").nbytes > SLICE:
             yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             held, size = [], 0
-    if held and (table := pa.Table.from_batches(held).combine_chunks()).num_rows:
-        yield table.to_batches()[0]
+        if part.num_rows:
+            held.append(part)
+            size += part.column("text").nbytes
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
 def _flows(packs: DataFrame, width: int, lengths: tuple[int, ...], onward: int, buckets: int, least: int) -> DataFrame:
