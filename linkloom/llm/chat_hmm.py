@@ -264,7 +264,7 @@ STYLES = (
     ("### Context: ", "### Human: ", "### Answer: "),
     ("[system] ", "[user] ", "[assistant] "),
 )
-#: Lines that a turn may have before its numbers meet those of the next.
+#: Numbers that each turn has for its lines; a turn of more lines raises.
 TURN_SPAN = 1 << 24
 
 
@@ -283,7 +283,8 @@ def transcript_lines(conversations: DataFrame) -> DataFrame:
     whole = F.concat(F.coalesce(marker, F.lit("")), F.coalesce("text", F.lit("")), F.lit("\n"))
     parts = rows.select("conv_id", "turn", "role", F.posexplode(F.split(whole, "\n")).alias("i", "line"))
     kind = F.when(F.col("i") == 0, "start").when(F.col("line") == "", "gap").otherwise("inside")
-    number = F.col("turn") * TURN_SPAN + F.col("i")
+    many = F.raise_error(F.concat(F.lit("a turn of too many lines in conversation "), F.col("conv_id")))
+    number = F.when(F.col("i") < TURN_SPAN, F.col("turn") * TURN_SPAN + F.col("i")).otherwise(many.cast("long"))
     return parts.select("conv_id", number.alias("line_no"), "line", "role", kind.alias("kind"))
 
 

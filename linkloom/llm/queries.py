@@ -127,6 +127,55 @@ QUERIES = {
     )
 }
 
+_OP1 = r"""
+WITH d AS (SELECT doc_id, source AS host, coalesce(text, '') AS text,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+     g AS (SELECT doc_id, unnest(range(1, len(words) - 6)) AS i, words FROM d WHERE len(words) >= 8),
+     v AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(words[i : i + 7], ' ')) AS times FROM g),
+     r AS (SELECT doc_id, count(DISTINCT pos) AS n_repeat_words
+           FROM (SELECT doc_id, unnest(range(i, i + 8)) AS pos FROM v WHERE times > 1) GROUP BY doc_id),
+     l AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
+           FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+           WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+     c AS (SELECT doc_id, host, len(words) AS n_words,
+             length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+             length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+             coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+           FROM d LEFT JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)),
+     f AS (SELECT host, count(*) AS n, rule, count(*) FILTER (WHERE failed) AS bad FROM (
+             SELECT host, unnest([
+               {'rule': 'short', 'failed': n_words < 20},
+               {'rule': 'repeated', 'failed': 100 * n_repeat_words > 30 * n_words},
+               {'rule': 'symbols', 'failed': 10 * n_symbols > n_words},
+               {'rule': 'long_words', 'failed': word_chars > 15 * n_words},
+               {'rule': 'dup_lines', 'failed': 10 * n_dup_lines > n_words}], recursive := true)
+             FROM c WHERE host IS NOT NULL) GROUP BY host, rule),
+     m AS (SELECT rule, sum(bad) / sum(n) AS mean, sum(bad * bad / n) / sum(n) AS square, count(*) AS hosts, sum(n) AS docs
+           FROM f GROUP BY rule),
+     p AS (SELECT *, mean * (1 - mean) / greatest(square - mean * mean - mean * (1 - mean) * hosts / docs, 1e-9) - 1 AS strength,
+             square - mean * mean - mean * (1 - mean) * hosts / docs > 1e-9 AS varies FROM m),
+     b AS (SELECT host, rule, mean, varies, greatest(strength, 1e-6) * mean + bad AS a,
+             greatest(strength, 1e-6) * (1 - mean) + n - bad AS b FROM f JOIN p USING (rule)),
+     -- The density above three times the common rate, by Simpson's rule.
+     h AS (SELECT host, rule, CASE WHEN varies THEN a / (a + b) ELSE mean END AS rate,
+             CASE WHEN varies AND 3 * mean < 1 THEN (1 - 3 * mean) / 6000 * list_sum([
+               CASE WHEN k % 2000 = 0 THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END
+               * CASE WHEN k = 2000 THEN 0 ELSE exp((a - 1) * ln(3 * mean + (1 - 3 * mean) * k / 2000)
+                   + (b - 1) * ln((1 - 3 * mean) * (1 - k / 2000)) - lgamma(a) - lgamma(b) + lgamma(a + b)) END
+               FOR k IN range(0, 2001)]) ELSE 0 END AS worse FROM b),
+     j AS (SELECT host, max(worse) >= 0.99 AS rejected,
+             round(max(rate) FILTER (WHERE rule = 'short'), 9) AS short_rate,
+             round(max(rate) FILTER (WHERE rule = 'repeated'), 9) AS repeated_rate,
+             round(max(rate) FILTER (WHERE rule = 'symbols'), 9) AS symbols_rate,
+             round(max(rate) FILTER (WHERE rule = 'long_words'), 9) AS long_words_rate,
+             round(max(rate) FILTER (WHERE rule = 'dup_lines'), 9) AS dup_lines_rate FROM h GROUP BY host)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, coalesce(rejected, false) AS host_rejected,
+       short_rate, repeated_rate, symbols_rate, long_words_rate, dup_lines_rate,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND NOT coalesce(rejected, false) AS kept
+FROM c LEFT JOIN j USING (host)
+"""
+
 _OP3 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
      d AS (SELECT page_id, strlen(payload) AS n, sha256(payload) AS digest FROM p),
@@ -160,6 +209,27 @@ SELECT page_id, host, path, rule,
 FROM m
 """
 
+_OP5 = r"""
+WITH b AS (SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+           FROM benchmark),
+     w AS (SELECT DISTINCT item, words[i : i + 9] AS win FROM (
+             SELECT item, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM b WHERE len(words) > 0)),
+     z AS (SELECT DISTINCT len(win) AS size FROM w),
+     d AS (SELECT doc_id, regexp_extract_all(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+           FROM documents),
+     g AS (SELECT doc_id, i, words[i : i + size - 1] AS win FROM (
+             SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS i FROM d, z WHERE len(words) >= size)),
+     h AS (SELECT doc_id, i, item, len(win) AS size FROM g JOIN w USING (win)),
+     n AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS pos FROM h) GROUP BY doc_id),
+     t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+           FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+SELECT doc_id, coalesce(len(words), 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
 _OP11 = r"""
 WITH l AS (SELECT doc_id, generate_subscripts(x, 1) AS pos, unnest(x) AS line
            FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)),
@@ -213,8 +283,10 @@ FROM b JOIN t USING (lang) QUALIFY rank <= 2000
 
 #: The others are beyond SQL, or too slow in it on whole tables; tests hold them against brute force.
 ORACLES = {
+    "op1_host_rules": _OP1,
     "op3_warc_zstd": _OP3,
     "op4_url_filter": _OP4.replace("\\\\", "\\"),
+    "op5_fm_decontamination": _OP5,
     "op11_line_dedup": _OP11,
     "op12_blas_search": _OP12,
     "op13_collocations": _OP13,

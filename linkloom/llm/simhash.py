@@ -269,10 +269,11 @@ def near_duplicates(
     Rows link when their fingerprints differ in at most ``distance`` bits, rows
     without words among them; ``component_id`` is the smallest id reachable. Equal
     fingerprints are one value from the start, so copies cost nothing more. NULL ids
-    keep their row and never name a component unless no member has an id.
+    keep their row and never name a component unless no member has an id. Repeated rows give
+    a row each, no rows none; other columns are not looked at, and a text may be of any length.
     """
     prints = stored(fingerprints(docs, doc_id=doc_id, text=text, size=size, seed=seed))
-    by_value = _by_value(prints, distance)
+    by_value = stored(_by_value(prints, distance))
     # Values with more than a thousandth of the rows are below a thousand, hence the broadcast.
     n = by_value.agg(F.sum("copies")).first()[0] or 0
     often = by_value.where(F.col("copies") > n / 1000).select("fp", F.col("component_id").alias("often"), F.lit(True).alias("hot"))
@@ -305,8 +306,11 @@ def one_per_component(
 
     It has the smallest id, rows without one coming last, and of equal ids the smallest
     digest of id and text; of rows with id and text alike any one stays. Ids may repeat
-    in the result when rows of one id have texts of several components.
+    in the result when rows of one id have texts of several components. All columns stay,
+    whatever their names; no rows give no rows, and a text may be of any length.
     """
+    names, docs = docs.columns, docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    doc_id, text = (docs.columns[names.index(c)] for c in (doc_id, text))
     key = _row_key(doc_id, text)
     # Ordered as survivors are chosen, so the name of a component is its survivor.
     place = F.struct(F.col(doc_id).isNull().alias("missing"), F.col(doc_id).alias("id"), key.alias("key"))
@@ -321,7 +325,7 @@ def one_per_component(
     counted = prints.join(F.broadcast(often), "fp", "left_semi").groupBy(F.col("doc_id.key").alias("_key")).count()
     hot = [bytes(r["_key"]) for r in counted.where((F.col("count") > n / 1000) & (F.col("count") > 1)).collect()]
     if not hot:
-        return rows.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+        return rows.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key").toDF(*names)
 
     def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -338,4 +342,5 @@ def one_per_component(
     is_hot = F.col("_key").isin(hot)
     many = rows.where(is_hot).mapInArrow(firsts, rows.schema)
     few = rows.where(~is_hot)
-    return few.unionByName(many).join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    one = few.unionByName(many).join(kept, "_key", "left_semi").dropDuplicates(["_key"])
+    return one.drop("_key").toDF(*names)
