@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.frames import Shared, held_out, stored, training_labels
-from linkloom.llm.words import NOT_SPACE, codes, mixed, sliced, split_words
+from linkloom.llm.words import LOWER, Words, codes, mixed, sliced, split_words, word_hashes
 
 #: Hashed n-grams; bounds the class counts and the weights, whatever the input.
 BUCKETS = 1 << 16
-#: Longest n-gram.
-ORDER = 4
+#: Longest n-gram of word forms, and of the words themselves.
+ORDER, WORD_ORDER = 4, 2
 #: Bound of the labelled sample that the hinge loss is fitted on. Counts cover all rows.
 SAMPLE_ROWS = 12_000
 EPOCHS = 12
@@ -33,15 +33,14 @@ for _b in range(256):
     )
 
 
-def word_shapes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """A number below 256 for the form of each word, and the text it stands in.
+def word_shapes(words: Words) -> np.ndarray:
+    """A number below 256 for the form of each word.
 
     The form is its case, its most telling mark, its length and whether it equals
     the word before. Forms carry over to words that training never saw.
     """
-    words = split_words(column)
     if not len(words.start):
-        return np.zeros(0, np.int64), words.doc
+        return np.zeros(0, np.int64)
     kind = _CLASS[words.data]
 
     def count(mask):
@@ -63,28 +62,38 @@ def word_shapes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     word = codes(words.array())
     same = np.zeros(len(word), np.int64)
     same[1:] = (word[1:] == word[:-1]) & (words.doc[1:] == words.doc[:-1])
-    return ((case * 5 + mark) * 4 + length) * 2 + same, words.doc
+    return ((case * 5 + mark) * 4 + length) * 2 + same
 
 
 def ngram_indicators(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """``(text, bucket)`` pairs, each once, ordered by text."""
-    shape, doc = word_shapes(column)
-    parts, gram = [], shape.astype(np.uint64)
-    for n in range(1, ORDER + 1):
-        if n > 1:
-            if len(shape) < n:
-                break
-            gram = gram[:-1] * np.uint64(256) + shape[n - 1 :].astype(np.uint64)
-        whole = doc[: len(gram)] == doc[n - 1 :]
-        bucket = (mixed(gram[whole] + np.uint64(n << 40)) % np.uint64(BUCKETS)).astype(np.int64)
-        parts.append(pd.unique(doc[: len(gram)][whole] * BUCKETS + bucket))
+    """``(text, bucket)`` pairs, each once, ordered by text.
+
+    N-grams of one to four word forms, and single words and pairs of them with ASCII letters in lower
+    case; all share the buckets.
+    """
+    words = split_words(column)
+    shape, doc = word_shapes(words), words.doc
+    plain = word_hashes(words._replace(data=LOWER[words.data]))
+    parts = []
+    for unit, order, scale, salt in ((shape.astype(np.uint64), ORDER, 256, 40), (plain, WORD_ORDER, 0x9E3779B97F4A7C15, 44)):
+        gram = unit
+        for n in range(1, order + 1):
+            if n > 1:
+                if len(unit) < n:
+                    break
+                with np.errstate(over="ignore"):
+                    gram = gram[:-1] * np.uint64(scale) + unit[n - 1 :]
+            whole = doc[: len(gram)] == doc[n - 1 :]
+            with np.errstate(over="ignore"):
+                bucket = (mixed(gram[whole] + np.uint64(n << salt)) % np.uint64(BUCKETS)).astype(np.int64)
+            parts.append(pd.unique(doc[: len(gram)][whole] * BUCKETS + bucket))
     pairs = np.sort(pd.unique(np.concatenate(parts))) if parts else np.zeros(0, np.int64)
     return pairs // BUCKETS, pairs % BUCKETS
 
 
 def indicator_table(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, features binary``: the distinct buckets of each whole text, two bytes each."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    """``doc_id, text_hash, features binary``: the distinct buckets of each whole text, two bytes each."""
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
@@ -94,10 +103,11 @@ def indicator_table(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
             packed = pa.Array.from_buffers(
                 pa.binary(), batch.num_rows, [None, pa.py_buffer(reach.astype(np.int32)), data]
             )
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), packed], ["doc_id", "features"])
+            kept = [batch.column("doc_id"), batch.column("text_hash"), packed]
+            yield pa.RecordBatch.from_arrays(kept, ["doc_id", "text_hash", "features"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, features binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, features binary")
 
 
 def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -172,17 +182,16 @@ class NbSvm:
 def fit(table: DataFrame, labels: DataFrame, *, sample: int = SAMPLE_ROWS, cost: float = 1.0) -> NbSvm:
     """Learn from ``doc_id, label`` rows; see ``training_labels``.
 
-    Log-count ratios come from all labelled rows. The hinge loss is fitted on
-    ``sample`` rows at most, those with the smallest hash of their id, with classes
+    Rows of one id and text count once. Log-count ratios come from all labelled rows. The hinge loss
+    is fitted on ``sample`` rows at most, those with the smallest hash of their id and text, with classes
     weighted to count alike up to a factor of four. Without labels of both classes the score is 1/2.
     """
-    labelled = table.join(labels, "doc_id")
+    labelled = stored(table.join(labels, "doc_id").dropDuplicates(["doc_id", "text_hash"]))
     counts = class_counts(labelled)
     smooth = counts + 1
     ratio = np.log(smooth[1] / smooth[1].sum()) - np.log(smooth[0] / smooth[0].sum())
-    # The chosen ids are at most ``sample`` rows, hence the broadcast.
-    chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = table.join(F.broadcast(chosen), "doc_id").orderBy("doc_id").toArrow()
+    place = F.xxhash64("doc_id", "text_hash")
+    rows = labelled.orderBy(place, "doc_id", "text_hash").limit(sample).select("label", "features").toArrow()
     sign = rows["label"].to_numpy() * 2.0 - 1
     if len(np.unique(sign)) < 2:
         return NbSvm(np.zeros(BUCKETS), 0.0)
@@ -196,8 +205,11 @@ def fit(table: DataFrame, labels: DataFrame, *, sample: int = SAMPLE_ROWS, cost:
 def quality_scores(docs: DataFrame, labels: DataFrame, *, label: str = "quality", threshold: float = 0.3, **columns) -> DataFrame:
     """``doc_id, held_out, score, predicted`` per row of ``docs``.
 
-    Only the text enters a score. NULL and empty texts have no n-grams and get the
-    score of the bias. Ids that are NULL take no part in training and are not held out.
+    Only the text enters a score, a whole one of any length. NULL and empty texts have no n-grams and get the
+    score of the bias. Ids that are NULL take no part in training and are not held out. Each row
+    is scored, repeated ones too, and equal texts score alike; in training, rows of one id and text count
+    once, and an id with several texts labels each of them. No rows give no rows, and without labels every score is
+    1/2. Other columns are not looked at.
     """
     table = stored(indicator_table(docs, **columns))
     model = fit(table, training_labels(labels, label))
@@ -221,7 +233,8 @@ def scored(table: DataFrame, model: NbSvm, threshold: float) -> DataFrame:
 def kept_by_quality(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that the classifier accepts, unchanged.
 
-    The verdict is computed from the row's own text in a second pass, so nothing is joined.
+    The verdict is computed from the row's own text in a second pass, so nothing is joined. Columns of
+    any name stay as they are; no rows give no rows.
     """
     table = stored(indicator_table(docs, doc_id=doc_id, text=text))
     model = Shared(docs.sparkSession, fit(table, training_labels(labels, "quality")))

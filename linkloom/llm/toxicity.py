@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.llm.frames import held_out, stored, training_labels
@@ -18,17 +18,32 @@ from linkloom.llm.words import ALNUM, sliced, split_words
 #: Entries of the lexicons: whole words, and beginnings of longer words. ``x-`` is held by a
 #: text with a longer word that begins with x, ``x--`` by one with two different such words.
 BEGINNINGS = (4, 5, 6, 7, 8)
-#: An entry must stand in this share of the toxic texts, and be so much likelier there.
-LEAST_SHARE, LEAST_RATIO = 0.01, 20.0
-LEXICONS = 6
-#: Bounds of the labelled sample a class that the lexicons come from, and of the
-#: sample that the classifier is fitted on; votes and posteriors cover all rows.
-LEXICON_ROWS, SAMPLE_ROWS = 10_000, 20_000
-
+#: Each source of entries gives two lexicons, each a voter: words, and beginnings of each length.
+SOURCES = [(0, ""), *((k, suffix) for suffix in ("-", "--") for k in BEGINNINGS)]
+#: An entry must be so much likelier in toxic texts, with this much evidence (twice the log of the
+#: likelihood ratio of depending on the class, about one chance in a million).
+LEAST_RATIO, LEAST_EVIDENCE = 20.0, 24.0
+#: Entries with at least this share of the evidence of the source's best one are its first lexicon.
+FIRST_SHARE = 0.1
+#: Entries of a source: those with most evidence. Counts cover all labelled texts.
+LEXICON_SIZE = 2_000
+#: Bound of the sample that the classifier is fitted on; votes and posteriors cover all rows.
+SAMPLE_ROWS = 20_000
+#: Words of 64 bits in the filter of labelled ids; it only spares shuffling other texts.
+FILTER_WORDS = 1 << 17
+
+LEXICONS = 2 * len(SOURCES)
 PATTERNS = ("several", "shouting", "exclaims", "addressed", "clean")
 VOTERS = LEXICONS + len(PATTERNS)
 
 
+def source_of(entry: str) -> int:
+    """The number of the source that an entry comes from; words have no hyphen."""
+    stem = entry.rstrip("-")
+    suffix = entry[len(stem) :]
+    return SOURCES.index((len(stem) if suffix else 0, suffix))
+
+
 def _entries(column: pa.Array, known: pa.Array | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
     """Distinct ``(text, entry number)`` pairs and the entries, part by part.
 
@@ -79,41 +94,75 @@ def entry_counts(labelled: DataFrame) -> DataFrame:
     return parts.groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
 
 
-def induced_lexicon(docs: DataFrame, labels: DataFrame) -> list[str]:
-    """Entries that mark toxic texts, from ``doc_id, text`` and ``doc_id, label``.
+def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``text, label``: each different text of a labelled id once for each label that it has.
 
-    Learned from ``LEXICON_ROWS`` different texts a class at most. Each entry stands
-    in at least ``LEAST_SHARE`` of the toxic ones, which bounds the list.
+    Texts of other ids stay where they are, but for the few that a filter of fixed size lets through.
     """
-    # Copies of a text count once: they say nothing new about its words.
-    hashed = docs.select("doc_id", F.xxhash64("text").alias("h")).join(labels, "doc_id")
-    texts = hashed.groupBy("h", "label").agg(F.min("doc_id").alias("doc_id"))
-    sides = [texts.where(F.col("label") == y).orderBy("h").limit(LEXICON_ROWS) for y in (0, 1)]
-    chosen = sides[0].unionByName(sides[1]).select("doc_id", "label").toArrow()
-    toxic = int(pc.sum(chosen["label"]).as_py() or 0)
-    clean = chosen.num_rows - toxic
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
+    chosen = hashed.drop("text").join(labels, "doc_id").groupBy("h", "label").agg(F.min("doc_id").alias("doc_id"))
+    chosen = stored(chosen)
+    place = F.xxhash64("doc_id")
+    word, bit = F.pmod(F.shiftright(place, 6), F.lit(FILTER_WORDS)), F.pmod(place, F.lit(64)).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    bits = chosen.groupBy(word.alias("word")).agg(F.bit_or(one).alias("bits"))
+    # At most FILTER_WORDS rows, hence the broadcast.
+    able = hashed.withColumn("word", word).join(F.broadcast(bits), "word")
+    able = able.where(F.col("bits").bitwiseAND(one) != 0).drop("word", "bits")
+    return able.join(chosen, ["doc_id", "h"]).dropDuplicates(["doc_id", "h", "label"]).select("text", "label")
+
+
+def evidence(toxic: Column, clean: Column, n_toxic: int, n_clean: int) -> Column:
+    """Twice the log of the likelihood ratio that an entry's share differs between the classes."""
+    held = toxic + clean
+    total = float(n_toxic + n_clean)
+    parts = (
+        (toxic, held, n_toxic),
+        (clean, held, n_clean),
+        (n_toxic - toxic, total - held, n_toxic),
+        (n_clean - clean, total - held, n_clean),
+    )
+    terms = [F.when(x > 0, x * F.log(x * total / (of * n))).otherwise(0.0) for x, of, n in parts]
+    return 2 * (terms[0] + terms[1] + terms[2] + terms[3])
+
+
+def induced_lexicon(docs: DataFrame, labels: DataFrame, size: int = LEXICON_SIZE) -> dict[str, int]:
+    """Entries that mark toxic texts, from ``doc_id, text`` and ``doc_id, label``, each with its voter.
+
+    Counted over all labelled texts; copies of a text count once, as they say nothing new about its
+    words. Each source gives ``size`` entries at most, those with most evidence, ties by name.
+    """
+    labelled = stored(labelled_texts(docs, labels))
+    n = labelled.agg(F.count("*"), F.sum("label")).first()
+    toxic, clean = n[1] or 0, n[0] - (n[1] or 0)
     if not toxic or not clean:
-        return []
-    # Twice LEXICON_ROWS rows at most, hence the broadcast.
-    labelled = docs.join(F.broadcast(docs.sparkSession.createDataFrame(chosen)), "doc_id")
+        return {}
     ratio = (F.col("toxic") / toxic) / ((F.col("clean") + 0.5) / clean)
-    enough = F.col("toxic") >= max(3, LEAST_SHARE * toxic)
-    found = entry_counts(labelled).where(enough & (ratio >= LEAST_RATIO)).select("entry")
-    return sorted(r["entry"] for r in found.collect())
+    marks = entry_counts(labelled).where(ratio >= LEAST_RATIO)
+    proof = evidence(F.col("toxic").cast("double"), F.col("clean").cast("double"), toxic, clean)
+    marks = marks.select("entry", F.round(proof, 9).alias("proof")).where(F.col("proof") >= LEAST_EVIDENCE)
+    stem = F.regexp_replace("entry", "-+$", "")
+    suffix = F.length("entry") - F.length(stem)
+    source = F.struct(suffix.alias("suffix"), F.when(suffix > 0, F.length(stem)).otherwise(0).alias("k"))
+    order = Window.partitionBy(source).orderBy(F.desc("proof"), "entry")
+    most = F.first("proof").over(order)
+    ranked = marks.withColumns({"place": F.row_number().over(order), "second": F.col("proof") < FIRST_SHARE * most})
+    best = ranked.where(F.col("place") <= size).select("entry", "second").collect()
+    return {r["entry"]: 2 * source_of(r["entry"]) + r["second"] for r in sorted(best)}
 
 
 def _addressed(column: pa.Array) -> np.ndarray:
     return pc.match_substring_regex(column, r"(?i)\byou('re| are)\b").to_numpy(zero_copy_only=False)
 
 
-def votes(docs: DataFrame, lexicon: list[str]) -> DataFrame:
-    """``doc_id, votes int, entries array<int>``: the voters that fire, a bit each, and entries held.
+def votes(docs: DataFrame, lexicon: dict[str, int]) -> DataFrame:
+    """``doc_id, text_hash, votes int, entries array<int>``: the voters that fire, a bit each, and entries held.
 
-    Voters: the lexicon dealt into parts, several entries, shouting, runs of
+    Voters: two lexicons of each source, several entries, shouting, runs of
     exclamation marks, speaking to the reader, and a last one for texts without any entry.
     """
-    known = pa.array(lexicon, pa.string())
-    dealt = np.arange(len(lexicon)) % LEXICONS
+    known = pa.array(list(lexicon), pa.string())
+    dealt = np.array(list(lexicon.values()), dtype=np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
@@ -137,25 +186,40 @@ def votes(docs: DataFrame, lexicon: list[str]) -> DataFrame:
             reach = np.concatenate(([0], np.cumsum(held))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(reach), pa.array(entry.astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(bits.astype(np.int32)), lists], ["doc_id", "votes", "entries"]
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(bits.astype(np.int32)), lists],
+                ["doc_id", "text_hash", "votes", "entries"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, votes int, entries array<int>")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, votes int, entries array<int>")
 
 
 @dataclass(frozen=True)
 class LabelModel:
-    """How often each voter fires on clean and on toxic texts, and how much its vote counts."""
+    """A class, and voters that depend on it and on one other voter each: a tree of correlations.
+
+    ``table[y, v, u]`` is the probability that voter ``v`` fires on class ``y`` when its ``parent`` has
+    (``u`` = 1) or has not; the root, with parent -1, has the same for both.
+    """
 
     prior: float
-    fires: np.ndarray  # 2 x voters
-    weight: np.ndarray  # below 1 for voters that repeat one another
+    parent: np.ndarray
+    table: np.ndarray
+
+    def log_likelihood(self, fired: np.ndarray) -> np.ndarray:
+        """Rows by classes."""
+        out = np.zeros((len(fired), 2))
+        for v, u in enumerate(self.parent):
+            given = fired[:, u].astype(int) if u >= 0 else np.zeros(len(fired), int)
+            for y in (0, 1):
+                p = self.table[y, v, given]
+                out[:, y] += np.log(np.where(fired[:, v], p, 1 - p))
+        return out
 
     def posterior(self, fired: np.ndarray) -> np.ndarray:
-        p = self.fires
-        gain = np.where(fired, np.log(p[1] / p[0]), np.log((1 - p[1]) / (1 - p[0])))
-        odds = np.log(self.prior / (1 - self.prior)) + gain @ self.weight
+        likely = self.log_likelihood(fired)
+        odds = np.log(self.prior / (1 - self.prior)) + likely[:, 1] - likely[:, 0]
         return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
 
 
@@ -163,32 +227,51 @@ def _bits(mask: np.ndarray, n: int = VOTERS) -> np.ndarray:
     return (mask[:, None] >> np.arange(n)) & 1 == 1
 
 
+def _pairs(fired: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """``[u, v, a, b]``: weight of rows where voter u votes a and voter v votes b, one row of each kind added."""
+    both = np.stack([~fired, fired]).astype(float)
+    return np.einsum("n,anu,bnv->uvab", share, both, both, optimize=True) + 0.25
+
+
+def dependence_tree(joint: np.ndarray) -> np.ndarray:
+    """Parent of each voter in the tree of largest mutual information given the class; -1 for the root.
+
+    ``joint`` has the weights of ``_pairs`` for each class.
+    """
+    n = joint.shape[1]
+    p = joint / joint.sum(axis=(3, 4), keepdims=True)
+    own = p.sum(axis=4, keepdims=True) * p.sum(axis=3, keepdims=True)
+    given = (p * np.log(p / own)).sum(axis=(3, 4))
+    size = joint.sum(axis=(3, 4))
+    worth = (given * size / size.sum(axis=0)).sum(axis=0)
+    parent, inside = np.full(n, -1), [0]
+    while len(inside) < n:
+        rest = [v for v in range(n) if v not in inside]
+        part = worth[np.ix_(inside, rest)]
+        i, j = np.unravel_index(np.argmax(part), part.shape)
+        parent[rest[j]] = inside[i]
+        inside.append(rest[j])
+    return parent
+
+
 def label_model(mask: np.ndarray, known: np.ndarray, count: np.ndarray, rounds: int = 50) -> LabelModel:
     """Expectation-maximisation over vote patterns; ``known`` is 0, 1, or -1 where unlabelled.
 
-    Voters fire independently given the class, apart from pairwise correlations.
-    These are measured within each class by the posteriors, and a voter's
-    log-likelihood counts one part in one plus its absolute correlations.
+    Every round finds the tree of the strongest correlations among voters given the class, so these are
+    part of the likelihood: voters that repeat one another add nothing.
     """
     fired = _bits(mask)
-    total = count.sum()
     soft = np.where(known >= 0, known, np.where(fired[:, :LEXICONS].any(axis=1), 0.8, 0.1))
-    model = LabelModel(0.5, np.full((2, VOTERS), 0.5), np.ones(VOTERS))
+    model = None
     for _ in range(rounds):
-        fires, correlation = [], np.zeros((VOTERS, VOTERS))
-        for y in (0, 1):
-            share = count * (soft if y else 1 - soft)
-            n = share.sum()
-            p = (share @ fired + 1) / (n + 2)
-            fires.append(p)
-            centred = fired - p
-            covariance = (centred * share[:, None]).T @ centred / max(n, 1e-9)
-            scale = np.sqrt(p * (1 - p))
-            weight = n / total
-            correlation += weight * np.abs(covariance / np.outer(scale, scale))
-        np.fill_diagonal(correlation, 0)
-        prior = min(max((count @ soft) / total, 1e-4), 1 - 1e-4)
-        model = LabelModel(prior, np.array(fires), 1 / (1 + correlation.sum(axis=1)))
+        joint = np.stack([_pairs(fired, count * (soft if y else 1 - soft)) for y in (0, 1)])
+        parent = dependence_tree(joint)
+        table = np.empty((2, fired.shape[1], 2))
+        for v, u in enumerate(parent):
+            pair = joint[:, u, v] if u >= 0 else np.stack([joint[:, v, v].sum(axis=1)] * 2, axis=1)
+            table[:, v] = pair[:, :, 1] / pair.sum(axis=2)
+        prior = min(max((count @ soft) / count.sum(), 1e-4), 1 - 1e-4)
+        model = LabelModel(prior, parent, table)
         new = np.where(known >= 0, known, model.posterior(fired))
         if np.abs(new - soft).max() < 1e-6:
             break
@@ -232,26 +315,27 @@ def toxicity_scores(
     """``doc_id, held_out, score, predicted`` per row of ``docs``.
 
     Labels of rows outside the held-out fold induce the lexicons and anchor the
-    label model; the classifier learns its posteriors on ``sample`` rows of those
-    folds at most, most of which have no label. Only text enters a score. NULL and empty texts hold no entry and score
-    as such texts do; without usable labels every score is that of the prior.
+    label model; the classifier learns the model's posteriors, given the votes alone, on ``sample`` rows of
+    those folds at most. Only text enters a score, a whole one of any length. NULL and empty texts hold no entry
+    and score as such texts do; without usable labels every score is 1/2. Each row is scored, repeated ones too, and
+    equal texts score alike; in training, rows of one id and text count once. No rows give no rows. Other columns
+    are not looked at.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     known = training_labels(labels, label)
     lexicon = induced_lexicon(rows, known)
     table = stored(votes(rows, lexicon))
-    anchored = table.where(~held_out()).join(known, "doc_id", "left")
-    anchored = anchored.withColumn("known", F.coalesce("label", F.lit(-1)))
+    anchored = table.where(~held_out()).dropDuplicates(["doc_id", "text_hash"]).join(known, "doc_id", "left")
+    anchored = stored(anchored.withColumn("known", F.coalesce("label", F.lit(-1))))
     patterns = anchored.groupBy("votes", "known").count().toArrow().sort_by([("votes", "ascending"), ("known", "ascending")])
     weights = np.zeros(len(lexicon) + len(PATTERNS) + 1)
     if patterns.num_rows and lexicon:
         mask, anchor, count = (patterns[c].to_numpy() for c in ("votes", "known", "count"))
         model = label_model(mask.astype(np.int64), anchor, count.astype(float))
-        order = [F.xxhash64("doc_id"), F.col("doc_id")]
-        part = anchored.select("doc_id", "votes", "entries", "known").orderBy(*order).limit(sample).toArrow()
-        seen, label = part["votes"].to_numpy().astype(np.int64), part["known"].to_numpy()
-        # The posterior of an anchored row is its label.
-        target = np.where(label >= 0, label, model.posterior(_bits(seen)))
+        order = [F.xxhash64("doc_id", "text_hash"), F.col("doc_id"), F.col("text_hash")]
+        part = anchored.orderBy(*order).limit(sample).select("votes", "entries").toArrow()
+        seen = part["votes"].to_numpy().astype(np.int64)
+        target = model.posterior(_bits(seen))
         weights = linear_classifier(seen, part["entries"].to_pylist(), target, len(lexicon))
     shared, n_entries = table.sparkSession.sparkContext.broadcast(weights), len(lexicon)
 
