@@ -57,3 +57,21 @@ def training_labels(labels: DataFrame, name: str, doc_id: str = "doc_id") -> Dat
     rows = labels.select(F.col(doc_id).alias("doc_id"), F.col(name).cast("int").alias("label"))
     usable = rows.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out())
     return usable.groupBy("doc_id").agg(F.max("label").alias("label"))
+
+
+#: Words of 64 bits in a filter of ids.
+FILTER_WORDS = 1 << 17
+
+
+def likely_among(rows: DataFrame, ids: DataFrame, name: str = "doc_id") -> DataFrame:
+    """The rows whose id is among ``ids``, and a few others: what a filter of fixed size lets through.
+
+    It spares shuffling the rest before an exact join. With very many ids it lets all rows through.
+    """
+    place = F.xxhash64(name)
+    word, bit = F.pmod(F.shiftright(place, 6), F.lit(FILTER_WORDS)), F.pmod(place, F.lit(64)).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    bits = ids.groupBy(word.alias("_word")).agg(F.bit_or(one).alias("_bits"))
+    # At most FILTER_WORDS rows, hence the broadcast.
+    able = rows.withColumn("_word", word).join(F.broadcast(bits), "_word")
+    return able.where(F.col("_bits").bitwiseAND(one) != 0).drop("_word", "_bits")

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -340,7 +341,8 @@ def encoded(
 
     The tokens are those of the best path under the pieces' log-probabilities. A space
     goes in front, as the model was made; NULL and empty texts have no tokens.
-    ``round_trip`` says that decoding gives the text back (a space mark in a text reads as a space).
+    ``round_trip`` says that decoding gives the text back (a space mark in a text reads as a space). Repeated rows
+    have a row each, no rows give none, and other columns are not looked at.
 
     Texts are cut into runs that no piece leaves. Frequent runs of a bounded sample of
     texts are encoded once and broadcast, with a fixed bound. Texts travel in packs, in one
@@ -380,22 +382,31 @@ def encoded(
     # Plain arrays, which a worker loads once for all its tasks.
     shared = spark.sparkContext.broadcast((cache.runs, cache.hashes, cache.ids, cache.starts))
 
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+        """Slices with a number each: of its place and of what is in it.
+
+        Both scans give a slice the same number as long as Spark hands out the rows alike. Where
+        it does not, numbers differ, and the runs that a pack then lacks are folded where they are missed.
+        """
+        for k, batch in enumerate(sliced(batches, "text", PACK_BYTES)):
+            data, offsets = text_bytes(batch.column("text"))
+            digest = xxhash.xxh3_64(data.tobytes(), seed=TaskContext.get().partitionId())
+            digest.update(offsets.tobytes() + k.to_bytes(8, "little"))
+            yield digest.intdigest() >> 1, batch
+
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, k = joints.index(), TaskContext.get().partitionId() << 32
-        for batch in sliced(batches, "text", PACK_BYTES):
+        index = joints.index()
+        for k, batch in named(batches):
             content = pack(batch.column("doc_id"), *text_runs(joints, index, batch.column("text")))
             yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([content], pa.binary())], ["pack", "content"])
-            k += 1
 
     def other_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The same slices as in packed(), so the same numbers.
-        index, k, own = joints.index(), TaskContext.get().partitionId() << 32, Cache(*shared.value)
-        for batch in sliced(batches, "text", PACK_BYTES):
+        index, own = joints.index(), Cache(*shared.value)
+        for k, batch in named(batches):
             runs = text_runs(joints, index, batch.column("text"))[0].unique()
             runs = runs.filter(pc.less_equal(pc.utf8_length(runs), LONG_RUN))
             runs = runs.filter(pa.array(own.find(runs) < 0))
             yield pa.RecordBatch.from_arrays([pa.array([k] * len(runs), pa.int64()), runs], ["pack", "word"])
-            k += 1
 
     def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, own = vocabulary, Cache(*shared.value)
@@ -407,15 +418,17 @@ def encoded(
                 extra, paths = pa.array([], pa.string()), pa.array([], pa.list_(pa.int32()))
                 if patch.is_valid and len(patch.values):
                     extra, paths = patch.values.field("word"), patch.values.field("path")
-                long = runs.filter(pc.greater(pc.utf8_length(runs), LONG_RUN))
-                if len(long):
-                    folded = [fold_run(r, words, places) for r in long.to_pylist()]
-                    extra = pa.concat_arrays([extra.cast(pa.string()), long])
+                at = own.find(runs)
+                # Very long runs, and those of a pack that its patch did not find.
+                left = runs.filter(pa.array(at < 0))
+                left = left.filter(pc.invert(pc.is_in(left, value_set=extra.cast(pa.string()))))
+                if len(left):
+                    folded = [fold_run(r, words, places) for r in left.to_pylist()]
+                    extra = pa.concat_arrays([extra.cast(pa.string()), left])
                     paths = pa.concat_arrays([paths.cast(pa.list_(pa.int32())), pa.array(folded, pa.list_(pa.int32()))])
                 ids, starts = ids_of(extra, paths, words, size)
                 values = np.concatenate((own.ids, ids.astype(np.int32)))
                 starts = np.concatenate((own.starts[:-1], starts + len(own.ids)))
-                at = own.find(runs)
                 fresh = pc.index_in(runs.filter(pa.array(at < 0)), value_set=extra.cast(pa.string()))
                 at[at < 0] = fresh.to_numpy(zero_copy_only=False) + len(own.runs)
                 tokens, width = _gather(values, starts, at[code])

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.frames import Shared, held_out, stored, training_labels
+from linkloom.llm.frames import Shared, held_out, likely_among, stored, training_labels
 from linkloom.llm.words import LOWER, Words, codes, mixed, sliced, split_words, word_hashes
 
 #: Hashed n-grams; bounds the class counts and the weights, whatever the input.
@@ -173,19 +173,23 @@ class NbSvm:
     weights: np.ndarray  # of the indicators, ratios multiplied in
     bias: float
 
-    def score(self, features: pa.Array) -> np.ndarray:
-        row, bucket = _unpacked(features)
-        margin = np.bincount(row, self.weights[bucket], minlength=len(features)) + self.bias
+    def score(self, texts: pa.Array) -> np.ndarray:
+        doc, bucket = ngram_indicators(texts)
+        margin = np.bincount(doc, self.weights[bucket], minlength=len(texts)) + self.bias
         return 1 / (1 + np.exp(-np.clip(SLOPE * margin, -500, 500)))
 
 
-def fit(table: DataFrame, labels: DataFrame, *, sample: int = SAMPLE_ROWS, cost: float = 1.0) -> NbSvm:
-    """Learn from ``doc_id, label`` rows; see ``training_labels``.
+def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE_ROWS, cost: float = 1.0) -> NbSvm:
+    """Learn from ``doc_id, text`` and ``doc_id, label``; see ``training_labels``.
+
+    Indicators are made of labelled texts alone and stored without the texts.
 
     Rows of one id and text count once. Log-count ratios come from all labelled rows. The hinge loss
     is fitted on ``sample`` rows at most, those with the smallest hash of their id and text, with classes
     weighted to count alike up to a factor of four. Without labels of both classes the score is 1/2.
     """
+    labels = stored(labels)
+    table = indicator_table(likely_among(docs, labels))
     labelled = stored(table.join(labels, "doc_id").dropDuplicates(["doc_id", "text_hash"]))
     counts = class_counts(labelled)
     smooth = counts + 1
@@ -202,7 +206,15 @@ def fit(table: DataFrame, labels: DataFrame, *, sample: int = SAMPLE_ROWS, cost:
     return NbSvm(weights * ratio, bias)
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, *, label: str = "quality", threshold: float = 0.3, **columns) -> DataFrame:
+def quality_scores(
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    label: str = "quality",
+    threshold: float = 0.3,
+    doc_id: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
     """``doc_id, held_out, score, predicted`` per row of ``docs``.
 
     Only the text enters a score, a whole one of any length. NULL and empty texts have no n-grams and get the
@@ -211,42 +223,33 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, label: str = "quality"
     once, and an id with several texts labels each of them. No rows give no rows, and without labels every score is
     1/2. Other columns are not looked at.
     """
-    table = stored(indicator_table(docs, **columns))
-    model = fit(table, training_labels(labels, label))
-    return scored(table, model, threshold)
-
-
-def scored(table: DataFrame, model: NbSvm, threshold: float) -> DataFrame:
-    kind = table.schema["doc_id"].dataType.simpleString()
-    shared = Shared(table.sparkSession, model)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    model = Shared(docs.sparkSession, fit(rows, training_labels(labels, label)))
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            score = pa.array(shared.value.score(batch.column("features")))
+        for batch in sliced(batches, "text"):
+            score = pa.array(model.value.score(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), score], ["doc_id", "score"])
 
-    rows = table.mapInArrow(run, f"doc_id {kind}, score double")
+    found = rows.mapInArrow(run, f"doc_id {kind}, score double")
     predicted = (F.col("score") >= threshold).cast("int").alias("predicted")
-    return rows.select("doc_id", held_out().alias("held_out"), "score", predicted)
+    return found.select("doc_id", held_out().alias("held_out"), "score", predicted)
 
 
 def kept_by_quality(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that the classifier accepts, unchanged.
 
-    The verdict is computed from the row's own text in a second pass, so nothing is joined. Columns of
+    The verdict is computed from the row's own text, so nothing is joined. Columns of
     any name stay as they are; no rows give no rows.
     """
-    table = stored(indicator_table(docs, doc_id=doc_id, text=text))
-    model = Shared(docs.sparkSession, fit(table, training_labels(labels, "quality")))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    model = Shared(docs.sparkSession, fit(rows, training_labels(labels, "quality")))
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     name = plain.columns[docs.columns.index(text)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, name):
-            doc, bucket = ngram_indicators(batch.column(name))
-            own = model.value
-            margin = np.bincount(doc, own.weights[bucket], minlength=batch.num_rows) + own.bias
-            score = 1 / (1 + np.exp(-np.clip(SLOPE * margin, -500, 500)))
-            yield batch.filter(pa.array(score >= threshold))
+            yield batch.filter(pa.array(model.value.score(batch.column(name)) >= threshold))
 
     return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

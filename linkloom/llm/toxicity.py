@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkloom.llm.frames import held_out, stored, training_labels
+from linkloom.llm.frames import held_out, likely_among, stored, training_labels
 from linkloom.llm.words import ALNUM, sliced, split_words
 
 #: Entries of the lexicons: whole words, and beginnings of longer words. ``x-`` is held by a
@@ -29,8 +29,6 @@ FIRST_SHARE = 0.1
 LEXICON_SIZE = 2_000
 #: Bound of the sample that the classifier is fitted on; votes and posteriors cover all rows.
 SAMPLE_ROWS = 20_000
-#: Words of 64 bits in the filter of labelled ids; it only spares shuffling other texts.
-FILTER_WORDS = 1 << 17
 
 LEXICONS = 2 * len(SOURCES)
 PATTERNS = ("several", "shouting", "exclaims", "addressed", "clean")
@@ -102,14 +100,8 @@ def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     hashed = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
     chosen = hashed.drop("text").join(labels, "doc_id").groupBy("h", "label").agg(F.min("doc_id").alias("doc_id"))
     chosen = stored(chosen)
-    place = F.xxhash64("doc_id")
-    word, bit = F.pmod(F.shiftright(place, 6), F.lit(FILTER_WORDS)), F.pmod(place, F.lit(64)).cast("int")
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
-    bits = chosen.groupBy(word.alias("word")).agg(F.bit_or(one).alias("bits"))
-    # At most FILTER_WORDS rows, hence the broadcast.
-    able = hashed.withColumn("word", word).join(F.broadcast(bits), "word")
-    able = able.where(F.col("bits").bitwiseAND(one) != 0).drop("word", "bits")
-    return able.join(chosen, ["doc_id", "h"]).dropDuplicates(["doc_id", "h", "label"]).select("text", "label")
+    able = likely_among(hashed, chosen).join(chosen, ["doc_id", "h"])
+    return able.dropDuplicates(["doc_id", "h", "label"]).select("text", "label")
 
 
 def evidence(toxic: Column, clean: Column, n_toxic: int, n_clean: int) -> Column:

@@ -136,10 +136,10 @@ def test_class_counts_and_repeated_ids(spark):
                 want[label[doc], b] += 1
     assert np.array_equal(got, want)
     # The bound holds whatever one id has, and copies change nothing.
-    few = nbsvm.fit(table, known, sample=10)
+    few = nbsvm.fit(docs, known, sample=10)
     assert np.isfinite(few.weights).all()
-    plain = nbsvm.fit(nbsvm.indicator_table(spark.createDataFrame(list(set(rows)), docs.schema)), known)
-    assert np.allclose(nbsvm.fit(table, known).weights, plain.weights)
+    plain = nbsvm.fit(spark.createDataFrame(list(set(rows)), docs.schema), known)
+    assert np.allclose(nbsvm.fit(docs, known).weights, plain.weights)
     # A weight is the ratio times what the hinge loss gives: none without a labelled text that holds it.
     assert set(np.flatnonzero(plain.weights)) <= set(np.flatnonzero(want.sum(axis=0)))
 
