@@ -12,13 +12,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.frames import Shared
+from linkloom.llm.frames import Shared, stored
 from linkloom.llm.fm_index import FMIndex
 from linkloom.llm.words import ALNUM, sliced, split_words
 
-#: Words of a window, and windows of the benchmark that one pass looks for.
+#: Words of a window, windows of the benchmark that a task looks for at once, and how many such blocks
+#: one pass over the texts has in memory; with more, the texts are written and read again.
 WINDOW_WORDS = 10
 BLOCK_WINDOWS = 200_000
+PASS_BLOCKS = 10
 
 
 @dataclass(frozen=True)
@@ -28,13 +30,13 @@ class Phrases:
     vocabulary: pa.Array  # distinct words
     symbols: np.ndarray  # windows x WINDOW_WORDS, right-aligned, word number + 1
     lengths: np.ndarray
-    items: list[list[str]]  # items that hold the window
+    keys: np.ndarray  # of the windows
 
 
 def benchmark_windows(
     benchmark: DataFrame, *, item_id: str = "item_id", text: str = "text", size: int = WINDOW_WORDS
 ) -> DataFrame:
-    """``window array<string>, items array<string>``: distinct windows and the items that hold them.
+    """``key, window array<string>, item``: the windows of each item.
 
     An item of fewer words is one window, one without words (NULL, empty) has none.
     Items without an id are named by the empty string.
@@ -46,16 +48,23 @@ def benchmark_windows(
     last = F.greatest(F.size("w") - size, F.lit(0))
     window = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice("w", i + 1, F.lit(size)))
     exploded = rows.select("item", F.explode(window).alias("window"))
-    return exploded.groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    return exploded.select(F.xxhash64("window").alias("key"), "window", "item")
+
+
+def distinct_windows(windows: DataFrame) -> DataFrame:
+    """``key, window``, each once; two windows of one key raise."""
+    clash = F.raise_error(F.lit("two windows have the same key")).cast("array<string>")
+    least, most = F.min("window"), F.max("window")
+    one = F.when(least == most, least).otherwise(clash).alias("window")
+    return windows.groupBy("key").agg(one)
 
 
 def phrase_blocks(windows: DataFrame, most: int = BLOCK_WINDOWS) -> Iterator[Phrases]:
-    """The windows in blocks of about ``most``, one at a time on the driver."""
-    windows = windows.withColumn("part", F.xxhash64("window"))
+    """The distinct ``key, window`` rows in blocks of about ``most``, one at a time on the driver."""
     n = windows.count()
     blocks = -(-n // most)
     for k in range(blocks):
-        rows = windows.where(F.pmod("part", F.lit(blocks)) == k).select("window", "items").toArrow()
+        rows = windows.where(F.pmod("key", F.lit(blocks)) == k).select("key", "window").toArrow()
         size = pc.list_value_length(rows["window"]).to_numpy().astype(np.int64)
         flat = pa.chunked_array(rows["window"]).combine_chunks().flatten()
         if isinstance(flat, pa.ChunkedArray):
@@ -66,7 +75,7 @@ def phrase_blocks(windows: DataFrame, most: int = BLOCK_WINDOWS) -> Iterator[Phr
         row = np.repeat(np.arange(len(size)), size)
         column = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + width - size[row]
         symbols[row, column] = coded.indices.to_numpy() + 1
-        yield Phrases(coded.dictionary, symbols, size, rows["items"].to_pylist())
+        yield Phrases(coded.dictionary, symbols, size, rows["key"].to_numpy())
 
 
 def _runs(known: np.ndarray, doc: np.ndarray, least: int) -> np.ndarray:
@@ -126,17 +135,16 @@ HITS = "array<struct<start:int,end:int>>"
 
 
 def _marked(phrases, text: str, schema: pa.Schema):
-    """A pass over rows: adds to ``_spans`` (word ranges) and ``_items`` what the block finds."""
+    """A step over rows: adds to ``_spans`` (word ranges) and ``_keys`` (windows) what the block finds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = phrases.value
         for batch in sliced(batches, text):
             words, covered, pairs = shard_hits(block, batch.column(text))
             first = words.first()
-            old_spans, old_items = batch.column("_spans"), batch.column("_items")
-            items: list[set] = [set(x or ()) for x in old_items.to_pylist()]
+            old_spans, keys = batch.column("_spans"), batch.column("_keys").to_pylist()
             for doc, window in pairs.tolist():
-                items[doc].update(block.items[window])
+                keys[doc].append(int(block.keys[window]))
             spans = []
             for d, old in enumerate(old_spans.to_pylist()):
                 mark = covered[first[d] : first[d + 1]].copy()
@@ -144,10 +152,10 @@ def _marked(phrases, text: str, schema: pa.Schema):
                     mark[s["start"] : s["end"]] = True
                 edge = np.flatnonzero(np.diff(np.concatenate(([0], mark.view(np.int8), [0]))))
                 spans.append([{"start": a, "end": b} for a, b in edge.reshape(-1, 2).tolist()])
-            out = [batch.column(c) for c in batch.schema.names if c not in ("_spans", "_items", "_words")]
+            out = [batch.column(c) for c in batch.schema.names if c not in ("_spans", "_keys", "_words")]
             out += [
                 pa.array(spans, schema.field("_spans").type),
-                pa.array([sorted(x) for x in items], schema.field("_items").type),
+                pa.array([sorted(x) for x in keys], schema.field("_keys").type),
                 pa.array(np.diff(first), pa.int64()),
             ]
             yield pa.RecordBatch.from_arrays(out, schema=schema)
@@ -164,29 +172,40 @@ def find_contamination(
     item_text: str = "text",
     block: int = BLOCK_WINDOWS,
 ) -> DataFrame:
-    """``docs`` with ``_spans`` (merged ranges of words inside an occurrence), ``_items``, ``_words``.
+    """``docs`` with ``_spans`` (merged ranges of words inside an occurrence), ``_keys`` of windows, ``_words``.
 
     Each slice of a partition is a shard with an index of its own; nothing is
     shuffled. Benchmark windows are looked for in blocks of bounded size, one after
     the other within the same task and worker. NULL and empty texts have no words; an
-    empty benchmark finds nothing.
+    empty benchmark finds nothing. Repeated rows are marked each, no rows give none, and a text may be of
+    any length.
     """
-    windows = benchmark_windows(benchmark, item_id=item_id, text=item_text)
+    windows = stored(distinct_windows(benchmark_windows(benchmark, item_id=item_id, text=item_text)))
     out, steps = _marking(docs, list_blocks(windows, block), text)
     return out.mapInArrow(_in_turn(steps), out.schema)
 
 
 def _marking(docs: DataFrame, blocks: Iterator[Phrases], text: str) -> tuple[DataFrame, list]:
-    """``docs`` with empty marks, and a pass over them for each block."""
+    """``docs`` with marks, and the steps over them that are left: one for each of the last blocks.
+
+    The driver has one block at a time, workers those of one pass.
+    """
     out = docs.withColumns(
         {
             "_spans": F.array().cast(HITS),
-            "_items": F.array().cast("array<string>"),
+            "_keys": F.array().cast("array<long>"),
             "_words": F.lit(0).cast("long"),
         }
     )
-    schema = _arrow_schema(out)
-    return out, [_marked(Shared(docs.sparkSession, phrases), text, schema) for phrases in blocks]
+    schema, held = _arrow_schema(out), []
+    for phrases in blocks:
+        if len(held) == PASS_BLOCKS:
+            out = stored(out.mapInArrow(_in_turn([_marked(h, text, schema) for h in held]), out.schema))
+            for h in held:
+                h.drop()
+            held = []
+        held.append(Shared(docs.sparkSession, phrases))
+    return out, [_marked(h, text, schema) for h in held]
 
 
 def _in_turn(steps: list):
@@ -208,7 +227,7 @@ def list_blocks(windows: DataFrame, block: int) -> Iterator[Phrases]:
         yield phrases
     if empty:
         none = np.zeros((0, WINDOW_WORDS), np.int64)
-        yield Phrases(pa.array([], pa.string()), none, np.zeros(0, np.int64), [])
+        yield Phrases(pa.array([], pa.string()), none, np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
 def _arrow_schema(df: DataFrame) -> pa.Schema:
@@ -217,16 +236,41 @@ def _arrow_schema(df: DataFrame) -> pa.Schema:
     return to_arrow_schema(df.schema)
 
 
-def contamination_report(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` per row of ``docs``."""
-    found = find_contamination(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), benchmark)
+def contamination_report(
+    docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", block: int = BLOCK_WINDOWS
+) -> DataFrame:
+    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` per row of ``docs``.
+
+    Items are named once for every set of windows that some text has. Windows that the same items hold, as
+    those of one passage do, count as one on the way there, so a passage in very many items costs
+    its items once and not once a window.
+    """
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    found = stored(find_contamination(rows, benchmark, block=block).drop("text"))
+    hit_rows = found.where(F.size("_keys") > 0).withColumn("_set", F.sha2(F.concat_ws(",", "_keys"), 256))
+    sets = hit_rows.groupBy("_set").agg(F.first("_keys").alias("_keys"))
+    pairs = stored(benchmark_windows(benchmark).select("key", "item").distinct())
+    # A class of windows is known by the number of its items and two sums of their hashes.
+    sums = [F.sum(F.xxhash64(F.lit(seed), "item").cast("decimal(38,0)")).cast("string") for seed in (1, 2)]
+    classes = pairs.groupBy("key").agg(F.concat_ws(":", F.count("*").cast("string"), *sums).alias("class"))
+    first = classes.groupBy("class").agg(F.min("key").alias("key"))
+    of_set = sets.select("_set", F.explode("_keys").alias("key")).join(classes, "key").select("_set", "class").distinct()
+    items = of_set.join(first, "class").join(pairs, "key").select("_set", "item").distinct()
+    named = items.groupBy("_set").agg(F.sort_array(F.collect_list("item")).alias("_items"))
+    named = named.select(
+        "_set",
+        F.size("_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"),
+    )
     hit = F.aggregate("_spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
-    return found.select(
+    none = {"n_items": F.lit(0).cast("long"), "items_sha256": F.sha2(F.lit(""), 256)}
+    clean = found.where(F.size("_keys") == 0).withColumns(none)
+    return hit_rows.join(named, "_set").unionByName(clean, allowMissingColumns=True).select(
         "doc_id",
         F.col("_words").alias("n_words"),
         hit.alias("n_hit"),
-        F.size("_items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"),
+        "n_items",
+        "items_sha256",
         (F.size("_spans") > 0).alias("contaminated"),
     )
 
@@ -253,7 +297,8 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     text_column, size_column = names[docs.columns.index(text)], None
     if n_chars in docs.columns:
         size_column = names[docs.columns.index(n_chars)]
-    marked, steps = _marking(plain, list_blocks(benchmark_windows(benchmark), BLOCK_WINDOWS), text_column)
+    windows = stored(distinct_windows(benchmark_windows(benchmark)))
+    marked, steps = _marking(plain, list_blocks(windows, BLOCK_WINDOWS), text_column)
     schema = _arrow_schema(plain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -38,6 +38,10 @@ class Shared:
     def value(self):
         return pickle.loads(self._held.value)
 
+    def drop(self) -> None:
+        """Free it everywhere; what has not run yet must not need it."""
+        self._held.destroy()
+
 
 def fold(doc_id: str = "doc_id") -> Column:
     """``crc32`` of the id as text modulo 5; rows of fold 0 are held out."""
