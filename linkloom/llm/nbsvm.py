@@ -112,9 +112,10 @@ def indicator_table(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
 def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Row and bucket of every indicator in a column of packed features."""
-    sizes = np.array([len(v) // 2 if v is not None else 0 for v in column.to_pylist()], dtype=np.int64)
-    data = b"".join(v for v in column.to_pylist() if v is not None)
-    return np.repeat(np.arange(len(sizes)), sizes), np.frombuffer(data, np.uint16).astype(np.int64)
+    rows = column.to_pylist()
+    sizes = np.array([len(v) // 2 if v is not None else 0 for v in rows], dtype=np.int64)
+    data = b"".join(v for v in rows if v is not None)
+    return np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), np.frombuffer(data, np.uint16)
 
 
 def class_counts(labelled: DataFrame) -> np.ndarray:
@@ -149,8 +150,8 @@ def dual_coordinate_descent(
     """
     n = len(sign)
     weight, bias, dual = np.zeros(BUCKETS), 0.0, np.zeros(n)
-    edge = np.searchsorted(row, np.arange(n + 1))
-    norm = np.bincount(row, value * value, minlength=n) + 1.0
+    edge = np.searchsorted(row, np.arange(n + 1, dtype=row.dtype))
+    norm = np.array([value[a:b] @ value[a:b] + 1.0 for a, b in zip(edge[:-1], edge[1:])])
     order = np.random.default_rng(7)
     for _ in range(epochs):
         most = 0.0
@@ -194,15 +195,20 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE_ROWS, cost:
     counts = class_counts(labelled)
     smooth = counts + 1
     ratio = np.log(smooth[1] / smooth[1].sum()) - np.log(smooth[0] / smooth[0].sum())
-    place = F.xxhash64("doc_id", "text_hash")
-    rows = labelled.orderBy(place, "doc_id", "text_hash").limit(sample).select("label", "features").toArrow()
+    # At most ``sample`` pairs, hence the broadcast; features move once they are chosen.
+    pair = ["doc_id", "text_hash"]
+    chosen = labelled.select(*pair).orderBy(F.xxhash64(*pair), *pair).limit(sample)
+    rows = labelled.join(F.broadcast(chosen), pair).orderBy(F.xxhash64(*pair), *pair).select("label", "features").toArrow()
     sign = rows["label"].to_numpy() * 2.0 - 1
     if len(np.unique(sign)) < 2:
         return NbSvm(np.zeros(BUCKETS), 0.0)
     row, bucket = _unpacked(rows["features"].combine_chunks())
     share = (sign > 0).mean()
     weight = np.where(sign > 0, min(1, (1 - share) * 4 / share), min(1, share * 4 / (1 - share)))
-    weights, bias = dual_coordinate_descent(row, bucket, ratio[bucket], sign, cost * weight, EPOCHS)
+    value = np.empty(len(bucket))
+    for at in range(0, len(bucket), 1 << 20):  # an index array is widened whole
+        value[at : at + (1 << 20)] = ratio[bucket[at : at + (1 << 20)]]
+    weights, bias = dual_coordinate_descent(row, bucket, value, sign, cost * weight, EPOCHS)
     return NbSvm(weights * ratio, bias)
 
 

@@ -11,10 +11,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkloom.llm.frames import stored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Blocks of the Bloom filter, eight 64-bit words each: 2 MB at most, whatever the list.
-BLOCKS = 1 << 15
+#: A block of the Bloom filter has eight 64-bit words and is for 32 keys, 16 bits each. The filter is sized
+#: by the list within these bounds: 16 MB at most, for 8 million keys; more keys let more through.
+LEAST_BLOCKS, MOST_BLOCKS = 1 << 10, 1 << 18
+KEYS_A_BLOCK = 32
 WORDS = 8
 
 
@@ -68,7 +72,13 @@ def _masks(key: Column) -> list[Column]:
     return [F.call_function("shiftleft", F.lit(1).cast("long"), p) for p in place]
 
 
-def bloom_filter(listed: DataFrame, key: str, blocks: int = BLOCKS) -> DataFrame:
+def blocks_for(keys: int) -> int:
+    """Number of blocks, a power of two."""
+    wanted = 1 << max(0, (keys - 1) // KEYS_A_BLOCK).bit_length()
+    return min(max(wanted, LEAST_BLOCKS), MOST_BLOCKS)
+
+
+def bloom_filter(listed: DataFrame, key: str, blocks: int) -> DataFrame:
     """The filter as a table: a row per used block, ``block, w0 … w7``; at most ``blocks`` rows."""
     masked = listed.select(
         _block(F.col(key), blocks).alias("block"), *[m.alias(f"w{i}") for i, m in enumerate(_masks(F.col(key)))]
@@ -76,14 +86,15 @@ def bloom_filter(listed: DataFrame, key: str, blocks: int = BLOCKS) -> DataFrame
     return masked.groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)])
 
 
-def listed_keys(rows: DataFrame, listed: DataFrame, key: str, blocks: int = BLOCKS) -> DataFrame:
+def listed_keys(rows: DataFrame, listed: DataFrame, key: str, blocks: int | None = None) -> DataFrame:
     """``rows`` with ``listed`` (boolean): whether ``key`` is in the distinct column ``key`` of ``listed``.
 
-    The Bloom filter has a fixed size and is broadcast; it tests one block a row. Only
+    The Bloom filter is sized by the list up to a fixed bound and broadcast; it tests one block a row. Only
     rows that pass go into the exact join, which removes false positives. A longer
     list makes the filter let more through, never the result wrong. A NULL key is
     not listed.
     """
+    blocks = blocks or blocks_for(listed.count())
     table = F.broadcast(bloom_filter(listed, key, blocks))
     probed = rows.withColumn("_block", _block(F.col(key), blocks)).join(
         table, F.col("_block") == table["block"], "left"
@@ -106,7 +117,7 @@ def judged_urls(
     *,
     page_id: str = "page_id",
     url: str = "url",
-    blocks: int = BLOCKS,
+    blocks: int | None = None,
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict`` per row of ``pages``.
 
@@ -114,7 +125,8 @@ def judged_urls(
     canonical form is that of a URL in ``listed_urls`` (column ``url``). Rows with a NULL
     URL or without ``://`` have empty host and path and are allowed. A listed URL with
     a third of all rows is one row of the list, and its pages a skewed join that
-    adaptive execution splits.
+    adaptive execution splits. Repeated rows are judged each, URLs may be of any length, and no rows give none;
+    other columns are not looked at.
     """
     rows = with_parts(pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url")))
     whole = F.col("host") != ""
@@ -122,7 +134,7 @@ def judged_urls(
     rule, verdict = matching_rule(rules, F.col("host"), F.col("path"))
     rows = rows.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("ruled"), key.alias("canonical"))
     listed = with_parts(listed_urls.select("url"))
-    listed = listed.where(whole).select(key.alias("canonical")).distinct()
+    listed = stored(listed.where(whole).select(key.alias("canonical")).distinct())
     found = listed_keys(rows, listed, "canonical", blocks)
     final = F.coalesce("ruled", F.when(F.col("listed"), "block").otherwise("allow"))
     return found.select("page_id", "host", "path", "rule", final.alias("verdict"))
