@@ -45,6 +45,8 @@ BUCKET_BYTES = 8 << 20
 LEAST_BUCKETS = 64
 #: Bytes of text whose edges are counted together before they travel.
 SLICE = 6 << 20
+#: Parts of a language that are ranked by themselves.
+RANKED_PARTS = 64
 #: Edges in one row of a compacted path.
 PATH_EDGES = 256
 
@@ -337,6 +339,11 @@ def _inside(paths: DataFrame, length: int) -> DataFrame:
     )
 
 
+def _first(rows: DataFrame, by: list[str], top: int) -> DataFrame:
+    order = Window.partitionBy(*by).orderBy(F.desc("score"), F.desc("a"), "phrase")
+    return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+
+
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, inside: int = INSIDE) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: each language's best phrases of 2 to 4 words.
 
@@ -382,7 +389,8 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, inside: in
     score = F.expr(f"cast({SCALE} * cast(a AS decimal(20,0)) div (cast(l AS decimal(20,0)) + r) AS long)")
     best = cut.groupBy("lang", "phrase", "a").agg(F.min(F.struct(score.alias("score"), "j", "l", "r")).alias("cut"))
     best = best.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # A language's phrases are ranked in parts first, so the last task has a bounded number of them.
+    parts = best.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(RANKED_PARTS)))
+    ranked = _first(_first(parts, ["lang", "part"], top).drop("part", "rank"), ["lang"], top)
     ranked = ranked.withColumn("rank", F.col("rank").cast("long")).join(totals, "lang")
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
