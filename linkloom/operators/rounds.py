@@ -48,7 +48,7 @@ class _Batch:
 
 
 class Schedule(NamedTuple):
-    """Limits that hold for all tasks of a job together.
+    """Limits that hold for all tasks of a job together; ``slot`` numbers the task, which else follows from its batches.
 
     Batch ``k`` starts ``(k - 1) * step`` seconds after ``began``, or after its task if that came later, at
     the earliest, and every task has its share of the requests in flight; the shares of
@@ -58,6 +58,7 @@ class Schedule(NamedTuple):
     tasks: int
     began: float
     step: float
+    slot: int | None = None
 
     @classmethod
     def of(cls, policy: FetchPolicy, tasks: int) -> Schedule:
@@ -67,8 +68,8 @@ class Schedule(NamedTuple):
 
     def share(self, jobs: int, batch: int) -> int:
         """Requests in flight for the task that ``batch`` is in."""
-        jobs = max(1, jobs)
-        return jobs // self.tasks + ((batch - 1) % self.tasks < jobs % self.tasks)
+        jobs, slot = max(1, jobs), (batch - 1) % self.tasks if self.slot is None else self.slot
+        return jobs // self.tasks + (slot < jobs % self.tasks)
 
     def wait(self, batch: int, task_began: float) -> float:
         return max(self.began, task_began) + (batch - 1) * self.step - time.time()

@@ -37,7 +37,8 @@ _NUMBERED = """
     FROM urls JOIN offsets USING (bucket)
   ), numbered AS (
     SELECT url, (at - 1) div batch_size + 1 AS batch,
-      least(batch_size, total - (at - 1) div batch_size * batch_size) AS batch_urls
+      least(batch_size, total - (at - 1) div batch_size * batch_size) AS batch_urls,
+      (total - 1) div batch_size + 1 AS batches
     FROM placed
   )
 """
@@ -68,7 +69,8 @@ _SETTINGS = {
 }
 
 # Few bytes go through the exchange before the requests, which adaptive execution would merge into
-# one task; a number of ranges that is asked for stays as it is, and ranges deal batches out evenly.
+# one task; a number of ranges that is asked for stays as it is. Each slot has an equal share of the batches, and
+# with limits for the whole job there are no more slots than requests may be in flight.
 # The fail rate stands on one row of a batch at least and is spread over the others at the end.
 _FETCH = (
     """
@@ -76,12 +78,16 @@ CREATE OR REPLACE TEMPORARY FUNCTION {name}({urls}{arguments}, batch_size INT DE
 RETURNS TABLE({columns})
 RETURN WITH"""
     + _NUMBERED
-    + """, dealt AS (
-    SELECT /*+ REPARTITION_BY_RANGE({tasks}, batch) */ url, batch, batch_urls,
-      named_struct({settings}, 'tasks', {tasks}, 'began', {began}) AS settings
+    + """, placed_batches AS (
+    SELECT url, batch, batch_urls, batches, named_struct({settings}) AS given, {began} AS began,
+      CASE WHEN whole_job THEN greatest(1, least({tasks}, i_parallel_jobs, r_parallel_jobs)) ELSE {tasks} END AS slots
     FROM numbered
+  ), dealt AS (
+    SELECT /*+ REPARTITION_BY_RANGE({tasks}, slot) */ url, batch, batch_urls, slot,
+      named_struct({kept}, 'tasks', slots, 'slot', slot, 'began', began) AS settings
+    FROM (SELECT *, cast((batch - 1) * slots div batches AS INT) AS slot FROM placed_batches)
   ), requests AS (
-    SELECT * FROM dealt SORT BY batch, url
+    SELECT * FROM dealt SORT BY slot, batch, url
   )
   SELECT url, payload, ts_end, duration, batch, retries,
     max(batch_failrate) OVER (PARTITION BY batch) AS batch_failrate
@@ -167,7 +173,8 @@ def _fetch_batch(transport: Transport):
                 policy = _policy(settings)
                 schedule = None
                 if settings["whole_job"]:
-                    schedule = Schedule.of(policy, settings["tasks"])._replace(began=settings["began"])
+                    schedule = Schedule.of(policy, settings["tasks"])
+                    schedule = schedule._replace(began=settings["began"], slot=settings["slot"])
                 self.rounds = BatchRounds(requester(transport), policy, schedule)
             if not self.left:
                 self.batch, self.left = batch, batch_urls
@@ -254,6 +261,7 @@ def register_sql(
     form = {
         "arguments": ", ".join(f"{n} {kind}" for n, kind in _SETTINGS.items()),
         "settings": ", ".join(f"'{n}', {n}" for n in _SETTINGS),
+        "kept": ", ".join(f"'{n}', given.{n}" for n in _SETTINGS),
         "columns": RESULT_COLUMNS,
         "tasks": tasks or spark.sparkContext.defaultParallelism,
         # Of the query, not of the registration.

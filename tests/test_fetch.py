@@ -396,6 +396,26 @@ def test_limits_of_the_whole_job(spark, tmp_path, jobs):
     assert most_at_once(per_task) > jobs
 
 
+@pytest.mark.parametrize("jobs", [1, 3, 10])
+def test_sql_limits_of_the_whole_job(spark, tmp_path, jobs):
+    urls = url_range(spark, 1, 120, "https://a.example.com/%s").select("url")
+    urls.createOrReplaceTempView("t_limits")
+    register_sql(spark, Recording(str(tmp_path), 300, sleep=0.02), "t_limits", tasks=4)
+    got = spark.sql(
+        f"SELECT * FROM fetch_source(i_parallel_jobs => {jobs}, r_parallel_jobs => {jobs}, batch_size => 10, "
+        "batch_retries => 2, batch_retries_failrate => 1D, whole_job => true)"
+    )
+    rows = got.select("url", "ts_end", "duration").collect()
+    assert len(rows) == 120
+    spans = [(r.ts_end.timestamp() - r.duration, r.ts_end.timestamp()) for r in rows]
+    events = sorted([(a + 1e-6, 1) for a, _ in spans] + [(b, -1) for _, b in spans])
+    now = most = 0
+    for _, step in events:
+        now += step
+        most = max(most, now)
+    assert most <= jobs
+
+
 def test_rounds_are_one_job_and_survive_a_lost_task(spark, tmp_path):
     """A task that dies repeats its own requests; what it had sent before counts once."""
     urls = url_range(spark, 1, 200, "https://a.example.com/%s")
