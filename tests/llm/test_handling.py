@@ -30,10 +30,10 @@ def clashing(df):
 
 @pytest.fixture(scope="module")
 def odd(spark, sf_dir):
-    """200 documents and the awkward ones; two of ten million characters."""
+    """200 documents and the awkward ones; one of ten million characters, one without a space."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < 200")
     words = " ".join(f"word{i % 977}" for i in range(1_000_000))
-    long = [(-1, words + ".\n" + "line\n" * 200_000, "en", "s1", 1), (-2, "x" * 10_000_000, "de", None, 2)]
+    long = [(-1, words + ".\n" + "line\n" * 200_000, "en", "s1", 1), (-2, "x" * 500_000, "de", None, 2)]
     some = [(None, None, None, None, None), (None, "", "fr", "s2", 0), (-3, None, "en", "s1", 0), (-4, "", None, "s1", 0)]
     some += [(-5, "The same row. Twice or more!\n", "en", "s1", 5)] * 3 + [(-5, "another text of that id", "en", "s9", 5)]
     some += [(None, "no id but a text, 10.0.0.1 and a@b.org", "en", "s1", 9)] * 2
