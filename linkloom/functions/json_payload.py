@@ -105,6 +105,11 @@ def json_text(variant: Column, path: str) -> Column:
 
     ``-1`` names the last element of an array, ``-2`` the one before.
     """
+    return _plain(*_located(variant, path))
+
+
+def _located(variant: Column, path: str) -> tuple[Column, Column]:
+    """The value at ``path`` as marked text and as a variant."""
     elements = path_elements(path)
     for i, element in enumerate(elements):
         if re.fullmatch(r"-[1-9][0-9]*", element):
@@ -112,8 +117,8 @@ def json_text(variant: Column, path: str) -> Column:
             from_end = F.try_element_at(array, F.lit(int(element)))
             variant = F.coalesce(from_end, _get(variant, elements[: i + 1], "variant"))
             rest = "{" + ",".join(_quoted(e) for e in elements[i + 1 :]) + "}"
-            return json_text(variant, rest)
-    return _plain(_get(variant, elements, "string"), _get(variant, elements, "variant"))
+            return _located(variant, rest)
+    return _get(variant, elements, "string"), _get(variant, elements, "variant")
 
 
 def _quoted(element: str) -> str:
@@ -141,5 +146,8 @@ def json_fields(
 ) -> DataFrame:
     """Add one text column per ``{name: path}``.  Of duplicate keys the last counts."""
     parsed = df.withColumn("__json", parse_payload(col, lenient))
-    for_each = [json_text(F.col("__json"), p).alias(n) for n, p in fields.items()]
-    return parsed.select(*df.columns, *for_each)
+    found = [_located(F.col("__json"), path) for path in fields.values()]
+    # Texts get columns of their own first, or they would be looked up once for each test of a mark.
+    texts = parsed.select("*", *[text.alias(f"__text{i}") for i, (text, _) in enumerate(found)])
+    plain = [_plain(F.col(f"__text{i}"), value).alias(n) for i, (n, (_, value)) in enumerate(zip(fields, found))]
+    return texts.select(*df.columns, *plain)
