@@ -71,10 +71,10 @@ RESULT = ["url", "payload", "batch", "retries", "batch_failrate"]
 
 
 def _snapshot(spark: SparkSession, sf_dir: str, per_mille: int, attempts: int = 2) -> Snapshot:
-    """The pages as a log of attempts, some of them empty."""
+    """The pages as a log of attempts, some of them empty. A URL that several pages have is answered once."""
     pages = table(spark, sf_dir, "pages").select("url", "html")
     log = recorded(pages, "html", per_mille, attempts)
-    return Snapshot(log, payload="html", attempt="attempt", unique=True)
+    return Snapshot(log, payload="html", attempt="attempt")
 
 
 # --- validation ----------------------------------------------------------------
