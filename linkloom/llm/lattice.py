@@ -14,6 +14,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linkloom.llm.words import Words, memory_trim, sliced, text_bytes, word_hashes
 
@@ -32,6 +33,10 @@ PACK_BYTES = 2 << 20
 CACHE_TEXTS, CACHE_RUNS = 50_000, 400_000
 #: Runs longer than this many characters are folded in Python, in linear memory.
 LONG_RUN = 2048
+#: Bits of an edge for its piece, and the place of its end above the length. Above the end stands the word, in a pack.
+PIECE_BITS = 17
+END_AT, WORD_AT, WORD_BITS = PIECE_BITS + 5, PIECE_BITS + 17, 25
+PIECE_MASK, COST_MASK = (1 << PIECE_BITS) - 1, -(1 << PIECE_BITS + 5)
 #: Words of the cache and bytes of text that one task of the lattice gets, and the most tasks. The
 #: numbers of partitions are given, since each word becomes dozens of edges after the shuffle.
 TASK_WORDS, TASK_BYTES, MOST_TASKS = 10_000, 2 * PACK_BYTES, 50_000
@@ -157,42 +162,80 @@ def piece_table(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
     return spark.createDataFrame(table)
 
 
-def best_paths(words: DataFrame, pieces: DataFrame, longest: int, unknown_cost: int) -> DataFrame:
-    """``words`` (distinct, column ``word`` of 1 to ``LONG_RUN`` characters) with ``path``.
-
-    ``path[e]`` is the piece that the best path to position e + 1 ends with, -1 for a
-    character that is no piece. Substrings of up to ``longest`` characters are
-    exploded and equi-joined to the pieces (a table of the model's size, broadcast);
-    edges are grouped by word, and one fold over the edges, in order of their end and
-    length, keeps the best way to each position. Of equal costs the longer last piece
-    wins. Grouping keeps the partitioning that ``words`` has by its other columns; a
-    hash comes first among its keys, so that sorting seldom compares words.
+def lattice_edges(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
+    """``words`` (column ``word`` of 1 to ``LONG_RUN`` characters) with a row per edge of the lattice: ``_edge``.
+
+    Substrings of up to ``longest`` characters are exploded and equi-joined to the pieces (a
+    table of the model's size, broadcast); a single character is an edge even if it is no piece.
+    An edge is one long. From the high bits down: end (12 bits), length (5) and piece + 1 (17). ``_first``
+    marks one edge of each row of ``words``.
     """
-    keys = words.columns
     n = F.length("word")
-    starts = words.withColumn("_key", F.xxhash64(*keys)).withColumn("_s", F.explode(F.sequence(F.lit(1), n)))
+    starts = words.withColumn("_s", F.explode(F.sequence(F.lit(1), n)))
     most = F.least(F.lit(longest), n - F.col("_s") + 1)
     spans = starts.withColumn("_l", F.explode(F.sequence(F.lit(1), most)))
     spans = spans.withColumn("_piece", F.substring("word", F.col("_s"), F.col("_l")))
-    found = F.broadcast(pieces.select(F.col("piece").alias("_piece"), F.col("id").alias("_id"), F.col("cost").alias("_cost")))
+    found = F.broadcast(pieces.select(F.col("piece").alias("_piece"), F.col("id").alias("_id")))
     edges = spans.join(found, "_piece", "left").where(F.col("_id").isNotNull() | (F.col("_l") == 1))
-    # An edge is one long. From the high bits down: end, length (5 bits), then its cost (24),
-    # 31 - length (5) and piece + 1 (17), of which the least is best.
     edge = F.expr(f"""
-      shiftleft(cast(_s + _l - 1 AS bigint), 51) | shiftleft(cast(_l AS bigint), 46)
-      | shiftleft(cast(coalesce(_cost, {unknown_cost}) AS bigint), 22) | shiftleft(cast(31 - _l AS bigint), 17)
+      shiftleft(cast(_s + _l - 1 AS bigint), {END_AT}) | shiftleft(cast(_l AS bigint), {PIECE_BITS})
       | cast(coalesce(_id, -1) + 1 AS bigint)""")
-    grouped = edges.groupBy("_key", *keys).agg(F.sort_array(F.collect_list(edge)).alias("_edges"))
-    # Every end has one edge of length 1, its first: there the best way to the position before is final.
-    low, cost, one = (1 << 46) - 1, -(1 << 22), 1 << 46
-    fold = f"""
-      aggregate(_edges, named_struct('best', 0L, 'nodes', cast(array() AS array<bigint>)),
-        (a, x) -> if((x & {31 << 46}L) = {one}L,
-          named_struct('best', (x & {low}L) + (a.best & {cost}L), 'nodes', concat(a.nodes, array(a.best))),
-          named_struct('best', least(a.best,
-              (x & {low}L) + (element_at(a.nodes, -cast(shiftright(x, 46) & 31 AS int)) & {cost}L)), 'nodes', a.nodes)),
-        a -> transform(concat(slice(a.nodes, 2, size(a.nodes)), array(a.best)), b -> cast((b & 131071) - 1 AS int)))"""
-    return grouped.select(*keys, F.expr(fold).alias("path"))
+    return edges.select(*words.columns, edge.alias("_edge"), F.expr("_s = 1 AND _l = 1").alias("_first"))
+
+
+def fold_edges(whose: np.ndarray, edges: np.ndarray, n: int, costs: np.ndarray) -> pa.ListArray:
+    """Paths of ``n`` words from all their edges: one fold, in which the words go from end to end together.
+
+    ``whose`` has each edge's word. ``path[e]`` is the piece that the best path to position e + 1 ends with, -1
+    for a character that is no piece. Of equal costs the longer last piece wins. ``costs`` has the cost of
+    a character that is no piece at its end.
+    """
+    end, length, piece = edges >> END_AT, edges >> PIECE_BITS & 31, (edges & PIECE_MASK) - 1
+    # Every end has one edge of length 1.
+    size = np.bincount(whose[length == 1], minlength=n)
+    origin = np.concatenate(([0], np.cumsum(size + 1)))
+    order = np.argsort(end << WORD_BITS | whose, kind="stable")
+    whose, end, length, piece = whose[order], end[order], length[order], piece[order]
+    # A way to a position is one long: its cost, 31 - length (5 bits) and piece + 1, of which the least is best.
+    step = costs[piece] << PIECE_BITS + 5 | (31 - length) << PIECE_BITS | piece + 1
+    to = origin[whose] + end
+    since = to - length
+    first = np.flatnonzero(np.concatenate(([True], to[1:] != to[:-1]))) if len(to) else np.zeros(0, np.int64)
+    top = int(end[-1]) if len(end) else 0
+    reach = np.searchsorted(end, np.arange(1, top + 2))
+    part = np.searchsorted(first, reach)
+    best = np.zeros(origin[-1], dtype=np.int64)
+    for k in range(top):
+        low, high, heads = reach[k], reach[k + 1], first[part[k] : part[k + 1]]
+        ways = step[low:high] + (best[since[low:high]] & COST_MASK)
+        best[to[heads]] = np.minimum.reduceat(ways, heads - low)
+    last = np.delete((best & PIECE_MASK) - 1, origin[:-1])
+    offsets = np.concatenate(([0], np.cumsum(size)))
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(last.astype(np.int32)))
+
+
+def best_paths(words: DataFrame, pieces: DataFrame, longest: int, unknown_cost: int) -> DataFrame:
+    """``words`` (distinct, column ``word`` of 1 to ``LONG_RUN`` characters) with ``path``, as ``fold_edges`` has it.
+
+    Edges are grouped by word, and one fold keeps the best way to each position. A hash comes
+    first among the keys, so that sorting seldom compares words.
+    """
+    keys = words.columns
+    edges = lattice_edges(words, pieces, longest).groupBy(F.xxhash64(*keys).alias("_key"), *keys)
+    grouped = edges.agg(F.collect_list("_edge").alias("_edges")).select(*keys, "_edges")
+    known = pieces.select("id", "cost").toArrow()  # of the model's size
+    costs = np.full(int(pc.max(known["id"]).as_py()) + 2, unknown_cost, dtype=np.int64)
+    costs[known["id"].to_numpy()] = known["cost"].to_numpy()
+
+    def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("_edges")
+            whose = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+            paths = fold_edges(whose, lists.flatten().to_numpy(), len(lists), costs)
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), paths], [*keys, "path"])
+
+    schema = T.StructType([*words.schema.fields, T.StructField("path", T.ArrayType(T.IntegerType()))])
+    return grouped.mapInArrow(folded, schema)
 
 
 def fold_run(run: str, vocabulary: Vocabulary, places: dict[str, int]) -> list[int]:
@@ -405,19 +448,25 @@ def encoded(
         for k, batch in named(batches):
             runs = text_runs(joints, index, batch.column("text"))[0].unique()
             runs = runs.filter(pc.less_equal(pc.utf8_length(runs), LONG_RUN))
-            runs = runs.filter(pa.array(own.find(runs) < 0))
-            yield pa.RecordBatch.from_arrays([pa.array([k] * len(runs), pa.int64()), runs], ["pack", "word"])
+            runs = runs.filter(pa.array(own.find(runs) < 0))[: 1 << WORD_BITS]
+            part = [pa.array(np.full(len(runs), k)), pa.array(np.arange(len(runs))), runs]
+            yield pa.RecordBatch.from_arrays(part, ["pack", "no", "word"])
 
     def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, own = vocabulary, Cache(*shared.value)
+        costs = np.append(words.costs, unknown_cost)
         places = {p: i for i, p in enumerate(words.pieces) if words.usable[i]}
         trim = memory_trim()
         for batch in batches:
-            for content, patch in zip(batch.column("content"), batch.column("patch"), strict=True):
+            for content, others, edges in zip(*(batch.column(c) for c in ("content", "others", "edges")), strict=True):
                 doc_ids, n, runs, code = unpack(content.as_py())
                 extra, paths = pa.array([], pa.string()), pa.array([], pa.list_(pa.int32()))
-                if patch.is_valid and len(patch.values):
-                    extra, paths = patch.values.field("word"), patch.values.field("path")
+                no = others.values.field("no").to_numpy() if others.is_valid else np.zeros(0, np.int64)
+                # Numbers come once, or else the patch is of two packs and can't be told apart.
+                if len(no) and len(np.unique(no)) == len(no) == no.max() + 1:
+                    extra = others.values.field("word").take(pa.array(np.argsort(no)))
+                    edges = edges.values.to_numpy()
+                    paths = fold_edges(edges >> WORD_AT, edges & (1 << WORD_AT) - 1, len(extra), costs)
                 at = own.find(runs)
                 # Very long runs, and those of a pack that its patch did not find.
                 left = runs.filter(pa.array(at < 0))
@@ -447,9 +496,11 @@ def encoded(
                 trim(0)
 
     packs = rows.mapInArrow(packed, "pack long, content binary").repartition(tasks, "pack")
-    other = rows.mapInArrow(other_runs, "pack long, word string").repartition(tasks, "pack")
-    solved = best_paths(other, pieces, longest, unknown_cost)
-    patches = solved.groupBy("pack").agg(F.collect_list(F.struct("word", "path")).alias("patch"))
-    joined = packs.join(patches.withColumnRenamed("pack", "_pack"), F.col("pack") == F.col("_pack"), "left")
+    other = rows.mapInArrow(other_runs, "pack long, no long, word string").repartition(tasks, "pack")
+    edge = F.expr(f"shiftleft(no, {WORD_AT}) | _edge")
+    word = F.when(F.col("_first"), F.struct("no", "word"))
+    solved = lattice_edges(other, pieces, longest).groupBy(F.col("pack").alias("_pack"))
+    patches = solved.agg(F.collect_list(word).alias("others"), F.collect_list(edge).alias("edges"))
+    joined = packs.join(patches, F.col("pack") == F.col("_pack"), "left")
     out = f"doc_id {kind}, ids array<int>, n_tokens long, round_trip boolean"
-    return joined.select("content", "patch").mapInArrow(assembled, out)
+    return joined.select("content", "others", "edges").mapInArrow(assembled, out)
